@@ -25,7 +25,7 @@ from tallyhall.plans import (
     suite,
     texts as tx,
 )
-from tallyhall.session import shared_dir
+from tallyhall.session import saved, shared_dir
 from tallyhall.sources import readers, testviews as tv, writers
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -81,7 +81,7 @@ def _derived(fn: Callable[[DataFrame], DataFrame], name: str, spark: SparkSessio
 
 def _sentiment_score(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's score; doc_id is the key, so its text is scored once."""
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = tv.table(spark, folder, "documents")
     sums = valence_sums(docs, ["doc_id"], "text", tv.lexicon(spark))
     return sums.select("doc_id", score(F.col("valence")).alias("sentiment"))
 
@@ -109,7 +109,7 @@ def _total_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _headline_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    results = {name: _ask(name, spark, folder) for name in suite.QUESTIONS}
+    results = {name: _ask(name, spark, folder) for name in metrics.HEADLINE_INPUTS}
     return metrics.headline_metrics(results, SETTINGS.entire, SETTINGS.private)
 
 
@@ -151,7 +151,7 @@ def queries() -> dict[str, Query]:
     derived: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
         "funnel_rates": (metrics.funnel_rates, "tb_funnel"),
         "hourly_conversion": (metrics.hourly_conversion, "tb_hourly"),
-        "category_quadrants": (metrics.category_quadrants, "tb_category"),
+        "category_quadrants": (lambda result: metrics.category_quadrants(saved(result)), "tb_category"),
         "neighbourhood_top12": (metrics.neighbourhood_top, "ab_neighbourhood"),
         "room_type_major": (metrics.room_type_major, "ab_room_type"),
         "rating_band_ordered": (metrics.rating_band_ordered, "ab_price_by_rating"),

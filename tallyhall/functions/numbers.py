@@ -6,22 +6,27 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-# A plain decimal number. Casts alone would also take 'nan', 'inf', '12d'.
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+# A plain decimal number between blanks. Casts alone would also take 'nan', 'inf', '12d'.
+NUMBER = (
+    r"(?U)^\s*([+-]?(?:[0-9]{1,200}\.?[0-9]{0,200}|\.[0-9]{1,200})(?:[eE][+-]?[0-9]{1,2})?)\s*$"
+)
 
 
-def to_double(text: Column) -> Column:
-    """Text to DOUBLE; null where the text is not a finite number."""
-    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+def double_sql(text: str) -> str:
+    return f"try_cast(regexp_extract({text}, r'{NUMBER}', 1) AS double)"
 
 
-def to_long(text: Column) -> Column:
-    """Text to BIGINT, dropping any fraction; null where not a number.
+def to_double(text: str) -> Column:
+    """Text (a SQL expression) to DOUBLE; null where it is not a finite number."""
+    return F.expr(double_sql(text))
+
+
+def to_long(text: str) -> Column:
+    """Text (a SQL expression) to BIGINT, dropping any fraction; null where not a number.
 
     Plain integers take the first branch and never reach the pattern match.
     """
-    return F.coalesce(text.try_cast("bigint"), to_double(text).try_cast("bigint"))
+    return F.expr(f"coalesce(try_cast({text} AS bigint), try_cast({double_sql(text)} AS bigint))")
 
 
 def pct(part: Column, whole: Column) -> Column:

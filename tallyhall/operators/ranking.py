@@ -1,30 +1,30 @@
 """Exact quantiles and tiles without sorting everything in one task.
 
-All three operators first shrink the data to counts. Values then fall into
-blocks whose number is fixed by the range of a double, not by the rows, so the
-only window without a partition key runs over that short list of blocks.
+Every operator first shrinks the data to counts. Values fall into blocks whose
+number is fixed by the range of a double, not by the rows, so the only window
+without a partition key runs over that short list of blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 PER_OCTAVE = 256
 _LOWEST_OCTAVE = 1100  # below the exponent of the smallest double
-_LAST_BLOCK = PER_OCTAVE * 4096  # above every block of a finite value
 
 
-def value_block(value: Column) -> Column:
-    """Order-preserving many-to-one map of doubles onto a short range of BIGINT.
+def value_block(v: str) -> str:
+    """SQL: order-preserving many-to-one map of a DOUBLE onto a short range of BIGINT.
 
     Each doubling of the size is cut into 256 blocks, each about 0.27 % wide;
     a block of money amounts below a million holds some 270 000 cents at most.
+    NaN, used for nulls that sort last, has a block above all others.
     """
-    v = value.cast("double")
-    size = F.floor(F.log2(F.abs(v)) * PER_OCTAVE) + F.lit(_LOWEST_OCTAVE * PER_OCTAVE)
-    return F.when(v == 0, F.lit(0).cast("bigint")).when(v > 0, size).when(v < 0, -size)
+    size = f"floor(log2(abs({v})) * {PER_OCTAVE}) + {_LOWEST_OCTAVE * PER_OCTAVE}"
+    last = PER_OCTAVE * 4096
+    return f"CASE WHEN isnan({v}) THEN {last}L WHEN {v} = 0 THEN 0L WHEN {v} > 0 THEN {size} ELSE -({size}) END"
 
 
 def exact_quantiles(
@@ -35,69 +35,73 @@ def exact_quantiles(
     `probs` maps output names to probabilities. Equal values are counted before
     the first shuffle; only the blocks that hold a wanted rank are then ordered.
     """
-    by = list(by)
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*by, F.col(value).cast("double").alias("_v"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_b", value_block(F.col("_v")))
+    keys = [f"`{c}`" for c in by]
+    group = ", ".join(keys)
+    lead = "".join(f"{k}, " for k in keys)
+    of_counts = "".join(f"c.{k}, " for k in keys)
+    same = "".join(f" AND c.{k} <=> k.{k}" for k in keys)
+    whole = f"PARTITION BY {group}" if by else ""
+    # 0-based place between two neighbours of each quantile.
+    place = {name: f"((total - 1) * {float(p)!r}D)" for name, p in probs.items()}
+    wanted = " OR ".join(
+        f"{end}({pos}) BETWEEN before AND before + bn - 1"
+        for pos in place.values()
+        for end in ("floor", "ceil")
     )
-    upto = Window.partitionBy(*by).orderBy("_b")
-    blocks = (
-        counts.groupBy(*by, "_b")
-        .agg(F.sum("_n").alias("_bn"))
-        .select(
-            *by,
-            "_b",
-            "_bn",
-            (F.sum("_bn").over(upto) - F.col("_bn")).alias("_before"),
-            F.sum("_bn").over(Window.partitionBy(*by)).alias("_total"),
-        )
+    ends = ", ".join(
+        f"max(CASE WHEN {end}({pos}) BETWEEN lo AND hi THEN v END) AS `{end}_{name}`"
+        for name, pos in place.items()
+        for end in ("floor", "ceil")
     )
-    place = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in probs.items()}
-    first, last = F.col("_before"), F.col("_before") + F.col("_bn") - 1
-    wanted = F.lit(False)
-    for pos in place.values():
-        wanted = wanted | F.floor(pos).between(first, last) | F.ceil(pos).between(first, last)
-    theirs = {c: f"_kept_{i}" for i, c in enumerate([*by, "_b"])}
-    kept = blocks.where(wanted).withColumnsRenamed(theirs)
-
-    same = [F.col(c).eqNullSafe(F.col(other)) for c, other in theirs.items()]
-    inner = Window.partitionBy(*by, "_b").orderBy("_v")
-    ranked = (
-        counts.join(kept, same)
-        .select(*by, "_b", "_v", "_n", "_before", "_total")
-        .withColumn("_hi", F.col("_before") + F.sum("_n").over(inner) - 1)
-        .withColumn("_lo", F.col("_hi") - F.col("_n") + 1)
+    # Interpolate from the nearer neighbour, so that both ends come out exact.
+    between = ", ".join(
+        f"""CASE WHEN {pos} - floor({pos}) < 0.5D
+            THEN `floor_{name}` + (`ceil_{name}` - `floor_{name}`) * ({pos} - floor({pos}))
+            ELSE `ceil_{name}` - (`ceil_{name}` - `floor_{name}`) * (1 - ({pos} - floor({pos})))
+            END AS `{name}`"""
+        for name, pos in place.items()
     )
-    picks = [F.max("_total").alias("_total")]
-    for name, pos in place.items():
-        for end, rank in (("a", F.floor(pos)), ("b", F.ceil(pos))):
-            hit = F.when(rank.between(F.col("_lo"), F.col("_hi")), F.col("_v"))
-            picks.append(F.max(hit).alias(f"_{end}_{name}"))
-    found = ranked.groupBy(*by).agg(*picks)
-    return found.select(*by, *[_between(name, pos).alias(name) for name, pos in place.items()])
-
-
-def _between(name: str, pos: Column) -> Column:
-    """Interpolate from the nearer neighbour, so that both ends come out exact."""
-    a, b = F.col(f"_a_{name}"), F.col(f"_b_{name}")
-    t = pos - F.floor(pos)
-    return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t))
-
-
-def tile_of(rank: Column, total: Column, tiles: int) -> Column:
-    """The NTILE bucket of a 1-based rank: larger buckets come first."""
-    size = F.floor(total / tiles)
-    extra = total % tiles
-    wide = extra * (size + 1)
+    return df.sparkSession.sql(
+        f"""
+        WITH counts AS (
+          SELECT {lead}v, {value_block("v")} AS b, count(*) AS n
+          FROM (SELECT {lead}double(`{value}`) AS v FROM {{df}} WHERE `{value}` IS NOT NULL)
+          GROUP BY {lead}v),
+        blocks AS (SELECT {lead}b, sum(n) AS bn FROM counts GROUP BY {lead}b),
+        placed AS (
+          SELECT {lead}b, bn, sum(bn) OVER ({whole} ORDER BY b) - bn AS before,
+                 sum(bn) OVER ({whole}) AS total
+          FROM blocks),
+        kept AS (SELECT * FROM placed WHERE {wanted}),
+        ranked AS (
+          SELECT {of_counts}c.v, c.n, k.total,
+                 k.before + sum(c.n) OVER (PARTITION BY {of_counts}c.b ORDER BY c.v) - 1 AS hi
+          FROM counts c JOIN kept k ON c.b = k.b{same}),
+        found AS (
+          SELECT {lead}max(total) AS total, {ends}
+          FROM (SELECT *, hi - n + 1 AS lo FROM ranked)
+          {f"GROUP BY {group}" if by else ""})
+        SELECT {lead}{between} FROM found
+        """,
+        df=df,
+    )
+
+
+def tile_of(rank: str, total: str, tiles: int) -> str:
+    """SQL: the NTILE bucket of a 1-based rank; larger buckets come first."""
+    size, extra = f"({total} div {tiles})", f"({total} % {tiles})"
+    wide = f"({extra} * ({size} + 1))"
     return (
-        F.when(rank <= wide, F.ceil(rank / (size + 1)))
-        .otherwise(extra + F.ceil((rank - wide) / F.greatest(size, F.lit(1))))
-        .cast("int")
+        f"int(CASE WHEN {rank} <= {wide} THEN ({rank} + {size}) div ({size} + 1) "
+        f"ELSE {extra} + ({rank} - {wide} + {size} - 1) div greatest({size}, 1L) END)"
     )
 
 
+def last_rank(tile: str, total: str, tiles: int) -> str:
+    """SQL: the rank of the last row in an NTILE bucket."""
+    return f"({tile} * ({total} div {tiles}) + least({tile}, {total} % {tiles}))"
+
+
 def tiles_from_counts(
     df: DataFrame, value: str, tiles: int, descending: bool = False
 ) -> DataFrame:
@@ -107,78 +111,73 @@ def tiles_from_counts(
     on (value, how many). Distinct activity counts n sum to at most the number
     of events E, hence there are fewer than sqrt(2E) of them.
     """
-    order = F.col("_v").desc() if descending else F.col("_v").asc()
-    hist = df.groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    hist = hist.select(
-        "_v",
-        F.sum("_n").over(Window.orderBy(order)).alias("_hi"),
-        (F.sum("_n").over(Window.orderBy(order)) - F.col("_n") + 1).alias("_lo"),
-        F.sum("_n").over(Window.partitionBy()).alias("_all"),
-    )
-    lowest = tile_of(F.col("_lo"), F.col("_all"), tiles)
-    highest = tile_of(F.col("_hi"), F.col("_all"), tiles)
-    parts = hist.withColumn("tile", F.explode(F.sequence(lowest, highest)))
-    size, extra = F.floor(F.col("_all") / tiles), F.col("_all") % tiles
-    start = (F.col("tile") - 1) * size + F.least(F.col("tile") - 1, extra) + 1
-    end = F.col("tile") * size + F.least(F.col("tile"), extra)
-    share = F.least(F.col("_hi"), end) - F.greatest(F.col("_lo"), start) + 1
-    return (
-        parts.withColumn("_k", share)
-        .groupBy("tile")
-        .agg(F.sum("_k").alias("entities"), F.sum(F.col("_k") * F.col("_v")).alias("total"))
+    order = "DESC" if descending else "ASC"
+    return df.sparkSession.sql(
+        f"""
+        WITH hist AS (SELECT `{value}` AS v, count(*) AS n FROM {{df}} GROUP BY `{value}`),
+        ranges AS (
+          SELECT v, sum(n) OVER (ORDER BY v {order}) AS hi,
+                 sum(n) OVER (ORDER BY v {order}) - n + 1 AS lo, sum(n) OVER () AS total
+          FROM hist),
+        parts AS (
+          SELECT *, explode(sequence({tile_of("lo", "total", tiles)}, {tile_of("hi", "total", tiles)})) AS tile
+          FROM ranges),
+        cut AS (
+          SELECT tile, v,
+                 least(hi, {last_rank("tile", "total", tiles)})
+                   - greatest(lo - 1, {last_rank("(tile - 1)", "total", tiles)}) AS k
+          FROM parts)
+        SELECT tile, sum(k) AS entities, sum(k * v) AS total FROM cut GROUP BY tile
+        """,
+        df=df,
     )
 
 
-def spread_ntile(
+def with_ntile(
     df: DataFrame, id_col: str, value: str, tiles: int, name: str, descending: bool = False
 ) -> DataFrame:
     """Add the NTILE of every row, ordered by value (nulls last), ties by md5(id).
 
-    The md5 tie-break spreads rows that share a value evenly over 4096 slices,
-    whatever the ids look like, so one value may hold any part of the rows.
-    Rank = rows in lower blocks + rows of lower values in the block + rows of
-    lower slices of the value + place within the slice.
+    Only the last row of each tile is looked for; every row then compares itself
+    with those few, so rows are never shuffled. The search narrows from blocks
+    to cells, a cell being one value and one of 256 slices by md5. The md5
+    spreads rows that share a value, whatever their number and their ids.
+
+    Reads `df` four times: pass a saved or cheap table.
     """
-    v = F.col(value).cast("double")
-    v = F.lit(0.0) - v if descending else v
-    rows = (
-        df.withColumn("_v", F.coalesce(v, F.lit(float("nan"))))
-        .withColumn("_b", F.coalesce(value_block(v), F.lit(_LAST_BLOCK).cast("bigint")))
-        .withColumn("_h", F.md5(F.col(id_col).cast("string")))
-        .withColumn("_s", F.substring("_h", 1, 3))
-    )
-    slices = rows.groupBy("_b", "_v", "_s").agg(F.count("*").alias("_sn"))
-    values = slices.groupBy("_b", "_v").agg(F.sum("_sn").alias("_vn"))
-    blocks = (
-        values.groupBy("_b")
-        .agg(F.sum("_vn").alias("_bn"))
-        .select(
-            "_b",
-            (F.sum("_bn").over(Window.orderBy("_b")) - F.col("_bn")).alias("_block_before"),
-            F.sum("_bn").over(Window.partitionBy()).alias("_all"),
-        )
-    )
-    in_block = Window.partitionBy("_b").orderBy("_v")
-    in_value = Window.partitionBy("_b", "_v").orderBy("_s")
-    starts = (
-        slices.withColumn("_slice_before", F.sum("_sn").over(in_value) - F.col("_sn"))
-        .join(
-            values.withColumn("_value_before", F.sum("_vn").over(in_block) - F.col("_vn")),
-            ["_b", "_v"],
-        )
-        .join(blocks, "_b")
-        .select(
-            "_b",
-            "_v",
-            "_s",
-            "_all",
-            (F.col("_block_before") + F.col("_value_before") + F.col("_slice_before")).alias("_start"),
-        )
-    )
-    in_slice = Window.partitionBy("_b", "_v", "_s").orderBy("_h", id_col)
-    rank = F.col("_start") + F.row_number().over(in_slice)
-    return (
-        rows.join(starts, ["_b", "_v", "_s"])
-        .withColumn(name, tile_of(rank, F.col("_all"), tiles))
-        .drop("_b", "_v", "_s", "_h", "_all", "_start")
+    v = f"double(`{value}`)"
+    v = f"coalesce({'0D - ' + v if descending else v}, double('NaN'))"
+    rows = df.selectExpr(
+        "*", f"{v} AS _v", f"{value_block(v)} AS _b", f"md5(string(`{id_col}`)) AS _h"
+    ).withColumn("_s", F.expr("substring(_h, 1, 2)"))
+    # `needs` and `places` hold the wanted ranks, counted within the block and the cell.
+    bounds = df.sparkSession.sql(
+        f"""
+        WITH blocks AS (
+          SELECT _b, n, sum(n) OVER (ORDER BY _b) - n AS before, sum(n) OVER () AS total
+          FROM (SELECT _b, count(*) AS n FROM {{rows}} GROUP BY _b)),
+        wanted AS (
+          SELECT _b, filter(transform(sequence(1, {tiles - 1}),
+                                      t -> {last_rank("t", "total", tiles)} - before),
+                            r -> r BETWEEN 1 AND n) AS needs
+          FROM blocks),
+        cells AS (
+          SELECT _b, needs, _v, _s, count(*) AS n
+          FROM {{rows}} JOIN wanted USING (_b) WHERE size(needs) > 0
+          GROUP BY _b, needs, _v, _s),
+        placed AS (
+          SELECT *, sum(n) OVER (PARTITION BY _b ORDER BY _v, _s) - n AS before FROM cells),
+        targets AS (
+          SELECT _v, _s, filter(transform(needs, r -> r - before), r -> r BETWEEN 1 AND n) AS places
+          FROM placed),
+        candidates AS (
+          SELECT _v, _h, places, row_number() OVER (PARTITION BY _v, _s ORDER BY _h) AS place
+          FROM {{rows}} JOIN targets USING (_v, _s) WHERE size(places) > 0)
+        SELECT collect_list(struct(_v, _h)) AS bounds
+        FROM candidates WHERE array_contains(places, bigint(place))
+        """,
+        rows=rows,
     )
+    below = F.expr("size(filter(_bounds, x -> x < struct(_v, _h)))")
+    tiled = rows.withColumn("_bounds", bounds.scalar()).withColumn(name, below + 1)
+    return tiled.drop("_v", "_b", "_h", "_s", "_bounds")

@@ -145,7 +145,7 @@ def comments_log(raw: DataFrame) -> DataFrame:
         ("去重", F.lit("剔除重复评论"), c("unique")),
         ("异常值过滤", F.lit("剔除<15字符的灌水评论"), c("long")),
     ]
-    return _rows(one, COMMENTS, 17, steps)
+    return _rows(one, COMMENTS, 18, steps)
 
 
 def cleaning_report(raw: dict[str, DataFrame], window: tuple[int, int] = cb.WINDOW) -> DataFrame:

@@ -6,8 +6,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhall.functions.numbers import cut_right, ordinal, pct
-from tallyhall.operators.ranking import spread_ntile, tiles_from_counts
+from tallyhall.operators.ranking import tiles_from_counts, with_ntile
 from tallyhall.operators.shares import share
+from tallyhall.session import saved
 
 # Funnel stages in order, purchase-frequency bands.
 STAGES = (("pv", "浏览pv"), ("fav", "收藏fav"), ("cart", "加购cart"), ("buy", "购买buy"))
@@ -156,8 +157,8 @@ def rfm_segments(behavior: DataFrame) -> DataFrame:
         .agg(F.max("date").alias("last_buy"), F.count("*").alias("frequency"))
         .withColumn("recency", F.datediff(latest, F.col("last_buy")))
     )
-    scored = spread_ntile(buyers, "user_id", "recency", 5, "r", descending=True)
-    scored = spread_ntile(scored, "user_id", "frequency", 5, "f")
+    scored = with_ntile(saved(buyers), "user_id", "recency", 5, "r", descending=True)
+    scored = with_ntile(scored, "user_id", "frequency", 5, "f")
     recent, frequent = F.col("r") >= 4, F.col("f") >= 4
     segment = (
         F.when(recent & frequent, "重要价值")

@@ -17,7 +17,7 @@ EVENT_KEY = ("user_id", "item_id", "behavior_type", "timestamp")
 def checked(raw: DataFrame, window: tuple[int, int] = WINDOW) -> DataFrame:
     """Typed rows, each with the outcome of the three validity rules."""
     ids = ("user_id", "item_id", "category_id", "timestamp")
-    typed = raw.select(*[to_long(F.col(c)).alias(c) for c in ids], "behavior_type")
+    typed = raw.select(*[to_long(c).alias(c) for c in ids], "behavior_type")
     present = F.col("behavior_type").isNotNull()
     for c in ids:
         present = present & F.col(c).isNotNull()

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhall.functions.numbers import cut_right, to_double, to_long
-from tallyhall.functions.text import strip
 from tallyhall.operators.ranking import exact_quantiles
 
 # Host sizes, right-closed from 0.
 HOST_SCALES = ((2, "个人(1-2)"), (10, "小型(3-10)"), (50, "专业(11-50)"), (10**6, "机构(50+)"))
 CAP_QUANTILE = 0.99
+PRICE_DIGITS = "translate(price, '$,', '')"
 
 _LONGS = (
     "id", "host_id", "accommodates", "minimum_nights", "number_of_reviews",
@@ -26,20 +26,16 @@ _REQUIRED = ("neighbourhood_cleansed", "room_type", "host_id")
 
 def typed_listings(raw: DataFrame) -> DataFrame:
     """Every listing with its columns typed; '$1,234.00' becomes 1234.0."""
-    price = to_double(strip(F.regexp_replace("price", "[$,]", "")))
-    typed = {c: to_long(F.col(c)) for c in _LONGS}
-    typed |= {c: to_double(F.col(c)) for c in _DOUBLES}
-    typed |= {c: F.col(c).try_cast("date") for c in _DATES}
-    return raw.withColumns(typed | {"price": price})
-
-
-def priced_listings(raw: DataFrame) -> DataFrame:
-    return typed_listings(raw).where(F.col("price") > 0)
+    typed = {c: to_long(c) for c in _LONGS}
+    typed |= {c: to_double(c) for c in _DOUBLES}
+    typed |= {c: F.expr(f"try_cast({c} AS date)") for c in _DATES}
+    return raw.withColumns(typed | {"price": to_double(PRICE_DIGITS)})
 
 
 def price_cap(raw: DataFrame) -> DataFrame:
     """One row: the 99th percentile of price over all priced listings."""
-    return exact_quantiles(priced_listings(raw), "price", {"price_p99": CAP_QUANTILE})
+    prices = raw.select(to_double(PRICE_DIGITS).alias("price")).where("price > 0")
+    return exact_quantiles(prices, "price", {"price_p99": CAP_QUANTILE})
 
 
 def clean_listings(raw: DataFrame) -> DataFrame:
@@ -48,7 +44,8 @@ def clean_listings(raw: DataFrame) -> DataFrame:
     The cap is taken before incomplete rows go. It joins as a scalar subquery,
     which vanishes from plans that do not use price_winsor.
     """
-    capped = priced_listings(raw).withColumn(
+    priced = typed_listings(raw).where("price > 0")
+    capped = priced.withColumn(
         "price_winsor", F.least(F.col("price"), price_cap(raw).scalar())
     )
     return (
@@ -76,9 +73,9 @@ def clean_listing_reviews(raw: DataFrame, with_text: bool = True) -> DataFrame:
     """
     fields = ["listing_id", "date", "review_len"] + (["comments"] if with_text else [])
     typed = commented(raw).select(
-        to_long(F.col("id")).alias("id"),
+        to_long("id").alias("id"),
         F.struct(
-            to_long(F.col("listing_id")).alias("listing_id"),
+            to_long("listing_id").alias("listing_id"),
             F.col("date").try_cast("date").alias("date"),
             F.length("comments").alias("review_len"),
             *([F.col("comments")] if with_text else []),

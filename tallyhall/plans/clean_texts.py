@@ -21,7 +21,7 @@ def dated_reviews(raw: DataFrame) -> DataFrame:
     return raw.withColumns(
         {
             "Date": F.try_to_timestamp(stripped, F.lit("d/M/yyyy")).cast("date"),
-            "Rating": to_double(F.col("Rating")),
+            "Rating": to_double("Rating"),
         }
     )
 

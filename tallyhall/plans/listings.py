@@ -8,9 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhall.functions.numbers import cut_left, cut_right, mean, ordinal, pct
-from tallyhall.operators.ranking import spread_ntile, tiles_from_counts
+from tallyhall.operators.ranking import tiles_from_counts, with_ntile
 from tallyhall.operators.shares import share
 from tallyhall.plans.clean_listings import HOST_SCALES
+from tallyhall.session import saved
 
 # Band labels in order.
 NO_RATING = "无评分"
@@ -92,7 +93,7 @@ def ab_top_revenue_profile(listings: DataFrame) -> DataFrame:
     narrow = listings.select(
         "id", "estimated_revenue_l365d", "price_winsor", "review_scores_rating", "accommodates"
     )
-    tiled = spread_ntile(narrow, "id", "estimated_revenue_l365d", 4, "tile", descending=True)
+    tiled = with_ntile(saved(narrow), "id", "estimated_revenue_l365d", 4, "tile", descending=True)
     group = F.when(F.col("tile") == 1, TOP_REVENUE).otherwise(OTHER_REVENUE)
     return tiled.groupBy(group.alias("收入分层")).agg(
         mean(F.col("price_winsor")).alias("均价"),

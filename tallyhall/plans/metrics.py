@@ -19,6 +19,12 @@ from tallyhall.plans.listings import RATING_ORDER
 # Room types compared in the report.
 ENTIRE, PRIVATE = "Entire home/apt", "Private room"
 
+HEADLINE_INPUTS = (
+    "tb_overview", "tb_funnel", "tb_intermediate_conv", "tb_repurchase", "tb_user_activity_tier",
+    "tb_buyer_vs_nonbuyer", "tb_category_top_conv", "ab_room_type", "ab_host_concentration",
+    "ab_superhost_premium", "yp_rating_dist", "rd_sentiment_dist", "rd_pain_points",
+)
+
 
 def _pick(value: str, when: Column) -> Column:
     """The value of the one row that satisfies a condition, as an aggregate."""
@@ -38,7 +44,10 @@ def hourly_conversion(tb_hourly: DataFrame) -> DataFrame:
 
 
 def category_quadrants(tb_category: DataFrame) -> DataFrame:
-    """Categories against the median of views and of conversion (on the line counts as low)."""
+    """Categories against the median of views and of conversion (on the line counts as low).
+
+    Reads the result three times: pass a saved one.
+    """
     views = exact_quantiles(tb_category, "浏览量", {"m": 0.5}).scalar()
     conversion = exact_quantiles(tb_category, "购买转化率pct", {"m": 0.5}).scalar()
     seen, converts = F.col("浏览量") > views, F.col("购买转化率pct") > conversion

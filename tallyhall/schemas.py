@@ -31,3 +31,10 @@ RAW = {
     "reviews": REVIEWS,
     "comments": COMMENTS,
 }
+
+# Cleaned tables whose folders alone would not tell the type of every column:
+# the date of an event is text, though its folders look like dates.
+CLEANED = {
+    "behavior": "user_id LONG, item_id LONG, category_id LONG, behavior_type STRING, "
+    "datetime TIMESTAMP_NTZ, date STRING, hour INT, weekday INT",
+}

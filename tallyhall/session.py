@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -37,3 +37,14 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="tallyhall-")
     return f"{base.rstrip('/')}/tallyhall-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The same rows from a table written to the shared folder.
+
+    For a costly input that is read several times: written once, it is not
+    computed again, and a lost executor costs no more than re-reading a file.
+    """
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhall.functions.text import PANDAS_NA, blank_out
-from tallyhall.schemas import RAW, texts
+from tallyhall.schemas import CLEANED, RAW, texts
 
 # Names that change between the cleaned layer and the analysis tables, and the
 # columns the analysis keeps. None keeps everything.
@@ -81,7 +81,8 @@ def load_table(
     spark: SparkSession, cleaned_dir: str, table: str, cols: Sequence[str] | None = None
 ) -> DataFrame:
     """A cleaned table, all columns or some."""
-    df = spark.read.parquet(f"{cleaned_dir}/{table}")
+    reader = spark.read.schema(CLEANED[table]) if table in CLEANED else spark.read
+    df = reader.parquet(f"{cleaned_dir}/{table}")
     return df.select(*cols) if cols else df
 
 

@@ -7,9 +7,7 @@ never shorten an input: every row of every table is read.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from tallyhall.schemas import RAW
+from pyspark.sql import DataFrame, SparkSession
 
 # 2024-01-03 00:00:00 to 2024-01-28 23:59:59 at UTC+8: cuts off both ends of the events.
 EVENT_WINDOW = (1704211200, 1706457599)
@@ -31,147 +29,135 @@ TOPICS = {
 }
 
 
-def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+TABLES = {
+    "customer": "c_custkey LONG, c_name STRING, c_nationkey INT, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+    "orders": "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE, o_orderpriority STRING",
+    "lineitem": "l_orderkey LONG, l_partkey LONG, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, props STRING",
+    "documents": "doc_id LONG, text STRING, lang STRING, source STRING",
+    "labels": "doc_id LONG, quality INT, toxic INT",
+    "conversations": "conv_id LONG, turn LONG, text STRING",
+}
+
 
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A test table; giving the schema saves the job that would look it up."""
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
-def _every(column: str, n: int) -> Column:
-    return F.col(column) % n == 0
+
+def _view(spark: SparkSession, folder: str, query: str, *tables: str) -> DataFrame:
+    return spark.sql(query, **{name: table(spark, folder, name) for name in tables})
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    table = pa.table({"token": list(LEXICON), "valence": list(LEXICON.values())})
-    return spark.createDataFrame(table).select("token", F.col("valence").cast("decimal(4,1)").alias("valence"))
+    words = pa.table({"token": list(LEXICON), "valence": list(LEXICON.values())})
+    return spark.createDataFrame(words).selectExpr("token", "CAST(valence AS DECIMAL(4,1)) AS valence")
 
 
 def behavior_raw(spark: SparkSession, folder: str) -> DataFrame:
-    events = _table(spark, folder, "events")
-    events = events.unionByName(events.where(_every("event_id", 50)))  # planted duplicates
-    user = (
-        F.when(_every("event_id", 97), F.lit(None))
-        .when(_every("event_id", 101), F.lit("abc"))
-        .otherwise((F.col("user_id") * 20 + F.col("event_id") % 20).cast("string"))
-    )
-    item = F.get_json_object("props", "$.k")
-    kind = F.col("event_type")
-    for ours, theirs in (("view", "pv"), ("click", "fav"), ("signup", "cart"), ("purchase", "buy")):
-        kind = F.when(F.col("event_type") == ours, theirs).otherwise(kind)
-    return events.select(
-        user.alias("user_id"),
-        item.alias("item_id"),
-        (item.cast("bigint") % 20).cast("string").alias("category_id"),
-        kind.alias("behavior_type"),
-        F.unix_seconds(F.col("ts").cast("timestamp")).cast("string").alias("timestamp"),
-    )
+    query = """
+        WITH planted AS (  -- every event once, every fiftieth twice
+          SELECT *, get_json_object(props, '$.k') AS k
+          FROM {events} LATERAL VIEW explode(if(event_id % 50 = 0, array(1, 2), array(1))) AS copy)
+        SELECT CASE WHEN event_id % 97 = 0 THEN NULL
+                    WHEN event_id % 101 = 0 THEN 'abc'
+                    ELSE string(user_id * 20 + event_id % 20) END AS user_id,
+               k AS item_id,
+               string(bigint(k) % 20) AS category_id,
+               CASE event_type WHEN 'view' THEN 'pv' WHEN 'click' THEN 'fav' WHEN 'signup' THEN 'cart'
+                               WHEN 'purchase' THEN 'buy' ELSE event_type END AS behavior_type,
+               string(timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', date_trunc('SECOND', ts)))
+                 AS timestamp
+        FROM planted
+    """
+    return _view(spark, folder, query, "events")
 
 
 def listings_raw(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _table(spark, folder, "orders")
-    customer = _table(spark, folder, "customer")
-    nation = _table(spark, folder, "nation")
-    per_host = orders.groupBy("o_custkey").agg(F.count("*").alias("c")).withColumnRenamed("o_custkey", "h_key")
-    dec = "decimal(18,2)"
-    lines = (
-        _table(spark, folder, "lineitem")
-        .groupBy("l_orderkey")
-        .agg(
-            F.count("*").alias("n"),
-            (F.sum(F.col("l_quantity").cast(dec)).cast("double") / F.count("*") / 10).alias("rt"),
-            F.sum(F.col("l_extendedprice").cast(dec)).cast("double").alias("rev"),
-            F.min("l_shipdate").cast("date").alias("first"),
-            F.max("l_shipdate").cast("date").alias("last"),
-        )
-    )
-    n = F.coalesce("n", F.lit(0))
-    scale = (
-        F.when(_every("o_custkey", 40), F.lit(None))
-        .when(_every("o_custkey", 41), F.lit("60"))
-        .when(_every("o_custkey", 43), F.lit("0"))
-        .otherwise(F.col("c").cast("string"))
-    )
-    price = (
-        F.when(_every("o_orderkey", 61), F.lit(None))
-        .when(_every("o_orderkey", 67), F.lit("$0.00"))
-        .otherwise(F.concat(F.lit("$"), F.format_number("o_totalprice", 2)))
-    )
-    rooms = F.when(~_every("o_orderkey", 7), n)
-    columns = {
-        "id": F.col("o_orderkey"),
-        "host_id": F.col("o_custkey"),
-        "host_name": F.col("c_name"),
-        "host_is_superhost": F.when(F.col("o_orderstatus") == "F", "t").otherwise("f"),
-        "host_listings_count": scale,
-        "neighbourhood_cleansed": F.when(~_every("o_orderkey", 71), F.col("n_name")),
-        "latitude": F.lit(22.3),
-        "longitude": F.lit(114.2),
-        "property_type": F.col("c_mktsegment"),
-        "room_type": F.col("o_orderpriority"),
-        "accommodates": n + 1,
-        "bedrooms": rooms,
-        "beds": rooms,
-        "price": price,
-        "minimum_nights": F.col("o_orderkey") % 30 + 1,
-        "number_of_reviews": n,
-        "number_of_reviews_ltm": n,
-        "review_scores_rating": F.col("rt"),
-        "availability_365": F.col("o_orderkey") % 366,
-        "estimated_revenue_l365d": F.coalesce("rev", F.lit(0.0)),
-        "first_review": F.col("first"),
-        "last_review": F.col("last"),
-        "instant_bookable": F.when(F.col("o_orderstatus") == "O", "t").otherwise("f"),
-    }
-    joined = (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(per_host, F.col("o_custkey") == F.col("h_key"))
-        .join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    )
-    return joined.select(*[columns[c].cast("string").alias(c) for c in RAW["listings"]])
+    query = """
+        WITH h AS (SELECT o_custkey AS host, count(*) AS c FROM {orders} GROUP BY o_custkey),
+        l AS (
+          SELECT l_orderkey, count(*) AS n,
+                 double(sum(CAST(l_quantity AS DECIMAL(18,2)))) / count(*) / 10 AS rt,
+                 double(sum(CAST(l_extendedprice AS DECIMAL(18,2)))) AS rev,
+                 min(l_shipdate) AS first, max(l_shipdate) AS last
+          FROM {lineitem} GROUP BY l_orderkey)
+        SELECT string(o_orderkey) AS id,
+               string(o_custkey) AS host_id,
+               c_name AS host_name,
+               if(o_orderstatus = 'F', 't', 'f') AS host_is_superhost,
+               CASE WHEN o_custkey % 40 = 0 THEN NULL WHEN o_custkey % 41 = 0 THEN '60'
+                    WHEN o_custkey % 43 = 0 THEN '0' ELSE string(c) END AS host_listings_count,
+               if(o_orderkey % 71 = 0, NULL, n_name) AS neighbourhood_cleansed,
+               '22.3' AS latitude,
+               '114.2' AS longitude,
+               c_mktsegment AS property_type,
+               o_orderpriority AS room_type,
+               string(coalesce(n, 0) + 1) AS accommodates,
+               if(o_orderkey % 7 = 0, NULL, string(coalesce(n, 0))) AS bedrooms,
+               if(o_orderkey % 7 = 0, NULL, string(coalesce(n, 0))) AS beds,
+               CASE WHEN o_orderkey % 61 = 0 THEN NULL WHEN o_orderkey % 67 = 0 THEN '$0.00'
+                    ELSE '$' || format_number(o_totalprice, 2) END AS price,
+               string(o_orderkey % 30 + 1) AS minimum_nights,
+               string(coalesce(n, 0)) AS number_of_reviews,
+               string(coalesce(n, 0)) AS number_of_reviews_ltm,
+               string(rt) AS review_scores_rating,
+               string(o_orderkey % 366) AS availability_365,
+               string(coalesce(rev, 0D)) AS estimated_revenue_l365d,
+               string(date(first)) AS first_review,
+               string(date(last)) AS last_review,
+               if(o_orderstatus = 'O', 't', 'f') AS instant_bookable
+        FROM {orders}
+        JOIN {customer} ON o_custkey = c_custkey
+        JOIN {nation} ON c_nationkey = n_nationkey
+        JOIN h ON o_custkey = host
+        LEFT JOIN l ON o_orderkey = l_orderkey
+    """
+    return _view(spark, folder, query, "orders", "customer", "nation", "lineitem")
 
 
 def listing_reviews_raw(spark: SparkSession, folder: str) -> DataFrame:
-    said = F.concat_ws(" ", "l_returnflag", "l_linestatus")
-    return _table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").cast("string").alias("listing_id"),
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("id"),
-        F.col("l_shipdate").cast("date").cast("string").alias("date"),
-        F.when(~_every("l_partkey", 59), said).alias("comments"),
-    )
+    query = """
+        SELECT string(l_orderkey) AS listing_id,
+               string(l_orderkey * 10 + l_linenumber) AS id,
+               string(date(l_shipdate)) AS date,
+               if(l_partkey % 59 = 0, NULL, l_returnflag || ' ' || l_linestatus) AS comments
+        FROM {lineitem}
+    """
+    return _view(spark, folder, query, "lineitem")
 
 
 def reviews_raw(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents")
-    rows = docs.join(_table(spark, folder, "labels"), "doc_id", "left")
-    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 1500).cast("int"))
-    quoted = F.concat(F.lit('"'), F.date_format(day, "dd/MM/yyyy"), F.lit('"'))
-    return rows.select(
-        F.col("source").alias("business_id"),
-        F.concat(F.lit("shop "), "source").alias("business_name"),
-        F.when(_every("doc_id", 89), "31/02/2020").otherwise(quoted).alias("Date"),
-        (F.col("doc_id") % 7).cast("string").alias("Rating"),
-        F.when(~_every("doc_id", 83), F.col("text")).alias("Content"),
-        F.when(F.col("quality") == 1, "Elite").alias("Eelite_status"),
-        F.when(F.col("toxic") == 0, F.col("lang")).alias("Reactions"),
-    )
+    query = """
+        SELECT source AS business_id,
+               'shop ' || source AS business_name,
+               if(doc_id % 89 = 0, '31/02/2020',
+                  '"' || date_format(date_add(date'2020-01-01', int(doc_id % 1500)), 'dd/MM/yyyy') || '"') AS Date,
+               string(doc_id % 7) AS Rating,
+               if(doc_id % 83 = 0, NULL, text) AS Content,
+               if(quality = 1, 'Elite', NULL) AS Eelite_status,
+               if(toxic = 0, lang, NULL) AS Reactions
+        FROM {documents} LEFT JOIN {labels} USING (doc_id)
+    """
+    return _view(spark, folder, query, "documents", "labels")
 
 
 def comments_raw(spark: SparkSession, folder: str) -> DataFrame:
-    k = F.col("conv_id") * 10 + F.col("turn")
-    body = (
-        F.when(k % 23 == 0, "[deleted]")
-        .when(k % 29 == 0, "[removed]")
-        .when((F.col("turn") == 1) & _every("conv_id", 31), "short")
-        .otherwise(F.col("text"))
-    )
-    name = F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
-    talk = _table(spark, folder, "conversations").select(name.alias("comment_id"), body.alias("comment_body"))
-    docs = _table(spark, folder, "documents").where(F.col("lang") == "en")
-    docs = docs.unionByName(docs.where(_every("doc_id", 50)))  # planted duplicates
-    posts = docs.select(
-        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("comment_id"),
-        F.col("text").alias("comment_body"),
-    )
-    return talk.unionByName(posts)
+    query = """
+        SELECT 'c' || conv_id || '-' || turn AS comment_id,
+               CASE WHEN (conv_id * 10 + turn) % 23 = 0 THEN '[deleted]'
+                    WHEN (conv_id * 10 + turn) % 29 = 0 THEN '[removed]'
+                    WHEN turn = 1 AND conv_id % 31 = 0 THEN 'short'
+                    ELSE text END AS comment_body
+        FROM {conversations}
+        UNION ALL  -- every English document once, every fiftieth twice
+        SELECT 'd' || doc_id, text
+        FROM {documents} LATERAL VIEW explode(if(doc_id % 50 = 0, array(1, 2), array(1))) AS copy
+        WHERE lang = 'en'
+    """
+    return _view(spark, folder, query, "conversations", "documents")
 
 
 def raw_inputs(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
