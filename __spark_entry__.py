@@ -91,6 +91,12 @@ def _sentiment_label(spark: SparkSession, folder: str) -> DataFrame:
     return scored.groupBy("sentiment_label").agg(F.count("*").alias("documents"))
 
 
+def _listings_summary(spark: SparkSession, folder: str) -> DataFrame:
+    raw = tv.listings_raw(spark, folder)
+    reviews = cl.clean_listing_reviews(tv.listing_reviews_raw(spark, folder), with_text=False)
+    return cl.listings_summary(cl.clean_listings(raw), reviews, cl.price_cap(raw))
+
+
 def _cleaning_report(spark: SparkSession, folder: str) -> DataFrame:
     return audit.cleaning_report(tv.raw_inputs(spark, folder), SETTINGS.window)
 
@@ -109,7 +115,13 @@ def _total_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _headline_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    results = {name: _ask(name, spark, folder) for name in metrics.HEADLINE_INPUTS}
+    """Thirteen questions over four tables: each table is cleaned and saved once."""
+    fresh = Tables(spark, folder)
+    tables = {name: saved(fresh[name]) for name in ("behavior", "listings", "reviews", "comments")}
+    results = {
+        name: _ask(name, spark, folder) if name == "rd_pain_points" else suite.QUESTIONS[name](tables, SETTINGS)
+        for name in metrics.HEADLINE_INPUTS
+    }
     return metrics.headline_metrics(results, SETTINGS.entire, SETTINGS.private)
 
 
@@ -131,7 +143,8 @@ def _raw_csv_comments(spark: SparkSession, folder: str) -> DataFrame:
     """Comments with line breaks written as gzip CSV, read back by the raw reader, cleaned."""
     path = f"{shared_dir(spark)}/comments"
     writers.write_cleaned_csv(tv.comments_raw(spark, folder), path)
-    return ct.comments_summary(readers.read_csv(spark, path, "comments"), tv.lexicon(spark))
+    raw = readers.read_csv(spark, path, "comments")
+    return ct.comments_summary(ct.scored_comments(raw, tv.lexicon(spark)))
 
 
 def _cleaned_layer(spark: SparkSession, folder: str) -> DataFrame:
@@ -168,13 +181,11 @@ def queries() -> dict[str, Query]:
         "behavior_summary": lambda s, d: cb.behavior_summary(Tables(s, d)["behavior"]),
         "clean_listings": lambda s, d: cl.clean_listings(tv.listings_raw(s, d)),
         "clean_listing_reviews": lambda s, d: cl.clean_listing_reviews(tv.listing_reviews_raw(s, d)),
-        "listings_summary": lambda s, d: cl.listings_summary(
-            tv.listings_raw(s, d), tv.listing_reviews_raw(s, d)
-        ),
+        "listings_summary": _listings_summary,
         "clean_reviews": lambda s, d: ct.clean_reviews(tv.reviews_raw(s, d), tv.lexicon(s)),
-        "reviews_summary": lambda s, d: ct.reviews_summary(tv.reviews_raw(s, d)),
+        "reviews_summary": lambda s, d: ct.reviews_summary(ct.unique_reviews(tv.reviews_raw(s, d))),
         "clean_comments": lambda s, d: ct.clean_comments(tv.comments_raw(s, d), tv.lexicon(s)),
-        "comments_summary": lambda s, d: ct.comments_summary(tv.comments_raw(s, d), tv.lexicon(s)),
+        "comments_summary": lambda s, d: ct.comments_summary(Tables(s, d)["comments"]),
         "sentiment_score": _sentiment_score,
         "sentiment_label": _sentiment_label,
         "cleaning_report": _cleaning_report,

@@ -150,11 +150,12 @@ def tb_intermediate_conv(behavior: DataFrame, grain: tuple[str, ...] = ("user_id
 def rfm_segments(behavior: DataFrame) -> DataFrame:
     """Buyers by recency and frequency fifths (5 = most recent, most frequent)."""
     # Days since the last purchase, counted back from the data's last day.
-    latest = behavior.agg(F.max("date").alias("d")).scalar()
+    day = F.col("date").cast("date")
+    latest = behavior.agg(F.max(day).alias("d")).scalar()
     buyers = (
         behavior.where(_is("buy"))
         .groupBy("user_id")
-        .agg(F.max("date").alias("last_buy"), F.count("*").alias("frequency"))
+        .agg(F.max(day).alias("last_buy"), F.count("*").alias("frequency"))
         .withColumn("recency", F.datediff(latest, F.col("last_buy")))
     )
     scored = with_ntile(saved(buyers), "user_id", "recency", 5, "r", descending=True)
@@ -190,12 +191,13 @@ def retention_by_day(behavior: DataFrame) -> DataFrame:
     Each user is reduced to distinct days first, so a window over one user
     holds no more rows than the data has days.
     """
-    days = behavior.select("user_id", "date").distinct()
+    days = behavior.select("user_id", F.col("date").cast("date").alias("date")).distinct()
     first = F.min("date").over(Window.partitionBy("user_id"))
     counts = (
         days.withColumn("cohort", first)
         .groupBy("cohort", F.datediff("date", "cohort").alias("day_offset"))
         .agg(F.count("*").alias("users"))
+        .withColumn("cohort", F.col("cohort").cast("string"))
     )
     size = F.max(F.when(F.col("day_offset") == 0, F.col("users"))).over(Window.partitionBy("cohort"))
     return counts.withColumn("retention_pct", pct(F.col("users"), size))

@@ -61,6 +61,6 @@ def behavior_summary(behavior: DataFrame) -> DataFrame:
         F.countDistinct("user_id").alias("users"),
         F.countDistinct("item_id").alias("items"),
         F.countDistinct("category_id").alias("categories"),
-        F.min("date").alias("date_min"),
-        F.max("date").alias("date_max"),
+        F.min(F.col("date").cast("date")).cast("string").alias("date_min"),
+        F.max(F.col("date").cast("date")).cast("string").alias("date_max"),
     )

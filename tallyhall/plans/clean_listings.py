@@ -86,21 +86,16 @@ def clean_listing_reviews(raw: DataFrame, with_text: bool = True) -> DataFrame:
     return kept.select("id", "r.*").dropna(subset=["date"]).select(*order)
 
 
-def listings_summary(raw_listings: DataFrame, raw_reviews: DataFrame) -> DataFrame:
-    """One row over both tables; each part is a scalar of its own aggregate."""
-    reviews = clean_listing_reviews(raw_reviews, with_text=False)
+def listings_summary(listings: DataFrame, reviews: DataFrame, cap: DataFrame) -> DataFrame:
+    """One row over both cleaned tables and the price cap; each part is a scalar of its own."""
     parts = reviews.agg(F.struct(F.count("*").alias("n"), F.max("date").alias("latest")).alias("r"))
-    return (
-        clean_listings(raw_listings)
-        .agg(
-            F.count("*").alias("listings"),
-            F.countDistinct("neighbourhood_cleansed").alias("neighbourhoods"),
-        )
-        .select(
-            "listings",
-            parts.scalar()["n"].alias("reviews"),
-            price_cap(raw_listings).scalar().alias("price_p99"),
-            "neighbourhoods",
-            parts.scalar()["latest"].cast("string").alias("review_date_max"),
-        )
+    return listings.agg(
+        F.count("*").alias("listings"),
+        F.countDistinct("neighbourhood_cleansed").alias("neighbourhoods"),
+    ).select(
+        "listings",
+        parts.scalar()["n"].alias("reviews"),
+        cap.scalar().alias("price_p99"),
+        "neighbourhoods",
+        parts.scalar()["latest"].cast("string").alias("review_date_max"),
     )

@@ -31,53 +31,62 @@ def rated_reviews(raw: DataFrame) -> DataFrame:
 
 
 def keyed_reviews(raw: DataFrame) -> DataFrame:
-    """Dated, rated, non-empty reviews under a key equal for equal (business, text)."""
+    """Dated, rated, non-empty reviews with their features and a key for (business, text).
+
+    Nothing here needs other rows, so it is done before any shuffle. The key
+    stands in for the text, which then moves no further.
+    """
     return (
         rated_reviews(raw)
         .where(F.length("Content") > 0)
-        .withColumn("text_key", text_key(F.col("business_id"), F.col("Content")))
+        .select(
+            text_key(F.col("business_id"), F.col("Content")).alias("text_key"),
+            "Date",
+            "Rating",
+            "business_name",
+            F.col("Eelite_status").isNotNull().cast("int").alias("elite_flag"),
+            "Reactions",
+            "business_id",
+            F.length("Content").alias("review_len"),
+            word_count(F.col("Content")).alias("word_count"),
+            "Content",
+        )
     )
 
 
-def unique_reviews(raw: DataFrame) -> DataFrame:
-    """One row per (business, text), without the text.
+# Of several copies of a review the smallest row in this order of columns stays.
+_ROW = (
+    "Date", "Rating", "business_name", "elite_flag", "Reactions", "business_id", "review_len",
+    "word_count",
+)
 
-    Of several copies the smallest (date, rating, name, status, reactions) stays.
-    The key stands in for the text, so a text held by a third of the rows is
-    merged before the shuffle and no text is moved.
-    """
-    row = F.struct(
-        "Date",
-        "Rating",
-        "business_name",
-        F.col("Eelite_status").isNotNull().cast("int").alias("elite_flag"),
-        "Reactions",
-        "business_id",
-        F.length("Content").alias("review_len"),
-        word_count(F.col("Content")).alias("word_count"),
-    )
-    return keyed_reviews(raw).groupBy("text_key").agg(F.min(row).alias("r")).select("text_key", "r.*")
 
+def _one_per_text(rows: DataFrame, *extra: str) -> DataFrame:
+    kept = rows.groupBy("text_key").agg(F.min(F.struct(*_ROW, *extra)).alias("r"))
+    return kept.select("r.*")
 
-def with_sentiment(unique: DataFrame, texts: DataFrame, text: str, lexicon: DataFrame) -> DataFrame:
-    """Join each kept row with the score of its text."""
-    scored = valence_sums(texts, ["text_key"], text, lexicon).select(
-        "text_key", score(F.col("valence")).alias("sentiment")
-    )
-    joined = unique.join(scored, "text_key")
-    return joined.withColumn("sentiment_label", label(F.col("sentiment")))
+
+def unique_reviews(raw: DataFrame) -> DataFrame:
+    """One row per (business, text), without the text or its score.
+
+    A text held by a third of the rows is merged before the shuffle.
+    """
+    return _one_per_text(keyed_reviews(raw))
 
 
 def clean_reviews(raw: DataFrame, lexicon: DataFrame) -> DataFrame:
-    scored = with_sentiment(unique_reviews(raw), keyed_reviews(raw), "Content", lexicon)
-    return scored.select(
-        "business_id", "business_name", "Date", "Rating", "review_len", "word_count",
-        "elite_flag", "sentiment", "sentiment_label", "Reactions",
+    """One row per (business, text) with its sentiment, from one pass over the text."""
+    sums = valence_sums(keyed_reviews(raw), ["text_key", *_ROW], "Content", lexicon)
+    return _one_per_text(sums, "valence").select(
+        "business_id", "business_name", "Date", "Rating", "review_len", "word_count", "elite_flag",
+        score(F.col("valence")).alias("sentiment"),
+        label(score(F.col("valence"))).alias("sentiment_label"),
+        "Reactions",
     )
 
 
-def reviews_summary(raw: DataFrame) -> DataFrame:
-    return unique_reviews(raw).agg(
+def reviews_summary(reviews: DataFrame) -> DataFrame:
+    return reviews.agg(
         F.count("*").alias("rows"),
         F.countDistinct("business_id").alias("businesses"),
         mean(F.col("Rating")).alias("avg_rating"),
@@ -90,16 +99,18 @@ def live_body(body: Column) -> Column:
 
 
 def keyed_comments(raw: DataFrame) -> DataFrame:
+    """Live comments with length and key; a missing id is held as the empty text."""
     body = F.col("body")
     return (
         raw.withColumnRenamed("comment_body", "body")
         .where(live_body(body))
+        .withColumn("comment_id", F.coalesce("comment_id", F.lit("")))
         .withColumn("text_key", text_key(F.col("comment_id"), body))
         .withColumn("review_len", F.length(body))
     )
 
 
-def kept_comments(keyed: DataFrame, *extra: Column) -> DataFrame:
+def kept_comments(keyed: DataFrame, *extra: Column | str) -> DataFrame:
     """One row per comment_id: the shortest body, then the smallest key; 15+ characters.
 
     `extra` columns must depend on the body alone; they ride along without
@@ -110,15 +121,31 @@ def kept_comments(keyed: DataFrame, *extra: Column) -> DataFrame:
     return kept.where(F.col("review_len") >= MIN_BODY)
 
 
-def scored_comments(raw: DataFrame, lexicon: DataFrame, with_text: bool = False) -> DataFrame:
-    keyed = keyed_comments(raw)
-    extra = [F.col("body")] if with_text else []
-    return with_sentiment(kept_comments(keyed, *extra), keyed, "body", lexicon)
+def scored_comments(raw: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Kept comments without their text: id, length, sentiment. One pass over the text."""
+    keys = ["comment_id", "review_len", "text_key"]
+    kept = kept_comments(valence_sums(keyed_comments(raw), keys, "body", lexicon), "valence")
+    return kept.select(
+        "comment_id",
+        "review_len",
+        score(F.col("valence")).alias("sentiment"),
+        label(score(F.col("valence"))).alias("sentiment_label"),
+    )
 
 
 def clean_comments(raw: DataFrame, lexicon: DataFrame) -> DataFrame:
-    return scored_comments(raw, lexicon, with_text=True).select(
-        "comment_id", "body", "sentiment", "sentiment_label", "review_len"
+    """Kept comments with text and sentiment; both sides already lie by comment_id."""
+    scored = scored_comments(raw, lexicon).drop("review_len")
+    return (
+        kept_comments(keyed_comments(raw), "body")
+        .join(scored, "comment_id")
+        .select(
+            F.nullif("comment_id", F.lit("")).alias("comment_id"),
+            "body",
+            "sentiment",
+            "sentiment_label",
+            "review_len",
+        )
     )
 
 
@@ -128,8 +155,8 @@ def comment_topics(raw: DataFrame, topics: Mapping[str, Sequence[str]]) -> DataF
     return kept_comments(keyed_comments(raw), *flags)
 
 
-def comments_summary(raw: DataFrame, lexicon: DataFrame) -> DataFrame:
+def comments_summary(comments: DataFrame) -> DataFrame:
     negative = F.count_if(F.col("sentiment_label") == "负面").cast("double")
-    return scored_comments(raw, lexicon).agg(
+    return comments.agg(
         F.count("*").alias("rows"), F.try_divide(negative, F.count("*")).alias("neg_ratio")
     )

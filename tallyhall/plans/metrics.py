@@ -112,7 +112,8 @@ def low_star_share(yp_rating_dist: DataFrame) -> DataFrame:
 
 def day_span(behavior: DataFrame) -> DataFrame:
     """Days from the first to the last event, both included."""
-    return behavior.agg((F.datediff(F.max("date"), F.min("date")) + 1).alias("天数"))
+    day = F.col("date").cast("date")
+    return behavior.agg((F.datediff(F.max(day), F.min(day)) + 1).alias("天数"))
 
 
 def room_price_multiple(

@@ -81,17 +81,15 @@ def clean_all(raw: Tables, lexicon: DataFrame, settings: Settings) -> dict[str,
     }
 
 
-def summary(raw: Tables, lexicon: DataFrame, settings: Settings) -> DataFrame:
+def summary(cleaned: Tables, price_cap: DataFrame) -> DataFrame:
     """One row, one struct per dataset, rounded for reading."""
     parts = {
-        "taobao": cb.behavior_summary(cb.clean_behavior(raw["behavior"], settings.window)),
-        "airbnb": cl.listings_summary(raw["listings"], raw["listing_reviews"]),
-        "yelp": ct.reviews_summary(raw["reviews"]).withColumn("avg_rating", F.round("avg_rating", 2)),
-        "reddit": ct.comments_summary(raw["comments"], lexicon).withColumn(
-            "neg_ratio", F.round("neg_ratio", 4)
-        ),
+        "taobao": cb.behavior_summary(cleaned["behavior"]),
+        "airbnb": cl.listings_summary(cleaned["listings"], cleaned["listing_reviews"], price_cap),
+        "yelp": ct.reviews_summary(cleaned["reviews"]).withColumn("avg_rating", F.round("avg_rating", 2)),
+        "reddit": ct.comments_summary(cleaned["comments"]).withColumn("neg_ratio", F.round("neg_ratio", 4)),
     }
-    one = raw["behavior"].sparkSession.range(1)
+    one = price_cap.sparkSession.range(1)
     return one.select(
         *[df.select(F.struct(*df.columns).alias("s")).scalar().alias(k) for k, df in parts.items()]
     )
@@ -105,9 +103,10 @@ def run_cleaning(
     cleaned_dir = f"{out_dir}/cleaned"
     for name, df in clean_all(raw, lexicon, settings).items():
         writers.write_cleaned(df, cleaned_dir, name)
+    cleaned = {name: readers.load_table(spark, cleaned_dir, name) for name in raw}
     writers.write_log(audit.cleaning_report(dict(raw), settings.window), f"{out_dir}/cleaning_report")
-    writers.write_summary(summary(raw, lexicon, settings), f"{out_dir}/summary")
-    return {name: readers.load_table(spark, cleaned_dir, name) for name in raw}
+    writers.write_summary(summary(cleaned, cl.price_cap(raw["listings"])), f"{out_dir}/summary")
+    return cleaned
 
 
 def run_questions(
