@@ -14,7 +14,8 @@ BLANKS = "".join(
         *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
     )
 )
-WORD = f"[^{BLANKS}]+"
+# The same characters as a pattern: Unicode white space and four separators.
+WORD = r"(?U)[^\s\x1c-\x1f]+"
 
 # Texts that a pandas CSV reader takes as missing by default.
 PANDAS_NA = (
@@ -33,8 +34,8 @@ def word_count(text: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Runs of a-z after lower-casing; may hold empty strings at the ends."""
-    return F.split(F.lower(text), "[^a-z]+")
+    """Runs of a-z after lower-casing."""
+    return F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))
 
 
 def text_key(owner: Column, text: Column) -> Column:

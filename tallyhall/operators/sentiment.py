@@ -23,18 +23,18 @@ def valence_sums(df: DataFrame, keys: Sequence[str], text: str, lexicon: DataFra
     first and only (key, sum) pairs are shuffled, never text. Spark broadcasts
     the lexicon when its size allows and joins by shuffle when not.
     """
-    words = F.filter(tokens(F.col(text)), lambda t: t != "")
-    exploded = df.select(*keys, F.explode(F.array_append(words, F.lit(""))).alias("token"))
+    closing = lexicon.sparkSession.sql("SELECT '' AS token, 0 AS valence")
+    words = lexicon.where(F.col("token") != "").select("token", "valence").unionByName(closing)
     hits = (
-        exploded.join(lexicon.select("token", "valence"), "token", "left")
-        .where((F.col("token") == "") | F.col("valence").isNotNull())
+        df.select(*keys, F.explode(F.array_append(tokens(F.col(text)), F.lit(""))).alias("token"))
+        .join(words, "token")
         .groupBy(*keys)
         .agg(
             F.sum((F.col("valence") * 10).cast("bigint")).alias("_tenths"),
             F.count_if(F.col("token") == "").alias("_copies"),
         )
     )
-    one_copy = F.expr("coalesce(_tenths, 0L) div _copies")
+    one_copy = F.expr("_tenths div _copies")
     return hits.select(*keys, (one_copy.cast("double") / F.lit(10.0)).alias("valence"))
 
 
