@@ -133,8 +133,8 @@ def comments_log(raw: DataFrame) -> DataFrame:
         F.min(F.when(live, F.length(body))).alias("kept_len"),
     )
     one = per_id.agg(
-        F.sum("raw").alias("raw"),
-        F.sum("live").alias("live"),
+        F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"),
+        F.coalesce(F.sum("live"), F.lit(0)).alias("live"),
         _count_if("unique", F.col("kept_len").isNotNull()),
         _count_if("long", F.col("kept_len") >= ct.MIN_BODY),
     )
