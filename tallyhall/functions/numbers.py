@@ -6,14 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-# A plain decimal number between blanks. Casts alone would also take 'nan', 'inf', '12d'.
-NUMBER = (
-    r"(?U)^\s*([+-]?(?:[0-9]{1,200}\.?[0-9]{0,200}|\.[0-9]{1,200})(?:[eE][+-]?[0-9]{1,2})?)\s*$"
-)
-
 
 def double_sql(text: str) -> str:
-    return f"try_cast(regexp_extract({text}, r'{NUMBER}', 1) AS double)"
+    """SQL: a text as DOUBLE if it also reads as a decimal below 1e38.
+
+    A cast to DOUBLE alone would take 'nan', 'inf' and '12d' as well.
+    """
+    return f"CASE WHEN try_cast({text} AS decimal(38,0)) IS NOT NULL THEN try_cast({text} AS double) END"
 
 
 def to_double(text: str) -> Column:
@@ -24,7 +23,7 @@ def to_double(text: str) -> Column:
 def to_long(text: str) -> Column:
     """Text (a SQL expression) to BIGINT, dropping any fraction; null where not a number.
 
-    Plain integers take the first branch and never reach the pattern match.
+    Plain integers take the first branch.
     """
     return F.expr(f"coalesce(try_cast({text} AS bigint), try_cast({double_sql(text)} AS bigint))")
 

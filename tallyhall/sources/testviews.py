@@ -98,8 +98,7 @@ def listings_raw(spark: SparkSession, folder: str) -> DataFrame:
                string(coalesce(n, 0) + 1) AS accommodates,
                if(o_orderkey % 7 = 0, NULL, string(coalesce(n, 0))) AS bedrooms,
                if(o_orderkey % 7 = 0, NULL, string(coalesce(n, 0))) AS beds,
-               CASE WHEN o_orderkey % 61 = 0 THEN NULL WHEN o_orderkey % 67 = 0 THEN '$0.00'
-                    ELSE '$' || format_number(o_totalprice, 2) END AS price,
+               price,
                string(o_orderkey % 30 + 1) AS minimum_nights,
                string(coalesce(n, 0)) AS number_of_reviews,
                string(coalesce(n, 0)) AS number_of_reviews_ltm,
@@ -109,7 +108,10 @@ def listings_raw(spark: SparkSession, folder: str) -> DataFrame:
                string(date(first)) AS first_review,
                string(date(last)) AS last_review,
                if(o_orderstatus = 'O', 't', 'f') AS instant_bookable
-        FROM {orders}
+        FROM (  -- the lateral view formats each price once, as a file would hold it
+          SELECT * FROM {orders} LATERAL VIEW explode(array(
+            CASE WHEN o_orderkey % 61 = 0 THEN NULL WHEN o_orderkey % 67 = 0 THEN '$0.00'
+                 ELSE '$' || format_number(o_totalprice, 2) END)) AS price)
         JOIN {customer} ON o_custkey = c_custkey
         JOIN {nation} ON c_nationkey = n_nationkey
         JOIN h ON o_custkey = host

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -34,21 +36,45 @@ def test_saved_events_are_pruned_and_filtered_in_the_scan(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(date" in one_day
 
 
-@pytest.mark.parametrize("name", ["rd_sentiment_dist", "rd_len_vs_sentiment", "yp_rating_dist", "rd_pain_points"])
-def test_texts_are_not_shuffled(spark, name):
-    """No exchange below the text questions carries a text column."""
-    df = QUERIES[name](spark, FOLDER)
-    nodes, todo = [], [df._jdf.queryExecution().sparkPlan()]
+def shuffled_columns(df) -> set[str]:
+    """Names of all columns and struct fields that pass through an exchange."""
+    names, todo = set(), [df._jdf.queryExecution().executedPlan().initialPlan()]
     while todo:
         node = todo.pop()
-        nodes.append(node)
-        children = node.children()
-        todo += [children.apply(i) for i in range(children.size())]
-    shuffled = [n for n in nodes if n.nodeName() in ("HashAggregate", "SortAggregate")]
-    assert shuffled
-    for n in shuffled:
-        names = {n.output().apply(i).name() for i in range(n.output().size())}
-        assert not names & {"body", "Content", "text"}
+        if "Exchange" in node.nodeName():
+            names |= set(re.findall(r"(\w+):", node.schema().simpleString()))
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return names
+
+
+TEXT = {"body", "Content", "text", "comments"}
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "rd_sentiment_dist", "rd_len_vs_sentiment", "rd_pain_points", "comments_summary",
+        "ab_review_month_of_year", "listing_review_activity", "sentiment_score",
+    ],
+)
+def test_texts_are_not_shuffled(spark, name):
+    assert not shuffled_columns(QUERIES[name](spark, FOLDER)) & TEXT
+
+
+def test_reviews_do_not_shuffle_their_text(spark, tmp_path):
+    """Reviews from a file (the test view itself joins its two tables)."""
+    from tallyhall.plans import clean_texts as ct
+    from tallyhall.sources import testviews as tv
+
+    path = str(tmp_path / "reviews")
+    tv.reviews_raw(spark, FOLDER).write.parquet(path)
+    raw = spark.read.parquet(path)
+    assert not shuffled_columns(ct.clean_reviews(raw, tv.lexicon(spark))) & TEXT
+    assert not shuffled_columns(ct.unique_reviews(raw)) & TEXT
+
+
+def test_the_text_check_can_fail(spark):
+    assert shuffled_columns(QUERIES["clean_comments"](spark, FOLDER)) & TEXT == {"body"}
 
 
 def test_top_items_limit_before_the_shuffle(spark):
