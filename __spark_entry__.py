@@ -13,7 +13,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from oracle import sql as oracle  # noqa: E402
 from tallyhall.operators.sentiment import label, score, valence_sums
-from tallyhall.operators.shares import multi_row_gate
 from tallyhall.plans import (
     audit,
     behavior as tb,
@@ -74,9 +73,11 @@ def _ask(name: str, spark: SparkSession, folder: str) -> DataFrame:
     return suite.QUESTIONS[name](Tables(spark, folder), SETTINGS)
 
 
-def _derived(fn: Callable[[DataFrame], DataFrame], name: str, spark: SparkSession, folder: str) -> DataFrame:
-    """A figure derived from the result of a named question."""
-    return fn(_ask(name, spark, folder))
+def _figure(name: str, spark: SparkSession, folder: str) -> DataFrame:
+    """A figure derived from a named result, which is saved first if read repeatedly."""
+    source, derive = suite.FIGURES[name]
+    result = _ask(source, spark, folder)
+    return derive(saved(result) if name == "category_quadrants" else result, SETTINGS)
 
 
 def _sentiment_score(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,22 +161,6 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    rooms = {"entire": SETTINGS.entire, "private": SETTINGS.private}
-    derived: dict[str, tuple[Callable[[DataFrame], DataFrame], str]] = {
-        "funnel_rates": (metrics.funnel_rates, "tb_funnel"),
-        "hourly_conversion": (metrics.hourly_conversion, "tb_hourly"),
-        "category_quadrants": (lambda result: metrics.category_quadrants(saved(result)), "tb_category"),
-        "neighbourhood_top12": (metrics.neighbourhood_top, "ab_neighbourhood"),
-        "room_type_major": (metrics.room_type_major, "ab_room_type"),
-        "rating_band_ordered": (metrics.rating_band_ordered, "ab_price_by_rating"),
-        "superhost_labels": (metrics.superhost_labels, "ab_superhost_premium"),
-        "topic_tone": (metrics.topic_tone, "rd_pain_points"),
-        "pain_points_ranked": (metrics.pain_points_ranked, "rd_pain_points"),
-        "superhost_ratio": (metrics.superhost_ratio, "ab_superhost_premium"),
-        "low_star_share": (metrics.low_star_share, "yp_rating_dist"),
-        "room_price_multiple": (partial(metrics.room_price_multiple, **rooms), "ab_room_type"),
-        "multi_row_gate": (multi_row_gate, "tb_daily"),
-    }
     return {
         "clean_behavior": lambda s, d: Tables(s, d)["behavior"],
         "behavior_summary": lambda s, d: cb.behavior_summary(Tables(s, d)["behavior"]),
@@ -194,7 +179,7 @@ def queries() -> dict[str, Query]:
         "tb_intermediate_conv_same_day": lambda s, d: tb.tb_intermediate_conv(
             Tables(s, d)["behavior"], ("user_id", "date")
         ),
-        **{name: partial(_derived, fn, source) for name, (fn, source) in derived.items()},
+        **{name: partial(_figure, name) for name in suite.FIGURES},
         "day_span": lambda s, d: metrics.day_span(Tables(s, d)["behavior"]),
         "total_records": _total_records,
         "headline_metrics": _headline_metrics,

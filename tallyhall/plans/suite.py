@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyhall.operators.shares import multi_row_gate
 from tallyhall.plans import (
     audit,
     behavior as tb,
@@ -72,6 +73,26 @@ QUESTIONS: dict[str, Question] = {
 }
 
 
+Figure = Callable[[DataFrame, Settings], DataFrame]
+
+# Figures derived from one named result: the result's name and what to do with it.
+FIGURES: dict[str, tuple[str, Figure]] = {
+    "funnel_rates": ("tb_funnel", lambda r, s: metrics.funnel_rates(r)),
+    "hourly_conversion": ("tb_hourly", lambda r, s: metrics.hourly_conversion(r)),
+    "multi_row_gate": ("tb_daily", lambda r, s: multi_row_gate(r)),
+    "category_quadrants": ("tb_category", lambda r, s: metrics.category_quadrants(r)),
+    "neighbourhood_top12": ("ab_neighbourhood", lambda r, s: metrics.neighbourhood_top(r)),
+    "room_type_major": ("ab_room_type", lambda r, s: metrics.room_type_major(r)),
+    "room_price_multiple": ("ab_room_type", lambda r, s: metrics.room_price_multiple(r, s.entire, s.private)),
+    "rating_band_ordered": ("ab_price_by_rating", lambda r, s: metrics.rating_band_ordered(r)),
+    "superhost_labels": ("ab_superhost_premium", lambda r, s: metrics.superhost_labels(r)),
+    "superhost_ratio": ("ab_superhost_premium", lambda r, s: metrics.superhost_ratio(r)),
+    "low_star_share": ("yp_rating_dist", lambda r, s: metrics.low_star_share(r)),
+    "topic_tone": ("rd_pain_points", lambda r, s: metrics.topic_tone(r)),
+    "pain_points_ranked": ("rd_pain_points", lambda r, s: metrics.pain_points_ranked(r)),
+}
+
+
 def clean_all(raw: Tables, lexicon: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     return {
         "behavior": cb.clean_behavior(raw["behavior"], settings.window),
@@ -135,3 +156,14 @@ def run_questions(
         rows = list(pool.map(answer, QUESTIONS))
     report = pa.table({"seq": list(range(1, len(rows) + 1)), "name": list(QUESTIONS), "rows": rows})
     return spark.createDataFrame(report)
+
+
+def run_figures(spark: SparkSession, results_dir: str, settings: Settings = Settings()) -> list[str]:
+    """Derive every figure from the saved results and save it beside them."""
+    for name, (source, derive) in FIGURES.items():
+        result = readers.load_result(spark, results_dir, source)
+        writers.write_result(derive(result, settings), results_dir, name)
+    results = {name: readers.load_result(spark, results_dir, name) for name in metrics.HEADLINE_INPUTS}
+    headline = metrics.headline_metrics(results, settings.entire, settings.private)
+    writers.write_result(headline, results_dir, "headline_metrics")
+    return [*FIGURES, "headline_metrics"]
