@@ -59,8 +59,9 @@ def lexicon(spark: SparkSession) -> DataFrame:
 def behavior_raw(spark: SparkSession, folder: str) -> DataFrame:
     query = """
         WITH planted AS (  -- every event once, every fiftieth twice
-          SELECT *, get_json_object(props, '$.k') AS k
-          FROM {events} LATERAL VIEW explode(if(event_id % 50 = 0, array(1, 2), array(1))) AS copy)
+          SELECT *
+          FROM {events} LATERAL VIEW explode(
+            array_repeat(get_json_object(props, '$.k'), if(event_id % 50 = 0, 2, 1))) AS k)
         SELECT CASE WHEN event_id % 97 = 0 THEN NULL
                     WHEN event_id % 101 = 0 THEN 'abc'
                     ELSE string(user_id * 20 + event_id % 20) END AS user_id,
