@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from oracle import sql as oracle  # noqa: E402
-from tallyhall.operators.sentiment import label, score, valence_sums
+from tallyhall.operators.sentiment import context_sums, label, score, valence_sums
 from tallyhall.plans import (
     audit,
     behavior as tb,
@@ -87,6 +87,13 @@ def _sentiment_score(spark: SparkSession, folder: str) -> DataFrame:
     return sums.select("doc_id", score(F.col("valence")).alias("sentiment"))
 
 
+def _sentiment_in_context(spark: SparkSession, folder: str) -> DataFrame:
+    """As _sentiment_score, with the words around each hit taken into account."""
+    docs = tv.table(spark, folder, "documents")
+    sums = context_sums(docs, ["doc_id"], "text", tv.lexicon(spark), tv.CONTEXT)
+    return sums.select("doc_id", F.round(score(F.col("valence")), 6).alias("sentiment"))
+
+
 def _sentiment_label(spark: SparkSession, folder: str) -> DataFrame:
     scored = _sentiment_score(spark, folder).withColumn("sentiment_label", label(F.col("sentiment")))
     return scored.groupBy("sentiment_label").agg(F.count("*").alias("documents"))
@@ -173,6 +180,7 @@ def queries() -> dict[str, Query]:
         "comments_summary": lambda s, d: ct.comments_summary(Tables(s, d)["comments"]),
         "sentiment_score": _sentiment_score,
         "sentiment_label": _sentiment_label,
+        "sentiment_in_context": _sentiment_in_context,
         "cleaning_report": _cleaning_report,
         "cleaning_report_head": lambda s, d: audit.cleaning_report_head(_cleaning_report(s, d)),
         **{name: partial(_ask, name) for name in suite.QUESTIONS},

@@ -408,6 +408,60 @@ SCORED_DOCS = """
         JOIN lexicon USING (token) GROUP BY doc_id) USING (doc_id)"""
 
 
+def _in_context() -> str:
+    """The same heuristics with one row per word and windows over each document."""
+    words = lambda ws: ", ".join(f"'{w}'" for w in ws)
+    c = tv.CONTEXT
+    own = list(tv.LEXICON)
+    marks = r"""!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~"""
+    kind = (
+        f"CASE WHEN low IN ({words(own)}) THEN 'own' WHEN low IN ({words(c.intensifiers)}) THEN 'up' "
+        f"WHEN low IN ({words(c.dampeners)}) THEN 'down' "
+        f"WHEN low IN ({words(c.negators)}) OR contains(low, 'n''t') THEN 'not' END"
+    )
+
+    def step(v: str, k: str, caps: str, weight: float) -> str:
+        up = f"CASE WHEN mixed AND {caps} THEN CAST(0.733 AS DOUBLE) ELSE 0 END"
+        side = f"CASE WHEN {v} > 0 THEN CAST(1 AS DOUBLE) ELSE -1 END"
+        return f"""CASE {k} WHEN 'up' THEN {v} + {side} * ((CAST(0.293 AS DOUBLE) + {up}) * CAST({weight} AS DOUBLE))
+                            WHEN 'down' THEN {v} + {side} * ((-CAST(0.293 AS DOUBLE) + {up}) * CAST({weight} AS DOUBLE))
+                            WHEN 'not' THEN {v} * CAST(-0.74 AS DOUBLE) ELSE {v} END"""
+
+    return f"""
+      WITH lists AS (
+        SELECT doc_id, text, list_filter(list_transform(string_split_regex(text, '[{BLANK}]+'),
+                 lambda w: CASE WHEN length(trim(w, '{marks}')) <= 2 THEN w ELSE trim(w, '{marks}') END),
+                 lambda w: w <> '') AS ws FROM documents),
+      flat AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM lists),
+      marked AS (SELECT *, lower(w) AS low, w = upper(w) AND w <> lower(w) AS caps FROM flat),
+      kinds AS (SELECT *, {kind} AS kind FROM marked),
+      seen AS (
+        SELECT *, bool_or(caps) OVER d AND bool_or(NOT caps) OVER d AS mixed,
+               min(CASE WHEN low = '{c.contrast}' THEN pos END) OVER d AS turn,
+               lag(kind, 1) OVER o AS k1, lag(kind, 2) OVER o AS k2, lag(kind, 3) OVER o AS k3,
+               lag(caps, 1) OVER o AS c1, lag(caps, 2) OVER o AS c2, lag(caps, 3) OVER o AS c3
+        FROM kinds WINDOW d AS (PARTITION BY doc_id), o AS (PARTITION BY doc_id ORDER BY pos)),
+      v0 AS (SELECT *, CAST(valence AS DOUBLE) + CASE WHEN mixed AND caps THEN
+               CASE WHEN valence > 0 THEN CAST(0.733 AS DOUBLE) ELSE CAST(-0.733 AS DOUBLE) END ELSE 0 END AS a
+             FROM seen JOIN lexicon ON low = token),
+      v1 AS (SELECT *, {step("a", "k1", "c1", 1.0)} AS b FROM v0),
+      v2 AS (SELECT *, {step("b", "k2", "c2", 0.95)} AS c FROM v1),
+      v3 AS (SELECT *, {step("c", "k3", "c3", 0.9)} AS d FROM v2),
+      sums AS (
+        SELECT doc_id, CAST(sum(CAST(round(d * CASE WHEN pos < turn THEN CAST(0.5 AS DOUBLE)
+                 WHEN pos > turn THEN CAST(1.5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END * 100000000) AS BIGINT)) AS DOUBLE)
+                 / 100000000 AS s
+        FROM v3 GROUP BY doc_id),
+      marks AS (
+        SELECT doc_id, least(length(text) - length(replace(text, '!', '')), 4) * CAST(0.292 AS DOUBLE) AS e,
+               length(text) - length(replace(text, '?', '')) AS q FROM documents),
+      totals AS (
+        SELECT doc_id, coalesce(s, 0) + sign(coalesce(s, 0)) * (e + CASE WHEN q < 2 THEN 0
+                 WHEN q <= 3 THEN q * CAST(0.18 AS DOUBLE) ELSE CAST(0.96 AS DOUBLE) END) AS v
+        FROM marks LEFT JOIN sums USING (doc_id))
+      SELECT doc_id, round(v / sqrt(v * v + 15), 6) AS sentiment FROM totals"""
+
+
 def _one(question: str, column: str, where: str = "true") -> str:
     return f"(SELECT max({column}) FROM (@{question}@) WHERE {where})"
 
@@ -481,6 +535,7 @@ OTHERS = {
     "sentiment_label": f"""
       SELECT CASE WHEN sentiment <= -0.05 THEN '负面' WHEN sentiment <= 0.05 THEN '中性' ELSE '正面' END AS sentiment_label,
              count(*) AS documents FROM ({SCORED_DOCS}) GROUP BY 1""",
+    "sentiment_in_context": _in_context(),
     "cleaning_report": REPORT,
     "cleaning_report_head": f'SELECT "数据集", "清洗动作", "剩余记录数" FROM ({REPORT}) WHERE seq <= 17',
     "tb_intermediate_conv_same_day": _conversion("user_id, date"),

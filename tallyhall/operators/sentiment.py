@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Sequence
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhall.functions.numbers import cut_right
@@ -45,3 +48,119 @@ def score(valence: Column) -> Column:
 
 def label(sentiment: Column) -> Column:
     return cut_right(sentiment, LABEL_FLOOR, LABELS)
+
+
+@dataclass(frozen=True)
+class Context:
+    """Words that change the valence of what follows them, and the word that opens a contrast."""
+
+    intensifiers: tuple[str, ...] = (
+        "absolutely", "completely", "deeply", "entirely", "especially", "exceptionally", "extremely",
+        "fully", "greatly", "highly", "hugely", "incredibly", "particularly", "really", "remarkably",
+        "so", "thoroughly", "totally", "tremendously", "unbelievably", "utterly", "very",
+    )
+    dampeners: tuple[str, ...] = (
+        "almost", "barely", "hardly", "kinda", "less", "little", "marginally", "occasionally",
+        "partly", "scarcely", "slightly", "somewhat", "sorta",
+    )
+    negators: tuple[str, ...] = (
+        "cannot", "neither", "never", "none", "nope", "nor", "not", "nothing", "nowhere", "rarely",
+        "seldom", "without", "despite",
+    )
+    contrast: str = "but"
+
+
+# Fixed values from the published heuristics: the step of an intensifier and of
+# capitals, the factor of a negation, the weight by distance, contrast weights,
+# and the steps of exclamation and question marks.
+STEP, CAPITALS, NEGATED = 0.293, 0.733, -0.74
+DISTANCE = (1.0, 0.95, 0.9)
+BEFORE_CONTRAST, AFTER_CONTRAST = 0.5, 1.5
+EXCLAIM, EXCLAIM_MOST, ASK, ASK_MOST = 0.292, 4, 0.18, 0.96
+
+_CAPS = "coalesce({0} = upper({0}) AND {0} <> lower({0}), false)"
+
+
+def _words(text: str) -> str:
+    """SQL: blank-separated words without outer punctuation; short ones, like :), stay whole."""
+    marks = string.punctuation.replace("\\", "\\\\").replace("'", "\\'")
+    bare = f"btrim(w, '{marks}')"
+    split = f"split({text}, r'(?U)[\\s\\x1c-\\x1f]+')"
+    return f"filter(transform({split}, w -> if(length({bare}) <= 2, w, {bare})), w -> w <> '')"
+
+
+def _emphasis(text: str) -> str:
+    """SQL: what the text's exclamation and question marks add to the size of its sum."""
+    exclaims = f"least(regexp_count({text}, '!'), {EXCLAIM_MOST}) * {EXCLAIM}D"
+    asks = f"regexp_count({text}, '[?]')"
+    return (
+        f"{exclaims} + CASE WHEN {asks} < 2 THEN 0D WHEN {asks} <= 3 THEN {asks} * {ASK}D ELSE {ASK_MOST}D END"
+    )
+
+
+def context_sums(
+    df: DataFrame, keys: Sequence[str], text: str, lexicon: DataFrame, context: Context = Context()
+) -> DataFrame:
+    """valence_sums with the published heuristics for the words around each hit.
+
+    Up to three words before a hit may strengthen, weaken or negate it; capitals
+    amid lower case strengthen it; a contrast word shifts weight to what follows;
+    punctuation enlarges the sum. A hit reads its neighbours from the word list
+    of its own row, so this too needs no shuffle but that of the sums.
+    """
+    spark = lexicon.sparkSession
+    kinds = {w: 1 for w in context.intensifiers} | {w: -1 for w in context.dampeners}
+    kinds |= {w: 0 for w in context.negators}
+    modifiers = spark.createDataFrame(pa.table({"token": list(kinds), "kind": list(kinds.values())}))
+    # A modifier that has a valence of its own does not modify.
+    modifiers = modifiers.join(lexicon, "token", "left_anti").agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "kind"))).alias("m")
+    )
+    closing = spark.sql("SELECT '' AS token, 0 AS valence")
+    table = lexicon.where(F.col("token") != "").select("token", "valence").unionByName(closing)
+
+    key_list = [f"`{k}`" for k in keys]
+    rows = (
+        df.selectExpr(*key_list, f"{_words(f'`{text}`')} AS _words", f"{_emphasis(f'`{text}`')} AS _emphasis")
+        .selectExpr(
+            "*",
+            "transform(_words, w -> lower(w)) AS _low",
+            f"exists(_words, w -> {_CAPS.format('w')}) AND exists(_words, w -> NOT {_CAPS.format('w')}) AS _mixed",
+        )
+        .selectExpr("*", f"array_position(_low, '{context.contrast}') AS _contrast")
+        .withColumn("_modifiers", modifiers.scalar())
+    )
+    hits = (
+        rows.selectExpr("*", "posexplode(array_append(_low, '')) AS (_pos, token)")
+        .join(table, "token")
+        .withColumn(
+            "_v",
+            F.expr(
+                f"double(valence) + if(_mixed AND {_CAPS.format('get(_words, _pos)')}, "
+                f"if(valence > 0, {CAPITALS}D, -{CAPITALS}D), 0D)"
+            ),
+        )
+    )
+    for back, weight in enumerate(DISTANCE, 1):
+        word = f"get(_words, _pos - {back})"
+        kind = f"try_element_at(_modifiers, get(_low, _pos - {back}))"
+        size = f"({STEP}D * _kind + if(_mixed AND {_CAPS.format(word)}, {CAPITALS}D, 0D)) * {weight}D"
+        hits = hits.withColumn("_kind", F.expr(kind)).withColumn(
+            "_v",
+            F.expr(
+                f"""CASE WHEN _kind IN (1, -1) THEN _v + if(_v > 0, 1D, -1D) * {size}
+                         WHEN _kind = 0 OR contains(get(_low, _pos - {back}), "n't") THEN _v * {NEGATED}D
+                         ELSE _v END"""
+            ),
+        )
+    shifted = (
+        f"CASE WHEN token = '' THEN 0D WHEN _contrast = 0 OR _pos + 1 = _contrast THEN _v "
+        f"WHEN _pos + 1 < _contrast THEN _v * {BEFORE_CONTRAST}D ELSE _v * {AFTER_CONTRAST}D END"
+    )
+    sums = hits.groupBy(*keys).agg(
+        F.sum(F.expr(f"bigint(round({shifted} * 100000000D))")).alias("_units"),
+        F.count_if(F.col("token") == "").alias("_copies"),
+        F.max("_emphasis").alias("_emphasis"),
+    )
+    total = sums.selectExpr(*key_list, "(_units div _copies) / 100000000D AS _sum", "_emphasis")
+    return total.selectExpr(*key_list, "_sum + signum(_sum) * _emphasis AS valence")

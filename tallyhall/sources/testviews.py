@@ -9,6 +9,8 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhall.operators.sentiment import Context
+
 # 2024-01-03 00:00:00 to 2024-01-28 23:59:59 at UTC+8: cuts off both ends of the events.
 EVENT_WINDOW = (1704211200, 1706457599)
 MIN_CATEGORY_VIEWS = 84
@@ -27,6 +29,9 @@ TOPICS = {
     "封号/审查 (banned)": ["thre"],
     "幻觉/胡编 (hallucination)": ["thti"],
 }
+CONTEXT = Context(
+    intensifiers=("in", "to"), dampeners=("that", "of"), negators=("it", "as"), contrast="with"
+)
 
 
 TABLES = {
