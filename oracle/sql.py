@@ -585,7 +585,7 @@ OTHERS = {
 
 def _expand(sql: str) -> str:
     """Put the SQL of a named question in place of each @name@."""
-    while "@" in sql:
+    while re.search(r"@\w+@", sql):
         sql = re.sub(r"@(\w+)@", lambda m: QUESTIONS[m.group(1)], sql)
     return sql
 
