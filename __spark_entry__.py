@@ -27,6 +27,14 @@ from tallyhall.plans import (
 from tallyhall.session import saved, shared_dir
 from tallyhall.sources import readers, testviews as tv, writers
 
+try:  # the operators for training data can be taken out
+    import corpus_pipeline
+    from tallyhall.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tallyhall.llm", "tallyhall.llm.queries"):
+        raise
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 SETTINGS = suite.Settings(
     window=tv.EVENT_WINDOW,
@@ -195,8 +203,9 @@ def queries() -> dict[str, Query]:
         "raw_csv_comments": _raw_csv_comments,
         "cleaned_layer": _cleaned_layer,
         "named_query_suite": _named_query_suite,
+        **({**llm.queries(), "pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.all_queries()
+    return {**oracle.all_queries(), **(llm.oracle_sql() if llm else {})}
