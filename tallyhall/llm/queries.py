@@ -4,9 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhall.llm import token_orc
-from tallyhall.llm.common import ship, table
-from tallyhall.session import shared_dir
+from tallyhall.llm import chat, outliers, packing, token_orc, warc
+from tallyhall.llm.common import ship, table, words
+from tallyhall.session import saved, shared_dir
+
+# Words in a packed sequence.
+SEQUENCE_WORDS = 2048
+
+
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records, read back from the archives."""
+    ship(spark)
+    out = f"{shared_dir(spark)}/archives"
+    warc.write_archives(warc.roles(table(spark, folder, "pages")), out)
+    return warc.read_archives(spark, out, ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+
+
+def op4_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Base statistics and the verdict on every document."""
+    return outliers.judge(table(spark, folder, "documents"))
+
+
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations as event logs, folded, formatted, written, read back and parsed."""
+    ship(spark)
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string"
+    )
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    formatted = chat.format_events(chat.events_of(rows), ["turn", "role", "order", "step"])
+    return chat.digests(saved(formatted))
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of SEQUENCE_WORDS words; copies of a text are a cluster."""
+    ship(spark)
+    docs = table(spark, folder, "documents")
+    parts = packing.pieces(docs, F.size(words(F.col("text"))), F.xxhash64("text"), SEQUENCE_WORDS)
+    return packing.pack(saved(parts), SEQUENCE_WORDS)
 
 
 def op8_token_orc(spark: SparkSession, folder: str) -> DataFrame:
@@ -20,7 +56,8 @@ def op8_token_orc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op8_token_orc": op8_token_orc}
+    found = (op2_warc, op4_outliers, op5_chat, op6_packing, op8_token_orc)
+    return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
