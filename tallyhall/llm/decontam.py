@@ -21,6 +21,8 @@ from tallyhall.llm.simhash import BITS, distance, majority_bits
 from tallyhall.session import saved
 
 SHINGLE = 5
+# Anchors are broadcast up to so many (24 bytes each); more are joined by a shuffle.
+BROADCAST_ANCHORS = 1_000_000
 # Bits in which the fingerprint of a window may differ from the item's. Fingerprints are made of single
 # words: one word in twenty changed moves about 5 bits.
 RADIUS = 15
@@ -61,13 +63,14 @@ def anchors(benchmark_items: DataFrame, sizes: list[int], similarity: float) ->
 def windows(docs: DataFrame, places: DataFrame, sizes: list[int]) -> DataFrame:
     """doc_id, m, start, window: the text of every anchored window, clipped at the document's ends."""
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normal_words(F.col("text")).alias("_words"))
+    few = places.count() <= BROADCAST_ANCHORS
     n = F.size("_words")
     each = read.select("doc_id", "_words", F.posexplode("_words").alias("_at", "_word"))
     out = None
     for k in sizes:
         own = places.where(F.col("k") == k).select("h", "m", "ipos")
         runs = each.where(F.col("_at") <= n - k).withColumn("h", _run_hash(F.col("_words"), F.col("_at"), k))
-        hits = runs.join(own, "h").withColumn("start", F.col("_at") - F.col("ipos"))
+        hits = runs.join(F.broadcast(own) if few else own.hint("shuffle_merge"), "h").withColumn("start", F.col("_at") - F.col("ipos"))
         first, last = F.greatest("start", F.lit(0)), F.least(F.col("start") + F.col("m"), n)
         found = hits.select("doc_id", "m", "start", F.array_join(F.slice("_words", first + 1, last - first), " ").alias("window"))
         out = found if out is None else out.unionByName(found)
@@ -113,7 +116,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> Dat
     sizes = sorted(r[0] for r in listed.select("k").distinct().collect())  # at most SHINGLE numbers
     if not sizes:
         return spark.createDataFrame([], "doc_id long, item_id long, start int, similarity double")
-    found = saved(windows(docs, anchors(listed, sizes, similarity), sizes))
+    found = saved(windows(docs, saved(anchors(listed, sizes, similarity)), sizes))
     texts = found.select("m", "window").distinct()
     prints = _fingerprinted(texts, ["m", "window"], F.split("window", " "))
     item_texts = listed.select("m", "k", F.array_join("words", " ").alias("item")).distinct()

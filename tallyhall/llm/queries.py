@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhall.llm import chat, outliers, packing, token_orc, warc
+from tallyhall.llm import backoff, chat, cotrain, decontam, linededup, outliers, packing, simhash, token_orc, warc
 from tallyhall.llm.common import ship, table, words
 from tallyhall.session import saved, shared_dir
 
@@ -12,6 +12,12 @@ from tallyhall.session import saved, shared_dir
 SEQUENCE_WORDS = 2048
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of all documents whose fingerprints of three-word shingles are chained by three bits at most."""
+    ship(spark)
+    return simhash.classes(table(spark, folder, "documents"), size=3, radius=3)
+
+
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written as WARC records, read back from the archives."""
     ship(spark)
@@ -20,6 +26,13 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read_archives(spark, out, ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
 
+def op3_cotrain(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents by the two views, and the verdict."""
+    ship(spark)
+    docs = table(spark, folder, "documents")
+    return cotrain.score(docs, cotrain.train(docs, table(spark, folder, "labels")))
+
+
 def op4_outliers(spark: SparkSession, folder: str) -> DataFrame:
     """Base statistics and the verdict on every document."""
     return outliers.judge(table(spark, folder, "documents"))
@@ -45,6 +58,12 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(saved(parts), SEQUENCE_WORDS)
 
 
+def op7_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document under the trigram model of all others."""
+    ship(spark)
+    return backoff.score(table(spark, folder, "documents"))
+
+
 def op8_token_orc(spark: SparkSession, folder: str) -> DataFrame:
     """Byte-level BPE ids of all documents, written as ORC and read back."""
     import public_tokenizers
@@ -55,8 +74,23 @@ def op8_token_orc(spark: SparkSession, folder: str) -> DataFrame:
     return token_orc.token_index(spark, out)
 
 
+def op9_decontam(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold a benchmark item, and which."""
+    return decontam.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_linededup(spark: SparkSession, folder: str) -> DataFrame:
+    """Which lines of every document go, of all lines similar to another one."""
+    ship(spark)
+    found = linededup.removals(table(spark, folder, "documents"))
+    return found.select(F.col("doc").alias("doc_id"), "n_lines", F.size("removed").alias("n_removed"), "removed")
+
+
 def queries() -> dict:
-    found = (op2_warc, op4_outliers, op5_chat, op6_packing, op8_token_orc)
+    found = (
+        op1_simhash, op2_warc, op3_cotrain, op4_outliers, op5_chat, op6_packing, op7_backoff, op8_token_orc, op9_decontam,
+        op10_linededup,
+    )
     return {query.__name__: query for query in found}
 
 

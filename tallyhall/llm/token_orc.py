@@ -17,22 +17,42 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-# A task hands on its ids once so many bytes of text are encoded.
-FLUSH_BYTES = 4 << 20
-# A worker forgets the pieces that it has encoded beyond so many; they are encoded again when met again.
-MEMO_PIECES = 600_000
-# The byte-level pattern of the tokenizer never joins characters across these places: before a single space or
-# around a single line feed between two characters that are not blank.
+# Texts are encoded together until they have so many characters.
+FLUSH_CHARS = 1 << 20
+# A worker forgets the pieces that it has encoded beyond so many (some 200 MB); they are encoded again when met again.
+MEMO_PIECES = 1_500_000
+# The byte-level pattern of the tokenizer never joins characters across these places: before a single space
+# between two characters that are not blank.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_TWO_BLANKS = re.compile(r"\s\s")
+# Blanks other than space and line feed.
+_ODD = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+_PLAIN_ODD = [c for c in _ODD if c.isascii()]
+_RUNS = ("  ", "\n\n", " \n", "\n ")
+# Words of Latin letters, marks behind them or not, a line feed before them or not; so many are encoded at once.
+TOGETHER = 64
+_WORD = re.compile(r"\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[!#$%&*,.:;?|]*")
 _memos: dict[str, "PieceMemo"] = {}
 
 
+def _letters() -> dict[int, str]:
+    """The characters that byte-level tokenizers write bytes as: printable bytes as themselves, others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + n) for n, b in enumerate(others)}
+
+
 class PieceMemo(dict):
     """Piece of text -> its ids as little-endian unsigned 32-bit integers, encoded when first met.
 
     A byte-level BPE tokenizer cuts text by a pattern and encodes each cut alone, so the ids
     of a text are those of its pieces in order, whatever the pieces, if they end at such cuts.
+    A key is a word after a space, a line feed with the word after it, or, marked by a carriage return,
+    the word at the beginning of a text. Texts with other blanks or runs of them are cut with care, into
+    pieces that are kept under a carriage return too.
+
+    Words not met before are encoded many at once. The model merges bytes by rank; if no token
+    that such words could give has a blank within or a letter beside a mark, it can't merge
+    across them, and gives their ids one after another.
     """
 
     def __init__(self, path: str):
@@ -40,53 +60,77 @@ class PieceMemo(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
-        self[piece] = ids
-        return ids
+        self.model = self.tokenizer.model
+        self.letters = _letters()
+        self.new: set[str] = set()
+        tokens = self.tokenizer.get_vocab(with_added_tokens=False)
+        letter = "A-Za-z" + re.escape("".join(self.letters[b] for b in (*range(0x80, 0xC0), *range(0xC3, 0xCA))))
+        own = re.compile(f"[{letter}!#$%&*,.:;?|ĠĊ]+")
+        across = re.compile(f".[ĠĊ]|[!#$%&*,.:;?|][{letter}]|[{letter}][!#$%&*,.:;?|]")
+        self.apart = not any(across.search(t) for t in tokens if own.fullmatch(t) and t.strip("ĠĊ"))
+        self.first = {c: np.zeros(max(tokens.values()) + 1, bool) for c in "ĠĊ"}
+        for token, n in tokens.items():
+            if token[0] in self.first:
+                self.first[token[0]][n] = True
 
     def encode(self, text: str) -> bytes:
-        if _TWO_BLANKS.search(text) or text[:1].isspace() or text[-1:].isspace():
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        pieces, ends = [], []
+        for text in texts:
+            pieces += self.pieces(text)
+            ends.append(len(pieces))
+        found = list(map(self.__getitem__, pieces))
+        if self.new:
+            self.learn(self.new)
+            self.new = set()
+            found = [ids if ids.__class__ is bytes else self[ids] for ids in found]
+        return [b"".join(found[a:z]) for a, z in zip([0, *ends], ends)]
+
+    def __missing__(self, piece: str) -> str:
+        """The piece itself stands for its ids until it is learned."""
+        self.new.add(piece)
+        return piece
+
+    @staticmethod
+    def pieces(text: str) -> list[str]:
+        odd = _PLAIN_ODD if text.isascii() else _ODD
+        if text[:1] in " \n" or text[-1:] in " \n" or any(run in text for run in _RUNS) or any(c in text for c in odd):
             first, *rest = _CUT.split(text)
-        else:
-            lines = text.split("\n")
-            if len(lines) > 1:
-                return self["\n"].join([self.line(line) for line in lines])
-            return self.line(text)
-        return b"".join([self[first], *[self[" " + piece] for piece in rest]])
-
-    def line(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        return self[first] + b"".join(map(self.spaced.__getitem__, rest))
-
-    @property
-    def spaced(self) -> "SpacedMemo":
-        if "_spaced" not in self.__dict__:
-            self._spaced = SpacedMemo(self)
-        return self._spaced
-
-
-class SpacedMemo(dict):
-    """As PieceMemo, for pieces after a space; the space is not part of the key."""
-
-    def __init__(self, memo: PieceMemo):
-        self.memo = memo
-
-    def __missing__(self, piece: str) -> bytes:
-        # A closing mark after a letter is a cut of its own: most marked words are met without it too.
-        if piece[-1:] in ".,;:!?" and piece[-2:-1].isalpha():
-            ids = self[piece[:-1]] + self.memo[piece[-1]]
-        else:
-            ids = array("I", self.memo.tokenizer.encode(" " + piece, add_special_tokens=False).ids).tobytes()
-        self[piece] = ids
-        return ids
+            return ["\r" + first, *["\r " + piece for piece in rest]]
+        found = text.replace("\n", " \n").split(" ")
+        found[0] = "\r" + found[0]
+        return found
+
+    def learn(self, pieces: set[str]) -> None:
+        """Encode pieces that aren't known yet."""
+        kinds = {"Ġ": [], "Ċ": []}
+        for piece in pieces:
+            if self.apart and _WORD.fullmatch(piece):
+                kinds["Ċ" if piece[0] == "\n" else "Ġ"].append(piece)
+            else:
+                whole = piece[1:] if piece[:1] == "\r" else piece if piece[:1] == "\n" else " " + piece
+                self[piece] = array("I", self.tokenizer.encode(whole, add_special_tokens=False).ids).tobytes()
+        for mark, words in kinds.items():
+            between = "" if mark == "Ċ" else " "
+            for at in range(0, len(words), TOGETHER):
+                some = words[at : at + TOGETHER]
+                written = (between + between.join(some)).encode().decode("latin-1").translate(self.letters)
+                ids = np.array([token.id for token in self.model.tokenize(written)], dtype="<u4")
+                starts = np.flatnonzero(self.first[mark][ids]) * 4
+                if len(starts) != len(some):
+                    raise ValueError("the tokenizer's model joined words")
+                blob, edges = ids.tobytes(), [*starts.tolist(), 4 * len(ids)]
+                self.update((w, blob[a:z]) for w, a, z in zip(some, edges, edges[1:]))
 
 
 def _memo(path: str) -> PieceMemo:
     memo = _memos.get(path)
-    if memo is None or len(memo) + len(memo.spaced) > MEMO_PIECES:
+    if memo is None:
         memo = _memos[path] = PieceMemo(path)
+    if len(memo) > MEMO_PIECES:
+        memo.clear()
     return memo
 
 
@@ -99,8 +143,9 @@ def _encoder(path: str, end_id: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         closing, seq = array("I", [end_id]).tobytes(), 0
 
-        def flushed() -> pa.RecordBatch:
+        def flushed(keys: list, texts: list[str]) -> pa.RecordBatch:
             nonlocal seq
+            blobs = [ids + closing for ids in _memo(path).encode_all(texts)]
             out = pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.array(range(seq, seq + len(keys)), pa.int64()), _id_lists(blobs)],
                 names=["doc_id", "seq", "ids"],
@@ -109,18 +154,16 @@ def _encoder(path: str, end_id: int):
             return out
 
         for batch in batches:
-            keys, blobs, size = [], [], 0
+            keys, texts, size = [], [], 0
             for key, text in zip(batch.column(0), batch.column(1)):
-                text = text.as_py() or ""
-                memo = _memo(path)
                 keys.append(key.as_py())
-                blobs.append((memo.encode(text) if text else b"") + closing)
-                size += len(text)
-                if size >= FLUSH_BYTES:
-                    yield flushed()
-                    keys, blobs, size = [], [], 0
+                texts.append(text.as_py() or "")
+                size += len(texts[-1])
+                if size >= FLUSH_CHARS:
+                    yield flushed(keys, texts)
+                    keys, texts, size = [], [], 0
             if keys:
-                yield flushed()
+                yield flushed(keys, texts)
 
     return encode
 
@@ -139,7 +182,7 @@ def write_token_orc(
     ranged = thin.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     ids = ranged.mapInArrow(_encoder(tokenizer, end_id), "doc_id long, seq long, ids array<int>")
     (
-        ids.write.option("compression", "zstd")
+        ids.write.option("compression", "lz4")
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", "0.01")
         .option("orc.row.index.stride", str(stride))
@@ -177,7 +220,9 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     sums = rows.mapInArrow(_checksums, "file int, doc_id long, seq long, n_tokens long, ids_crc32 long")
     own = Window.partitionBy("file").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sums.groupBy("file").agg(F.sum("n_tokens").alias("total"))
+    total = F.sum("n_tokens").over(Window.partitionBy("file"))
+    placed = sums.select("*", F.coalesce(F.sum("n_tokens").over(own), F.lit(0)).alias("own"), total.alias("total"))
+    # Both branches stand on one exchange by file.
+    totals = placed.where("seq = 0").select("file", "total")
     offsets = totals.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
-    placed = sums.withColumn("own", F.coalesce(F.sum("n_tokens").over(own), F.lit(0)))
     return placed.join(offsets, "file").select("doc_id", (F.col("offset") + F.col("own")).alias("start"), "n_tokens", "ids_crc32")
