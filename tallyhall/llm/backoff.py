@@ -143,7 +143,7 @@ def _scores(total_words: int, leave_out: bool):
             full = np.zeros(len(key), np.int64)
             full[has] = count
             rest.append(full)
-        words = np.maximum(1, total_words - (split.lengths[split.doc] if leave_out else 0))
+        words = np.maximum(1, total_words - split.lengths[split.doc] * leave_out)
         # From the shortest context up: the longest n-gram that the others hold decides.
         score = np.log(np.maximum(rest[0], 1) / words)
         for order in range(1, ORDER):

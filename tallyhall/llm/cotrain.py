@@ -22,11 +22,15 @@ from tallyhall.session import saved
 LABELLED = 6000
 POOL = 4000
 VOCABULARY = 4000
+# A feature is known if its frequency differs between the kinds by so many standard errors.
+LEAST_Z = 3.0
 # Rounds of co-training, and the share of the pool that each view labels per round and class.
 ROUNDS = 3
 SHARE = 0.05
 # A document is kept from this probability on.
 THRESHOLD = 0.5
+# Letters in the beginnings of words that are features too: forms of a word share them.
+STEMS = (3, 4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -36,9 +40,11 @@ def _level(share: float) -> int:
 
 
 def text_features(text: str) -> set[str]:
-    """The text's words, and marks of its shape (they begin with #)."""
+    """The text's words, their beginnings (they end in *), and marks of its shape (they begin with #)."""
     n = len(text)
     found = set(_WORD.findall(text.lower()))
+    stems = [{w[:k] + "*" for w in found if len(w) >= k} for k in STEMS]
+    found.update(*stems)
     parts = text.split()
     lines = [line for line in text.split("\n") if line.strip()]
     letters = sum(map(text.count, "aeiouAEIOU")) or 1
@@ -77,7 +83,7 @@ class View:
         return self.slope * self.logit(features) + self.shift
 
 
-def fit(rows: list[set[str]], y: np.ndarray, penalty: float = 2.0, steps: int = 300) -> View:
+def fit(rows: list[set[str]], y: np.ndarray, penalty: float = 0.3, steps: int = 300) -> View:
     """Logistic regression with classes of equal weight and a quadratic penalty, by accelerated gradient descent."""
     names = sorted(set().union(*rows)) if rows else []
     place = {f: n for n, f in enumerate(names)}
@@ -100,14 +106,14 @@ def fit(rows: list[set[str]], y: np.ndarray, penalty: float = 2.0, steps: int =
     return View(dict(zip(names, w.tolist())), float(b))
 
 
-def _platt(z: np.ndarray, y: np.ndarray, steps: int = 500) -> np.ndarray:
-    """Coefficients and, last, the constant of a logistic regression on few columns, by Newton's method."""
+def _platt(z: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Coefficients and, last, the constant of a ridge logistic regression on few columns, by Newton's method."""
     x = np.column_stack([z, np.ones(len(y))])
     beta = np.zeros(x.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(x.shape[1])
-        step = np.linalg.solve(h, x.T @ (p - y) + 1e-2 * beta)
+        h = (x * (p * (1 - p))[:, None]).T @ x + np.eye(x.shape[1])
+        step = np.linalg.solve(h, x.T @ (p - y) + beta)
         beta = beta - step
         if np.abs(step).max() < 1e-9:
             break
@@ -146,7 +152,7 @@ def cotrain(text, meta, y, held, pool_text, pool_meta, rounds: int = ROUNDS, sha
             up, down = int(many * positive), many - int(many * positive)
             chosen = [(n, 0.0) for n in order[:down] if views[teacher].logit(pools[teacher][n]) < 0]
             chosen += [(n, 1.0) for n in order[len(order) - up :] if views[teacher].logit(pools[teacher][n]) > 0]
-            sure = _confident(views[teacher], pools[teacher], chosen, sets[teacher], text if teacher == "text" else meta, y, held)
+            sure = _confident(views[teacher], pools[teacher], chosen, text if teacher == "text" else meta, y, held)
             for n, label in sure:
                 sets[learner][0].append(pools[learner][n])
                 sets[learner][1].append(label)
@@ -161,7 +167,7 @@ def cotrain(text, meta, y, held, pool_text, pool_meta, rounds: int = ROUNDS, sha
     return Model(views["text"], views["meta"], tuple(_platt(both, truth)), len(train))
 
 
-def _confident(view, pool, chosen, _own, rows, y, held, least: float = 0.95):
+def _confident(view, pool, chosen, rows, y, held, least: float = 0.95):
     """Of the chosen rows those at logits beyond which the view is right, on held-out rows, at least that often."""
     logits = np.array([view.logit(rows[n]) for n in range(len(y)) if held[n]])
     truth = np.array([y[n] for n in range(len(y)) if held[n]])
@@ -218,7 +224,7 @@ def train(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY) -> M
     """The fitted model; None without labelled documents of both kinds.
 
     The text view knows the `vocabulary` features that tell the kinds of labelled documents
-    apart best; they are counted in Spark, and only those of each sampled document are collected.
+    apart best, by their frequency in either; they are counted in Spark, and only those of each sampled document are collected.
     """
     rows = saved(
         sample(docs, labels).mapInPandas(
@@ -236,7 +242,7 @@ def train(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY) -> M
     p, q = (F.col("bad") + 0.5) / (bad + 1), (F.col("good") + 0.5) / (good + 1)
     both = (F.col("bad") + F.col("good") + 1) / (totals["n"] + 2)
     z = F.abs(p - q) / F.sqrt(both * (1 - both) * (1 / (bad + 1) + 1 / (good + 1)))
-    best = F.broadcast(words.where("bad + good >= 3").orderBy(z.desc(), "f").limit(vocabulary).select("f"))
+    best = F.broadcast(words.where((F.col("bad") + F.col("good") >= 3) & (z >= LEAST_Z)).orderBy(z.desc(), "f").limit(vocabulary).select("f"))
     own = rows.select("doc_id", F.explode("features").alias("f")).join(best, "f").groupBy("doc_id").agg(F.collect_set("f").alias("text"))
     table = rows.select("doc_id", "y", "held", "meta").join(own, "doc_id", "left").orderBy("doc_id", "meta").toPandas()
     text = [frozenset(x) if x is not None else frozenset() for x in table["text"]]

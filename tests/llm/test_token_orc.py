@@ -36,7 +36,7 @@ def test_query(spark, folder):
 
 def test_edge_cases(spark, documents):
     out = shared_dir(spark)
-    token_orc.write_token_orc(documents, out, PATH, stride=5)
+    token_orc.write_token_orc(documents, out, PATH)
     assert found(token_orc.token_index(spark, out)) == expected(documents.select("doc_id", "text").collect())
     one = token_orc.read_token_orc(spark, out).where(F.col("doc_id") == 12)
     assert "EqualTo(doc_id,12)" in one._jdf.queryExecution().toString()
