@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from oracle import sql as oracle  # noqa: E402
-from tallyhall.operators.sentiment import context_sums, label, score, valence_sums
+from tallyhall.operators.sentiment import compound, context_sums, label, score, valence_sums
 from tallyhall.plans import (
     audit,
     behavior as tb,
@@ -40,6 +40,7 @@ SETTINGS = suite.Settings(
     window=tv.EVENT_WINDOW,
     min_category_views=tv.MIN_CATEGORY_VIEWS,
     season_start=tv.SEASON_START,
+    contrast=tv.CONTRAST,
     topics=tv.TOPICS,
     entire=tv.ENTIRE,
     private=tv.PRIVATE,
@@ -53,7 +54,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
-        self.lexicon = tv.lexicon(spark)
+        self.sentiment = (tv.lexicon(spark), tv.modifiers(spark), tv.CONTRAST)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name == "behavior":
@@ -65,10 +66,10 @@ class Tables:
             raw = tv.listing_reviews_raw(self.spark, self.folder)
             return cl.clean_listing_reviews(raw, with_text=False)
         if name == "reviews":
-            cleaned = ct.clean_reviews(tv.reviews_raw(self.spark, self.folder), self.lexicon)
+            cleaned = ct.clean_reviews(tv.reviews_raw(self.spark, self.folder), *self.sentiment)
             return readers.for_analysis(cleaned, "reviews")
         if name == "comments":
-            return ct.scored_comments(tv.comments_raw(self.spark, self.folder), self.lexicon)
+            return ct.scored_comments(tv.comments_raw(self.spark, self.folder), *self.sentiment)
         raise KeyError(name)
 
 
@@ -98,8 +99,8 @@ def _sentiment_score(spark: SparkSession, folder: str) -> DataFrame:
 def _sentiment_in_context(spark: SparkSession, folder: str) -> DataFrame:
     """As _sentiment_score, with the words around each hit taken into account."""
     docs = tv.table(spark, folder, "documents")
-    sums = context_sums(docs, ["doc_id"], "text", tv.lexicon(spark), tv.CONTEXT)
-    return sums.select("doc_id", F.round(score(F.col("valence")), 6).alias("sentiment"))
+    sums = context_sums(docs, ["doc_id"], "text", tv.lexicon(spark), tv.modifiers(spark), tv.CONTRAST)
+    return sums.select("doc_id", compound(F.col("valence")).alias("sentiment"))
 
 
 def _sentiment_label(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,7 +132,7 @@ def _total_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _headline_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Thirteen questions over four tables: each table is cleaned and saved once."""
+    """Seventeen questions over four tables: each table is cleaned and saved once."""
     fresh = Tables(spark, folder)
     tables = {name: saved(fresh[name]) for name in ("behavior", "listings", "reviews", "comments")}
     results = {
@@ -144,7 +145,7 @@ def _headline_metrics(spark: SparkSession, folder: str) -> DataFrame:
 def _named_query_suite(spark: SparkSession, folder: str) -> DataFrame:
     """Clean, save, answer everything from the saved tables, save, report."""
     out = shared_dir(spark)
-    suite.run_cleaning(tv.raw_inputs(spark, folder), tv.lexicon(spark), out, SETTINGS)
+    suite.run_cleaning(tv.raw_inputs(spark, folder), tv.lexicon(spark), out, SETTINGS, tv.modifiers(spark))
     return suite.run_questions(spark, f"{out}/cleaned", f"{out}/tables", SETTINGS)
 
 
@@ -160,7 +161,7 @@ def _raw_csv_comments(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{shared_dir(spark)}/comments"
     writers.write_cleaned_csv(tv.comments_raw(spark, folder), path)
     raw = readers.read_csv(spark, path, "comments")
-    return ct.comments_summary(ct.scored_comments(raw, tv.lexicon(spark)))
+    return ct.comments_summary(ct.scored_comments(raw, tv.lexicon(spark), tv.modifiers(spark), tv.CONTRAST))
 
 
 def _cleaned_layer(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,9 +183,9 @@ def queries() -> dict[str, Query]:
         "clean_listings": lambda s, d: cl.clean_listings(tv.listings_raw(s, d)),
         "clean_listing_reviews": lambda s, d: cl.clean_listing_reviews(tv.listing_reviews_raw(s, d)),
         "listings_summary": _listings_summary,
-        "clean_reviews": lambda s, d: ct.clean_reviews(tv.reviews_raw(s, d), tv.lexicon(s)),
+        "clean_reviews": lambda s, d: ct.clean_reviews(tv.reviews_raw(s, d), *Tables(s, d).sentiment),
         "reviews_summary": lambda s, d: ct.reviews_summary(ct.unique_reviews(tv.reviews_raw(s, d))),
-        "clean_comments": lambda s, d: ct.clean_comments(tv.comments_raw(s, d), tv.lexicon(s)),
+        "clean_comments": lambda s, d: ct.clean_comments(tv.comments_raw(s, d), *Tables(s, d).sentiment),
         "comments_summary": lambda s, d: ct.comments_summary(Tables(s, d)["comments"]),
         "sentiment_score": _sentiment_score,
         "sentiment_label": _sentiment_label,

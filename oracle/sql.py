@@ -26,12 +26,11 @@ def _band(value: str, op: str, bands: list[tuple[object, str]], default: str = "
     return f"CASE {whens} ELSE {default} END"
 
 
-def _mean(value: str, kind: str = "DECIMAL(18,6)") -> str:
-    return f"CAST(sum(CAST({value} AS {kind})) AS DOUBLE) / count({value})"
-
-
-def _mean_score(value: str) -> str:
-    return _mean(value, "DECIMAL(18,12)")
+def _mean(value: str) -> str:
+    """From an exact sum of the values as they are written, read back as the nearest double."""
+    return (
+        f"CAST(CAST(sum(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38,18))) AS VARCHAR) AS DOUBLE) / count({value})"
+    )
 
 
 def _pct(part: str, whole: str) -> str:
@@ -53,6 +52,63 @@ def _quantile(table: str, value: str, p: float, name: str, by: str = "") -> str:
             {group})"""
 
 
+def _in_context(rows: str) -> str:
+    """key, sentiment of rows (key, text): one row per word and windows over each text."""
+    words = lambda ws: ", ".join(f"'{w}'" for w in ws)
+    ups = [w for w, k in tv.MODIFIERS.items() if k == 1]
+    downs = [w for w, k in tv.MODIFIERS.items() if k == -1]
+    nots = [w for w, k in tv.MODIFIERS.items() if k == 0]
+    own = list(tv.LEXICON)
+    marks = r"""!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~"""
+    kind = (
+        f"CASE WHEN low IN ({words(own)}) THEN 'own' WHEN low IN ({words(ups)}) THEN 'up' "
+        f"WHEN low IN ({words(downs)}) THEN 'down' "
+        f"WHEN low IN ({words(nots)}) OR contains(low, 'n''t') THEN 'not' END"
+    )
+
+    def step(v: str, k: str, caps: str, weight: float) -> str:
+        up = f"CASE WHEN mixed AND {caps} THEN CAST(0.733 AS DOUBLE) ELSE 0 END"
+        side = f"CASE WHEN {v} > 0 THEN CAST(1 AS DOUBLE) ELSE -1 END"
+        return f"""CASE {k} WHEN 'up' THEN {v} + {side} * ((CAST(0.293 AS DOUBLE) + {up}) * CAST({weight} AS DOUBLE))
+                            WHEN 'down' THEN {v} + {side} * ((-CAST(0.293 AS DOUBLE) + {up}) * CAST({weight} AS DOUBLE))
+                            WHEN 'not' THEN {v} * CAST(-0.74 AS DOUBLE) ELSE {v} END"""
+
+    return f"""
+      WITH texts AS ({rows}),
+      lists AS (
+        SELECT key, list_filter(list_transform(string_split_regex(text, '[{BLANK}]+'),
+                 lambda w: CASE WHEN length(trim(w, '{marks}')) <= 2 THEN w ELSE trim(w, '{marks}') END),
+                 lambda w: w <> '') AS ws FROM texts),
+      flat AS (SELECT key, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM lists),
+      marked AS (SELECT *, lower(w) AS low, w = upper(w) AND w <> lower(w) AS caps FROM flat),
+      kinds AS (SELECT *, {kind} AS kind FROM marked),
+      seen AS (
+        SELECT *, bool_or(caps) OVER d AND bool_or(NOT caps) OVER d AS mixed,
+               min(CASE WHEN low = '{tv.CONTRAST}' THEN pos END) OVER d AS turn,
+               lag(kind, 1) OVER o AS k1, lag(kind, 2) OVER o AS k2, lag(kind, 3) OVER o AS k3,
+               lag(caps, 1) OVER o AS c1, lag(caps, 2) OVER o AS c2, lag(caps, 3) OVER o AS c3
+        FROM kinds WINDOW d AS (PARTITION BY key), o AS (PARTITION BY key ORDER BY pos)),
+      v0 AS (SELECT *, CAST(valence AS DOUBLE) + CASE WHEN mixed AND caps THEN
+               CASE WHEN valence > 0 THEN CAST(0.733 AS DOUBLE) ELSE CAST(-0.733 AS DOUBLE) END ELSE 0 END AS a
+             FROM seen JOIN lexicon ON low = token),
+      v1 AS (SELECT *, {step("a", "k1", "c1", 1.0)} AS b FROM v0),
+      v2 AS (SELECT *, {step("b", "k2", "c2", 0.95)} AS c FROM v1),
+      v3 AS (SELECT *, {step("c", "k3", "c3", 0.9)} AS d FROM v2),
+      sums AS (
+        SELECT key, CAST(sum(CAST(round(d * CASE WHEN pos < turn THEN CAST(0.5 AS DOUBLE)
+                 WHEN pos > turn THEN CAST(1.5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END * 100000000) AS BIGINT)) AS DOUBLE)
+                 / 100000000 AS s
+        FROM v3 GROUP BY key),
+      marks AS (
+        SELECT key, least(length(text) - length(replace(text, '!', '')), 4) * CAST(0.292 AS DOUBLE) AS e,
+               length(text) - length(replace(text, '?', '')) AS q FROM texts),
+      totals AS (
+        SELECT key, coalesce(s, 0) + sign(coalesce(s, 0)) * (e + CASE WHEN q < 2 THEN 0
+                 WHEN q <= 3 THEN q * CAST(0.18 AS DOUBLE) ELSE CAST(0.96 AS DOUBLE) END) AS v
+        FROM marks LEFT JOIN sums USING (key))
+      SELECT key, round(v / sqrt(v * v + 15), 6) AS sentiment FROM totals"""
+
+
 LO, HI = tv.EVENT_WINDOW
 
 CTES = {
@@ -161,38 +217,29 @@ CTES = {
       SELECT business_id, business_name, "Date", "Rating", review_len, word_count, elite_flag, sentiment,
              CASE WHEN sentiment <= -0.05 THEN '负面' WHEN sentiment <= 0.05 THEN '中性' ELSE '正面' END AS sentiment_label,
              "Reactions"
-      FROM (SELECT r.*, coalesce(v, 0) / sqrt(coalesce(v, 0) * coalesce(v, 0) + 15) AS sentiment
-            FROM reviews_kept r LEFT JOIN
-                 (SELECT rid, CAST(sum(valence) AS DOUBLE) AS v
-                  FROM (SELECT rid, unnest(regexp_extract_all(lower("Content"), '[a-z]+')) AS token FROM reviews_kept)
-                  JOIN lexicon USING (token) GROUP BY rid) USING (rid))""",
+      FROM reviews_kept JOIN review_scores ON rid = key""",
     "comments_raw": """
       SELECT 'c' || conv_id || '-' || turn AS comment_id,
              CASE WHEN (conv_id * 10 + turn) % 23 = 0 THEN '[deleted]'
                   WHEN (conv_id * 10 + turn) % 29 = 0 THEN '[removed]'
                   WHEN turn = 1 AND conv_id % 31 = 0 THEN 'short' ELSE text END AS comment_body
       FROM conversations
-      UNION ALL SELECT 'd' || doc_id, text FROM documents WHERE lang = 'en'
-      UNION ALL SELECT 'd' || doc_id, text FROM documents WHERE lang = 'en' AND doc_id % 50 = 0""",
+      UNION ALL SELECT 'd' || doc_id, text FROM documents
+      UNION ALL SELECT 'd' || doc_id, text FROM documents WHERE doc_id % 50 = 0""",
     "comments_live": """
       SELECT comment_id, comment_body AS body, CAST(length(comment_body) AS INTEGER) AS review_len
       FROM comments_raw
       WHERE comment_body IS NOT NULL AND comment_body NOT IN ('[deleted]', '[removed]', 'nan')""",
     "comments_unique": """
       SELECT comment_id, body, review_len
-      FROM (SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY review_len,
+      FROM (SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY review_len DESC,
                  sha256(length(comment_id) || ':' || comment_id || body)) AS rn FROM comments_live)
       WHERE rn = 1""",
     "comments": """
       SELECT comment_id, body, sentiment,
              CASE WHEN sentiment <= -0.05 THEN '负面' WHEN sentiment <= 0.05 THEN '中性' ELSE '正面' END AS sentiment_label,
              review_len
-      FROM (SELECT c.*, coalesce(v, 0) / sqrt(coalesce(v, 0) * coalesce(v, 0) + 15) AS sentiment
-            FROM comments_unique c LEFT JOIN
-                 (SELECT comment_id, CAST(sum(valence) AS DOUBLE) AS v
-                  FROM (SELECT comment_id, unnest(regexp_extract_all(lower(body), '[a-z]+')) AS token FROM comments_unique)
-                  JOIN lexicon USING (token) GROUP BY comment_id) USING (comment_id)
-            WHERE review_len >= 15)""",
+      FROM comments_unique JOIN comment_scores ON comment_id = key WHERE review_len >= 15""",
 }
 
 NEGATIVE = "sentiment_label = '负面'"
@@ -330,13 +377,13 @@ QUESTIONS = {
       FROM (SELECT l.*, (SELECT nullif(count(*), 0) FROM listing_reviews r WHERE r.listing_id = l.id) AS written FROM listings l)
       GROUP BY 1""",
     "yp_rating_dist": f"""
-      SELECT "Rating" AS "星级", count(*) AS "评论数", {_mean_score("sentiment")} AS "平均情感得分",
+      SELECT "Rating" AS "星级", count(*) AS "评论数", {_mean("sentiment")} AS "平均情感得分",
              {_mean("word_count")} AS "平均词数", {_pct("count(*)", "sum(count(*)) OVER ()")} AS "占比pct"
       FROM reviews GROUP BY 1""",
     "yp_elite_vs_normal": f"""
       SELECT CASE WHEN elite_flag = 1 THEN '精英用户' ELSE '普通用户' END AS "用户类型", count(*) AS "评论数",
              {_mean('"Rating"')} AS "平均星级", {_mean("word_count")} AS "平均词数",
-             {_mean_score("sentiment")} AS "平均情感得分"
+             {_mean("sentiment")} AS "平均情感得分"
       FROM reviews GROUP BY 1""",
     "sentiment_quantiles": "SELECT * FROM "
     + " JOIN ".join(
@@ -353,6 +400,8 @@ QUESTIONS = {
       FROM comments GROUP BY 1""",
     "rd_pain_points": _topics(),
 }
+CTES["review_scores"] = _in_context('SELECT rid AS key, "Content" AS text FROM reviews_kept')
+CTES["comment_scores"] = _in_context("SELECT comment_id AS key, body AS text FROM comments_unique")
 CTES["reviews_rated"] = 'SELECT "Rating" AS rating, sentiment FROM reviews'
 
 BEHAVIOR_SUMMARY = """
@@ -408,60 +457,6 @@ SCORED_DOCS = """
         JOIN lexicon USING (token) GROUP BY doc_id) USING (doc_id)"""
 
 
-def _in_context() -> str:
-    """The same heuristics with one row per word and windows over each document."""
-    words = lambda ws: ", ".join(f"'{w}'" for w in ws)
-    c = tv.CONTEXT
-    own = list(tv.LEXICON)
-    marks = r"""!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~"""
-    kind = (
-        f"CASE WHEN low IN ({words(own)}) THEN 'own' WHEN low IN ({words(c.intensifiers)}) THEN 'up' "
-        f"WHEN low IN ({words(c.dampeners)}) THEN 'down' "
-        f"WHEN low IN ({words(c.negators)}) OR contains(low, 'n''t') THEN 'not' END"
-    )
-
-    def step(v: str, k: str, caps: str, weight: float) -> str:
-        up = f"CASE WHEN mixed AND {caps} THEN CAST(0.733 AS DOUBLE) ELSE 0 END"
-        side = f"CASE WHEN {v} > 0 THEN CAST(1 AS DOUBLE) ELSE -1 END"
-        return f"""CASE {k} WHEN 'up' THEN {v} + {side} * ((CAST(0.293 AS DOUBLE) + {up}) * CAST({weight} AS DOUBLE))
-                            WHEN 'down' THEN {v} + {side} * ((-CAST(0.293 AS DOUBLE) + {up}) * CAST({weight} AS DOUBLE))
-                            WHEN 'not' THEN {v} * CAST(-0.74 AS DOUBLE) ELSE {v} END"""
-
-    return f"""
-      WITH lists AS (
-        SELECT doc_id, text, list_filter(list_transform(string_split_regex(text, '[{BLANK}]+'),
-                 lambda w: CASE WHEN length(trim(w, '{marks}')) <= 2 THEN w ELSE trim(w, '{marks}') END),
-                 lambda w: w <> '') AS ws FROM documents),
-      flat AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM lists),
-      marked AS (SELECT *, lower(w) AS low, w = upper(w) AND w <> lower(w) AS caps FROM flat),
-      kinds AS (SELECT *, {kind} AS kind FROM marked),
-      seen AS (
-        SELECT *, bool_or(caps) OVER d AND bool_or(NOT caps) OVER d AS mixed,
-               min(CASE WHEN low = '{c.contrast}' THEN pos END) OVER d AS turn,
-               lag(kind, 1) OVER o AS k1, lag(kind, 2) OVER o AS k2, lag(kind, 3) OVER o AS k3,
-               lag(caps, 1) OVER o AS c1, lag(caps, 2) OVER o AS c2, lag(caps, 3) OVER o AS c3
-        FROM kinds WINDOW d AS (PARTITION BY doc_id), o AS (PARTITION BY doc_id ORDER BY pos)),
-      v0 AS (SELECT *, CAST(valence AS DOUBLE) + CASE WHEN mixed AND caps THEN
-               CASE WHEN valence > 0 THEN CAST(0.733 AS DOUBLE) ELSE CAST(-0.733 AS DOUBLE) END ELSE 0 END AS a
-             FROM seen JOIN lexicon ON low = token),
-      v1 AS (SELECT *, {step("a", "k1", "c1", 1.0)} AS b FROM v0),
-      v2 AS (SELECT *, {step("b", "k2", "c2", 0.95)} AS c FROM v1),
-      v3 AS (SELECT *, {step("c", "k3", "c3", 0.9)} AS d FROM v2),
-      sums AS (
-        SELECT doc_id, CAST(sum(CAST(round(d * CASE WHEN pos < turn THEN CAST(0.5 AS DOUBLE)
-                 WHEN pos > turn THEN CAST(1.5 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END * 100000000) AS BIGINT)) AS DOUBLE)
-                 / 100000000 AS s
-        FROM v3 GROUP BY doc_id),
-      marks AS (
-        SELECT doc_id, least(length(text) - length(replace(text, '!', '')), 4) * CAST(0.292 AS DOUBLE) AS e,
-               length(text) - length(replace(text, '?', '')) AS q FROM documents),
-      totals AS (
-        SELECT doc_id, coalesce(s, 0) + sign(coalesce(s, 0)) * (e + CASE WHEN q < 2 THEN 0
-                 WHEN q <= 3 THEN q * CAST(0.18 AS DOUBLE) ELSE CAST(0.96 AS DOUBLE) END) AS v
-        FROM marks LEFT JOIN sums USING (doc_id))
-      SELECT doc_id, round(v / sqrt(v * v + 15), 6) AS sentiment FROM totals"""
-
-
 def _one(question: str, column: str, where: str = "true") -> str:
     return f"(SELECT max({column}) FROM (@{question}@) WHERE {where})"
 
@@ -503,9 +498,24 @@ def _headline() -> str:
         "negative_pct": tone("负面"),
         "positive_pct": tone("正面"),
         "top_topic_mentions": _one("rd_pain_points", '"提及数"'),
+        "days": "(SELECT CAST(max(date) AS DATE) - CAST(min(date) AS DATE) + 1 FROM behavior)",
+        "entire_price": _one("ab_room_type", '"均价"', f"\"房型\" = '{tv.ENTIRE}'"),
+        "private_price": _one("ab_room_type", '"均价"', f"\"房型\" = '{tv.PRIVATE}'"),
+        "top_neighbourhood_listings": _one("ab_neighbourhood", '"房源数"'),
+    }
+    for key, tier in (("top", "Top25%(高收入)"), ("rest", "其余75%")):
+        for short, column in (("price", "均价"), ("rating", "平均评分"), ("guests", "平均可住人数")):
+            figures[f"{key}_revenue_{short}"] = _one("ab_top_revenue_profile", f'"{column}"', f"\"收入分层\" = '{tier}'")
+    for key, band in (("1_2", "个人(1-2)"), ("3_10", "小型(3-10)"), ("11_50", "专业(11-50)"), ("over_50", "机构(50+)")):
+        figures[f"revenue_hosts_{key}"] = _one("ab_host_scale", '"房均年化收入"', f"\"房东规模\" = '{band}'")
+    first = lambda question, name, order: f'(SELECT "{name}" FROM (@{question}@) ORDER BY "{order}" DESC, "{name}" LIMIT 1)'
+    labels = {
+        "top_topic_mentions": first("rd_pain_points", "痛点主题", "提及数"),
+        "top_neighbourhood_listings": first("ab_neighbourhood", "区域", "房源数"),
     }
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS metric, CAST({value} AS DOUBLE) AS value" for name, value in figures.items()
+        f"SELECT '{name}' AS metric, CAST({value} AS DOUBLE) AS value, {labels.get(name, 'CAST(NULL AS VARCHAR)')} AS label"
+        for name, value in figures.items()
     )
 
 
@@ -535,7 +545,8 @@ OTHERS = {
     "sentiment_label": f"""
       SELECT CASE WHEN sentiment <= -0.05 THEN '负面' WHEN sentiment <= 0.05 THEN '中性' ELSE '正面' END AS sentiment_label,
              count(*) AS documents FROM ({SCORED_DOCS}) GROUP BY 1""",
-    "sentiment_in_context": _in_context(),
+    "sentiment_in_context": f"""
+      SELECT key AS doc_id, sentiment FROM ({_in_context("SELECT doc_id AS key, text FROM documents")})""",
     "cleaning_report": REPORT,
     "cleaning_report_head": f'SELECT "数据集", "清洗动作", "剩余记录数" FROM ({REPORT}) WHERE seq <= 17',
     "tb_intermediate_conv_same_day": _conversion("user_id, date"),
@@ -571,6 +582,8 @@ OTHERS = {
       SELECT a."供给占比pct" AS "整套占比pct", b."供给占比pct" AS "单间占比pct", a."均价" / b."均价" AS "均价倍数"
       FROM (@ab_room_type@) a JOIN (@ab_room_type@) b ON a."房型" = '{tv.ENTIRE}' AND b."房型" = '{tv.PRIVATE}'""",
     "multi_row_gate": "SELECT * FROM (@tb_daily@) WHERE (SELECT count(*) FROM (@tb_daily@)) > 1",
+    "host_scale_gate": "SELECT * FROM (@ab_host_scale@) WHERE (SELECT count(*) FROM (@ab_host_scale@)) > 1",
+    "elite_gate": "SELECT * FROM (@yp_elite_vs_normal@) WHERE (SELECT count(*) FROM (@yp_elite_vs_normal@)) > 1",
     "day_span": 'SELECT CAST(CAST(max(date) AS DATE) - CAST(min(date) AS DATE) + 1 AS INTEGER) AS "天数" FROM behavior',
     "total_records": """
       SELECT (SELECT count(*) FROM behavior) + (SELECT count(*) FROM listings) + (SELECT count(*) FROM listing_reviews)
@@ -591,17 +604,19 @@ def _expand(sql: str) -> str:
 
 
 def _needed(sql: str) -> list[str]:
-    """The views a query rests on, in definition order."""
-    found: set[str] = set()
-    todo = [sql]
-    while todo:
-        text = todo.pop()
-        for name in CTES:
-            if name not in found and re.search(rf"\b{name}\b", text):
-                found.add(name)
-                todo.append(CTES[name])
-    order = list(CTES)
-    return sorted(found, key=order.index)
+    """The views a query rests on, each after those that it rests on itself."""
+    found: list[str] = []
+    seen: set[str] = set()
+
+    def visit(text: str) -> None:
+        for name, own in CTES.items():
+            if name not in seen and re.search(rf"\b{name}\b", text):
+                seen.add(name)
+                visit(own)
+                found.append(name)
+
+    visit(sql)
+    return found
 
 
 def build(body: str) -> str:

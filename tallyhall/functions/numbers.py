@@ -8,11 +8,15 @@ from pyspark.sql import Column, functions as F
 
 
 def double_sql(text: str) -> str:
-    """SQL: a text as DOUBLE if it also reads as a decimal below 1e38.
+    """SQL: a text as DOUBLE if it reads as a finite number.
 
-    A cast to DOUBLE alone would take 'nan', 'inf' and '12d' as well.
+    A cast alone would take 'nan', 'inf' and '12d' as well. In SQL, NaN is above infinity.
     """
-    return f"CASE WHEN try_cast({text} AS decimal(38,0)) IS NOT NULL THEN try_cast({text} AS double) END"
+    number = f"try_cast({text} AS double)"
+    return (
+        f"CASE WHEN abs({number}) < double('inf') AND right(rtrim({text}), 1) NOT IN ('d', 'D', 'f', 'F') "
+        f"THEN {number} END"
+    )
 
 
 def to_double(text: str) -> Column:
@@ -33,17 +37,16 @@ def pct(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double") * F.lit(100), whole)
 
 
-def mean(value: Column, kind: str = "decimal(18,6)") -> Column:
-    """Mean of the non-null values, from an exact decimal sum.
+def mean(value: Column) -> Column:
+    """Mean of the non-null values, from an exact decimal sum where it fits.
 
-    A sum of doubles changes in its last digits with task order; this does not.
+    A sum of doubles changes in its last digits with task order; a sum of decimals with
+    eighteen places does not. Values or sums beyond its twenty whole digits fall back on
+    the plain mean.
     """
-    return F.try_divide(F.sum(value.cast(kind)).cast("double"), F.count(value))
-
-
-def mean_score(value: Column) -> Column:
-    """Mean of values within -1..1, kept to twelve places."""
-    return mean(value, "decimal(18,12)")
+    exact = value.try_cast("decimal(38,18)")
+    total = F.when(F.count(exact) == F.count(value), F.try_sum(exact)).cast("double")
+    return F.coalesce(F.try_divide(total, F.count(value)), F.avg(value))
 
 
 def cut_right(value: Column, low: float, bands: Sequence[tuple[float, str]]) -> Column:

@@ -40,6 +40,8 @@ def exact_quantiles(
     lead = "".join(f"{k}, " for k in keys)
     of_counts = "".join(f"c.{k}, " for k in keys)
     same = "".join(f" AND c.{k} <=> k.{k}" for k in keys)
+    # Without groups `kept` has at most two rows per probability; with groups, only counts meet it.
+    few = "" if by else "/*+ BROADCAST(k) */ "
     whole = f"PARTITION BY {group}" if by else ""
     # 0-based place between two neighbours of each quantile.
     place = {name: f"((total - 1) * {float(p)!r}D)" for name, p in probs.items()}
@@ -74,7 +76,7 @@ def exact_quantiles(
           FROM blocks),
         kept AS (SELECT * FROM placed WHERE {wanted}),
         ranked AS (
-          SELECT {of_counts}c.v, c.n, k.total,
+          SELECT {few}{of_counts}c.v, c.n, k.total,
                  k.before + sum(c.n) OVER (PARTITION BY {of_counts}c.b ORDER BY c.v) - 1 AS hi
           FROM counts c JOIN kept k ON c.b = k.b{same}),
         found AS (
@@ -139,7 +141,8 @@ def with_ntile(
     """Add the NTILE of every row, ordered by value (nulls last), ties by md5(id).
 
     Only the last row of each tile is looked for; every row then compares itself
-    with those few, so rows are never shuffled. The search narrows from blocks
+    with those few. The blocks and cells that hold such a row are at most tiles - 1, which is
+    why they are broadcast: only rows of those cells are shuffled. The search narrows from blocks
     to cells, a cell being one value and one of 256 slices by md5. The md5
     spreads rows that share a value, whatever their number and their ids.
 
@@ -162,8 +165,8 @@ def with_ntile(
                             r -> r BETWEEN 1 AND n) AS needs
           FROM blocks),
         cells AS (
-          SELECT _b, needs, _v, _s, count(*) AS n
-          FROM {{rows}} JOIN wanted USING (_b) WHERE size(needs) > 0
+          SELECT /*+ BROADCAST(w) */ _b, needs, _v, _s, count(*) AS n
+          FROM {{rows}} JOIN (SELECT * FROM wanted WHERE size(needs) > 0) AS w USING (_b)
           GROUP BY _b, needs, _v, _s),
         placed AS (
           SELECT *, sum(n) OVER (PARTITION BY _b ORDER BY _v, _s) - n AS before FROM cells),
@@ -171,8 +174,8 @@ def with_ntile(
           SELECT _v, _s, filter(transform(needs, r -> r - before), r -> r BETWEEN 1 AND n) AS places
           FROM placed),
         candidates AS (
-          SELECT _v, _h, places, row_number() OVER (PARTITION BY _v, _s ORDER BY _h) AS place
-          FROM {{rows}} JOIN targets USING (_v, _s) WHERE size(places) > 0)
+          SELECT /*+ BROADCAST(t) */ _v, _h, places, row_number() OVER (PARTITION BY _v, _s ORDER BY _h) AS place
+          FROM {{rows}} JOIN (SELECT * FROM targets WHERE size(places) > 0) AS t USING (_v, _s))
         SELECT collect_list(struct(_v, _h)) AS bounds
         FROM candidates WHERE array_contains(places, bigint(place))
         """,

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhall.functions.numbers import cut_right
@@ -16,6 +14,8 @@ from tallyhall.functions.text import tokens
 LABELS = ((-0.05, "负面"), (0.05, "中性"), (1.01, "正面"))
 LABEL_FLOOR = -1.01
 NORMALISER = 15
+# Valences are summed in millionths; a lexicon holds no finer ones.
+UNITS = 1_000_000
 
 
 def valence_sums(df: DataFrame, keys: Sequence[str], text: str, lexicon: DataFrame) -> DataFrame:
@@ -23,22 +23,22 @@ def valence_sums(df: DataFrame, keys: Sequence[str], text: str, lexicon: DataFra
 
     Rows that share a key must share the text. An empty token closes every row;
     counting those gives the number of copies, so duplicates need not be removed
-    first and only (key, sum) pairs are shuffled, never text. Spark broadcasts
+    first and only (key, sum) pairs are shuffled, never text. Missing text sums to 0. Spark broadcasts
     the lexicon when its size allows and joins by shuffle when not.
     """
     closing = lexicon.sparkSession.sql("SELECT '' AS token, 0 AS valence")
     words = lexicon.where(F.col("token") != "").select("token", "valence").unionByName(closing)
     hits = (
-        df.select(*keys, F.explode(F.array_append(tokens(F.col(text)), F.lit(""))).alias("token"))
+        df.select(*keys, F.explode(F.array_append(tokens(F.coalesce(F.col(text), F.lit(""))), F.lit(""))).alias("token"))
         .join(words, "token")
         .groupBy(*keys)
         .agg(
-            F.sum((F.col("valence") * 10).cast("bigint")).alias("_tenths"),
+            F.sum((F.col("valence") * UNITS).cast("bigint")).alias("_units"),
             F.count_if(F.col("token") == "").alias("_copies"),
         )
     )
-    one_copy = F.expr("_tenths div _copies")
-    return hits.select(*keys, (one_copy.cast("double") / F.lit(10.0)).alias("valence"))
+    one_copy = F.expr("_units div _copies")
+    return hits.select(*keys, (one_copy.cast("double") / F.lit(float(UNITS))).alias("valence"))
 
 
 def score(valence: Column) -> Column:
@@ -50,25 +50,7 @@ def label(sentiment: Column) -> Column:
     return cut_right(sentiment, LABEL_FLOOR, LABELS)
 
 
-@dataclass(frozen=True)
-class Context:
-    """Words that change the valence of what follows them, and the word that opens a contrast."""
-
-    intensifiers: tuple[str, ...] = (
-        "absolutely", "completely", "deeply", "entirely", "especially", "exceptionally", "extremely",
-        "fully", "greatly", "highly", "hugely", "incredibly", "particularly", "really", "remarkably",
-        "so", "thoroughly", "totally", "tremendously", "unbelievably", "utterly", "very",
-    )
-    dampeners: tuple[str, ...] = (
-        "almost", "barely", "hardly", "kinda", "less", "little", "marginally", "occasionally",
-        "partly", "scarcely", "slightly", "somewhat", "sorta",
-    )
-    negators: tuple[str, ...] = (
-        "cannot", "neither", "never", "none", "nope", "nor", "not", "nothing", "nowhere", "rarely",
-        "seldom", "without", "despite",
-    )
-    contrast: str = "but"
-
+CONTRAST = "but"
 
 # Fixed values from the published heuristics: the step of an intensifier and of
 # capitals, the factor of a negation, the weight by distance, contrast weights,
@@ -99,68 +81,75 @@ def _emphasis(text: str) -> str:
 
 
 def context_sums(
-    df: DataFrame, keys: Sequence[str], text: str, lexicon: DataFrame, context: Context = Context()
+    df: DataFrame, keys: Sequence[str], text: str, lexicon: DataFrame, modifiers: DataFrame | None = None,
+    contrast: str = CONTRAST,
 ) -> DataFrame:
     """valence_sums with the published heuristics for the words around each hit.
 
-    Up to three words before a hit may strengthen, weaken or negate it; capitals
-    amid lower case strengthen it; a contrast word shifts weight to what follows;
-    punctuation enlarges the sum. A hit reads its neighbours from the word list
-    of its own row, so this too needs no shuffle but that of the sums.
+    Up to three words before a hit may strengthen (kind 1 in `modifiers`: token, kind), weaken
+    (-1) or negate it (0, and words with n't); capitals amid lower case strengthen it; the
+    contrast word shifts weight to what follows; punctuation enlarges the sum. What a word
+    needs of its neighbours is put beside it before the words become rows, so rows are of
+    fixed width whichever way Spark joins them with the lexicon. Missing text sums to 0.
     """
     spark = lexicon.sparkSession
-    kinds = {w: 1 for w in context.intensifiers} | {w: -1 for w in context.dampeners}
-    kinds |= {w: 0 for w in context.negators}
-    modifiers = spark.createDataFrame(pa.table({"token": list(kinds), "kind": list(kinds.values())}))
-    # A modifier that has a valence of its own does not modify.
-    modifiers = modifiers.join(lexicon, "token", "left_anti").agg(
-        F.map_from_entries(F.collect_list(F.struct("token", "kind"))).alias("m")
+    if modifiers is None:
+        modifiers = spark.sql("SELECT '' AS token, 0 AS kind WHERE false")
+    # A modifier that has a valence of its own does not modify. The words are as many as were given.
+    kinds = modifiers.join(lexicon, "token", "left_anti").agg(
+        F.map_from_entries(F.collect_list(F.struct("token", F.col("kind").cast("int")))).alias("m")
     )
     closing = spark.sql("SELECT '' AS token, 0 AS valence")
     table = lexicon.where(F.col("token") != "").select("token", "valence").unionByName(closing)
 
     key_list = [f"`{k}`" for k in keys]
-    rows = (
-        df.selectExpr(*key_list, f"{_words(f'`{text}`')} AS _words", f"{_emphasis(f'`{text}`')} AS _emphasis")
+    body = f"coalesce(`{text}`, '')"
+    before = [
+        f"CASE WHEN contains(get(_low, i - {back}), \"n't\") AND try_element_at(_kinds, get(_low, i - {back})) IS NULL THEN 0 "
+        f"ELSE try_element_at(_kinds, get(_low, i - {back})) END AS k{back}, "
+        f"_mixed AND coalesce(get(_caps, i - {back}), false) AS c{back}"
+        for back in range(1, len(DISTANCE) + 1)
+    ]
+    side = f"CASE WHEN _turn = 0 OR i + 1 = _turn THEN 1D WHEN i + 1 < _turn THEN {BEFORE_CONTRAST}D ELSE {AFTER_CONTRAST}D END"
+    word = f"struct(_low[i] AS token, _mixed AND _caps[i] AS caps, {side} AS weight, {', '.join(before)}, 0D AS emphasis)"
+    blank = ", ".join(f"CAST(NULL AS int) AS k{back}, false AS c{back}" for back in range(1, len(DISTANCE) + 1))
+    last = f"struct('' AS token, false AS caps, 0D AS weight, {blank}, _emphasis AS emphasis)"
+    places = "if(size(_low) = 0, CAST(array() AS array<int>), sequence(0, size(_low) - 1))"
+    hits = (
+        df.selectExpr(*key_list, f"{_words(body)} AS _words", f"{_emphasis(body)} AS _emphasis")
         .selectExpr(
-            "*",
-            "transform(_words, w -> lower(w)) AS _low",
-            f"exists(_words, w -> {_CAPS.format('w')}) AND exists(_words, w -> NOT {_CAPS.format('w')}) AS _mixed",
+            *key_list, "_emphasis", "transform(_words, w -> lower(w)) AS _low",
+            f"transform(_words, w -> {_CAPS.format('w')}) AS _caps",
         )
-        .selectExpr("*", f"array_position(_low, '{context.contrast}') AS _contrast")
-        .withColumn("_modifiers", modifiers.scalar())
-    )
-    hits = (
-        rows.selectExpr("*", "posexplode(array_append(_low, '')) AS (_pos, token)")
+        .selectExpr(
+            "*", "exists(_caps, c -> c) AND exists(_caps, c -> NOT c) AS _mixed",
+            f"array_position(_low, '{contrast}') AS _turn",
+        )
+        .withColumn("_kinds", kinds.scalar())
+        .selectExpr(*key_list, f"inline(array_append(transform({places}, i -> {word}), {last}))")
         .join(table, "token")
         .withColumn(
-            "_v",
-            F.expr(
-                f"double(valence) + if(_mixed AND {_CAPS.format('get(_words, _pos)')}, "
-                f"if(valence > 0, {CAPITALS}D, -{CAPITALS}D), 0D)"
-            ),
+            "_v", F.expr(f"double(valence) + if(caps, if(valence > 0, {CAPITALS}D, -{CAPITALS}D), 0D)")
         )
-    )
+    )
     for back, weight in enumerate(DISTANCE, 1):
-        word = f"get(_words, _pos - {back})"
-        kind = f"try_element_at(_modifiers, get(_low, _pos - {back}))"
-        size = f"({STEP}D * _kind + if(_mixed AND {_CAPS.format(word)}, {CAPITALS}D, 0D)) * {weight}D"
-        hits = hits.withColumn("_kind", F.expr(kind)).withColumn(
+        size = f"({STEP}D * k{back} + if(c{back}, {CAPITALS}D, 0D)) * {weight}D"
+        hits = hits.withColumn(
             "_v",
             F.expr(
-                f"""CASE WHEN _kind IN (1, -1) THEN _v + if(_v > 0, 1D, -1D) * {size}
-                         WHEN _kind = 0 OR contains(get(_low, _pos - {back}), "n't") THEN _v * {NEGATED}D
-                         ELSE _v END"""
+                f"""CASE WHEN k{back} IN (1, -1) THEN _v + if(_v > 0, 1D, -1D) * {size}
+                         WHEN k{back} = 0 THEN _v * {NEGATED}D ELSE _v END"""
             ),
         )
-    shifted = (
-        f"CASE WHEN token = '' THEN 0D WHEN _contrast = 0 OR _pos + 1 = _contrast THEN _v "
-        f"WHEN _pos + 1 < _contrast THEN _v * {BEFORE_CONTRAST}D ELSE _v * {AFTER_CONTRAST}D END"
-    )
     sums = hits.groupBy(*keys).agg(
-        F.sum(F.expr(f"bigint(round({shifted} * 100000000D))")).alias("_units"),
+        F.sum(F.expr("if(token = '', 0L, bigint(round(_v * weight * 100000000D)))")).alias("_units"),
         F.count_if(F.col("token") == "").alias("_copies"),
-        F.max("_emphasis").alias("_emphasis"),
+        F.max("emphasis").alias("_emphasis"),
     )
     total = sums.selectExpr(*key_list, "(_units div _copies) / 100000000D AS _sum", "_emphasis")
     return total.selectExpr(*key_list, "_sum + signum(_sum) * _emphasis AS valence")
+
+
+def compound(valence: Column) -> Column:
+    """The score of a text, kept to six places."""
+    return F.round(score(valence), 6)

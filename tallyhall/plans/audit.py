@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyhall.functions.numbers import to_long
 from tallyhall.plans import clean_behavior as cb, clean_listings as cl, clean_texts as ct
 
 COLUMNS = ("数据集", "步骤", "清洗动作", "剩余记录数")
@@ -91,7 +92,7 @@ def listing_reviews_log(raw: DataFrame) -> DataFrame:
     one = raw.agg(
         F.count("*").alias("raw"),
         _count_if("said", said),
-        F.count_distinct(F.when(said, F.struct("id"))).alias("unique"),
+        F.count_distinct(F.when(said, F.struct(to_long("id")))).alias("unique"),
     )
     c = F.col
     steps = [
@@ -124,13 +125,13 @@ def reviews_log(raw: DataFrame) -> DataFrame:
 
 
 def comments_log(raw: DataFrame) -> DataFrame:
-    """Which copy of a comment is kept decides its length: the shortest live one."""
+    """Which copy of a comment is kept decides its length: the longest live one."""
     body = F.col("comment_body")
     live = ct.live_body(body)
-    per_id = raw.groupBy("comment_id").agg(
+    per_id = raw.groupBy(F.coalesce("comment_id", F.lit(""))).agg(
         F.count("*").alias("raw"),
         _count_if("live", live),
-        F.min(F.when(live, F.length(body))).alias("kept_len"),
+        F.max(F.when(live, F.length(body))).alias("kept_len"),
     )
     one = per_id.agg(
         F.coalesce(F.sum("raw"), F.lit(0)).alias("raw"),

@@ -188,13 +188,12 @@ def top_items_per_category(behavior: DataFrame, top: int = 3) -> DataFrame:
 def retention_by_day(behavior: DataFrame) -> DataFrame:
     """Users per first day who were active n days later.
 
-    Each user is reduced to distinct days first, so a window over one user
-    holds no more rows than the data has days.
+    Each user is one row with the set of own days, no more than the data has.
     """
-    days = behavior.select("user_id", F.col("date").cast("date").alias("date")).distinct()
-    first = F.min("date").over(Window.partitionBy("user_id"))
+    day = F.col("date").cast("date")
+    users = behavior.groupBy("user_id").agg(F.min(day).alias("cohort"), F.collect_set(day).alias("days"))
     counts = (
-        days.withColumn("cohort", first)
+        users.select("cohort", F.explode("days").alias("date"))
         .groupBy("cohort", F.datediff("date", "cohort").alias("day_offset"))
         .agg(F.count("*").alias("users"))
         .withColumn("cohort", F.col("cohort").cast("string"))

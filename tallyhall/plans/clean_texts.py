@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhall.functions.numbers import mean, to_double
 from tallyhall.functions.text import mentions_any, strip, text_key, word_count
-from tallyhall.operators.sentiment import label, score, valence_sums
+from tallyhall.operators.sentiment import CONTRAST, compound, context_sums, label
 
 # Placeholder bodies, and the shortest body kept.
 TOMBSTONES = ("[deleted]", "[removed]", "nan")
@@ -74,13 +74,15 @@ def unique_reviews(raw: DataFrame) -> DataFrame:
     return _one_per_text(keyed_reviews(raw))
 
 
-def clean_reviews(raw: DataFrame, lexicon: DataFrame) -> DataFrame:
+def clean_reviews(
+    raw: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None, contrast: str = CONTRAST
+) -> DataFrame:
     """One row per (business, text) with its sentiment, from one pass over the text."""
-    sums = valence_sums(keyed_reviews(raw), ["text_key", *_ROW], "Content", lexicon)
+    sums = context_sums(keyed_reviews(raw), ["text_key", *_ROW], "Content", lexicon, modifiers, contrast)
     return _one_per_text(sums, "valence").select(
         "business_id", "business_name", "Date", "Rating", "review_len", "word_count", "elite_flag",
-        score(F.col("valence")).alias("sentiment"),
-        label(score(F.col("valence"))).alias("sentiment_label"),
+        compound(F.col("valence")).alias("sentiment"),
+        label(compound(F.col("valence"))).alias("sentiment_label"),
         "Reactions",
     )
 
@@ -99,60 +101,68 @@ def live_body(body: Column) -> Column:
 
 
 def keyed_comments(raw: DataFrame) -> DataFrame:
-    """Live comments with length and key; a missing id is held as the empty text."""
+    """Live comments with length and rank among the copies of their id; a missing id is held as the empty text.
+
+    The rank puts longer bodies first, then smaller hashes of the text; it is of fixed width, so
+    that the best copy is found by hashing, without a sort.
+    """
     body = F.col("body")
+    place = F.conv(F.substring(text_key(F.col("comment_id"), body), 1, 15), 16, 10).cast("decimal(38,0)")
     return (
         raw.withColumnRenamed("comment_body", "body")
         .where(live_body(body))
         .withColumn("comment_id", F.coalesce("comment_id", F.lit("")))
-        .withColumn("text_key", text_key(F.col("comment_id"), body))
         .withColumn("review_len", F.length(body))
+        .withColumn("rank", F.col("review_len").cast("decimal(38,0)") * F.lit(2 * 10**18).cast("decimal(20,0)") - place)
+        .withColumn("rank", F.col("rank").cast("decimal(38,0)"))
     )
 
 
-def kept_comments(keyed: DataFrame, *extra: Column | str) -> DataFrame:
-    """One row per comment_id: the shortest body, then the smallest key; 15+ characters.
+def kept_comments(keyed: DataFrame, *extra: str) -> DataFrame:
+    """One row per comment_id: the longest body, then the smallest hash; 15+ characters.
 
-    `extra` columns must depend on the body alone; they ride along without
-    affecting which row is kept. Unless the body is asked for, no text moves.
+    So an id with a copy that passes the length rule is never lost. `extra` columns must
+    depend on the body alone and be of fixed width; no text moves.
     """
-    row = F.struct("review_len", "text_key", *extra)
-    kept = keyed.groupBy("comment_id").agg(F.min(row).alias("r")).select("comment_id", "r.*")
+    best = [F.max_by(c, "rank").alias(c) for c in ("review_len", *extra)]
+    kept = keyed.groupBy("comment_id").agg(F.max("rank").alias("rank"), *best)
     return kept.where(F.col("review_len") >= MIN_BODY)
 
 
-def scored_comments(raw: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Kept comments without their text: id, length, sentiment. One pass over the text."""
-    keys = ["comment_id", "review_len", "text_key"]
-    kept = kept_comments(valence_sums(keyed_comments(raw), keys, "body", lexicon), "valence")
-    return kept.select(
+def scored_comments(
+    raw: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None, contrast: str = CONTRAST
+) -> DataFrame:
+    """Kept comments without their text: id, rank, length, sentiment. One pass over the text."""
+    sums = context_sums(keyed_comments(raw), ["comment_id", "review_len", "rank"], "body", lexicon, modifiers, contrast)
+    return kept_comments(sums, "valence").select(
         "comment_id",
+        "rank",
         "review_len",
-        score(F.col("valence")).alias("sentiment"),
-        label(score(F.col("valence"))).alias("sentiment_label"),
+        compound(F.col("valence")).alias("sentiment"),
+        label(compound(F.col("valence"))).alias("sentiment_label"),
     )
 
 
-def clean_comments(raw: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Kept comments with text and sentiment; both sides already lie by comment_id."""
-    scored = scored_comments(raw, lexicon).drop("review_len")
+def clean_comments(
+    raw: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None, contrast: str = CONTRAST
+) -> DataFrame:
+    """Kept comments with text and sentiment. Text moves once, to meet the kept ranks; copies of it merge there."""
+    scored = scored_comments(raw, lexicon, modifiers, contrast)
+    columns = ["comment_id", "rank", "body", "sentiment", "sentiment_label", "review_len"]
+    texts = keyed_comments(raw).select("comment_id", "rank", "body")
     return (
-        kept_comments(keyed_comments(raw), "body")
-        .join(scored, "comment_id")
-        .select(
-            F.nullif("comment_id", F.lit("")).alias("comment_id"),
-            "body",
-            "sentiment",
-            "sentiment_label",
-            "review_len",
-        )
+        texts.join(scored, ["comment_id", "rank"])
+        .select(*columns)
+        .distinct()
+        .select(F.nullif("comment_id", F.lit("")).alias("comment_id"), *columns[2:])
     )
 
 
 def comment_topics(raw: DataFrame, topics: Mapping[str, Sequence[str]]) -> DataFrame:
     """Kept comments with one flag per topic, t0, t1, ..., found before the shuffle."""
-    flags = [mentions_any(F.col("body"), words).alias(f"t{i}") for i, words in enumerate(topics.values())]
-    return kept_comments(keyed_comments(raw), *flags)
+    names = [f"t{i}" for i in range(len(topics))]
+    flags = {n: mentions_any(F.col("body"), words) for n, words in zip(names, topics.values())}
+    return kept_comments(keyed_comments(raw).withColumns(flags), *names)
 
 
 def comments_summary(comments: DataFrame) -> DataFrame:

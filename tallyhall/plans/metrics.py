@@ -14,15 +14,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyhall.functions.numbers import ordinal, pct
 from tallyhall.operators.ranking import exact_quantiles
 from tallyhall.plans.behavior import STAGES
-from tallyhall.plans.listings import RATING_ORDER
+from tallyhall.plans.clean_listings import HOST_SCALES
+from tallyhall.plans.listings import OTHER_REVENUE, RATING_ORDER, TOP_REVENUE
 
 # Room types compared in the report.
 ENTIRE, PRIVATE = "Entire home/apt", "Private room"
 
 HEADLINE_INPUTS = (
     "tb_overview", "tb_funnel", "tb_intermediate_conv", "tb_repurchase", "tb_user_activity_tier",
-    "tb_buyer_vs_nonbuyer", "tb_category_top_conv", "ab_room_type", "ab_host_concentration",
-    "ab_superhost_premium", "yp_rating_dist", "rd_sentiment_dist", "rd_pain_points",
+    "tb_buyer_vs_nonbuyer", "tb_category_top_conv", "tb_daily", "ab_room_type", "ab_neighbourhood",
+    "ab_host_scale", "ab_host_concentration", "ab_superhost_premium", "ab_top_revenue_profile",
+    "yp_rating_dist", "rd_sentiment_dist", "rd_pain_points",
 )
 
 
@@ -130,7 +132,10 @@ def room_price_multiple(
 def headline_metrics(
     results: Mapping[str, DataFrame], entire: str = ENTIRE, private: str = PRIVATE
 ) -> DataFrame:
-    """The report's key figures as (metric, value), from the named results."""
+    """The report's key figures as (metric, value, label), from the named results.
+
+    label names what a leading figure belongs to: the first topic, the largest neighbourhood.
+    """
     stage, band = F.col("漏斗层级"), F.col("购买频次分层")
     buyers = F.col("用户群") == "购买用户"
     rows: dict[str, dict[str, Column]] = {
@@ -161,6 +166,19 @@ def headline_metrics(
         "ab_room_type": {
             "entire_pct": _pick("供给占比pct", F.col("房型") == entire),
             "private_pct": _pick("供给占比pct", F.col("房型") == private),
+            "entire_price": _pick("均价", F.col("房型") == entire),
+            "private_price": _pick("均价", F.col("房型") == private),
+        },
+        "tb_daily": {"days": F.datediff(F.max(F.col("日期").cast("date")), F.min(F.col("日期").cast("date"))) + 1},
+        "ab_neighbourhood": {"top_neighbourhood_listings": F.max("房源数")},
+        "ab_host_scale": {
+            f"revenue_hosts_{key}": _pick("房均年化收入", F.col("房东规模") == label)
+            for key, (_, label) in zip(("1_2", "3_10", "11_50", "over_50"), HOST_SCALES)
+        },
+        "ab_top_revenue_profile": {
+            f"{key}_revenue_{short}": _pick(column, F.col("收入分层") == tier)
+            for key, tier in (("top", TOP_REVENUE), ("rest", OTHER_REVENUE))
+            for short, column in (("price", "均价"), ("rating", "平均评分"), ("guests", "平均可住人数"))
         },
         "ab_host_concentration": {"top_hosts_pct": F.max("头部10%房东房源占比pct")},
         "ab_superhost_premium": {
@@ -184,9 +202,24 @@ def headline_metrics(
         },
         "rd_pain_points": {"top_topic_mentions": F.max("提及数")},
     }
+    leading = {
+        "top_topic_mentions": ("痛点主题", "提及数"),
+        "top_neighbourhood_listings": ("区域", "房源数"),
+    }
     parts = []
     for name, figures in rows.items():
-        one = results[name].agg(*[c.cast("double").alias(k) for k, c in figures.items()])
-        pairs = [F.struct(F.lit(k).alias("metric"), F.col(k).alias("value")) for k in figures]
+        labels = {k: leading[k] for k in figures if k in leading}
+        one = results[name].agg(
+            *[c.cast("double").alias(k) for k, c in figures.items()],
+            # The largest, then the first by name.
+            *[F.min(F.struct((-F.col(n)).alias("n"), F.col(l).alias("l")))["l"].alias(f"_{k}") for k, (l, n) in labels.items()],
+        )
+        pairs = [
+            F.struct(
+                F.lit(k).alias("metric"), F.col(k).alias("value"),
+                (F.col(f"_{k}") if k in labels else F.lit(None)).cast("string").alias("label"),
+            )
+            for k in figures
+        ]
         parts.append(one.select(F.inline(F.array(*pairs))))
     return reduce(DataFrame.unionByName, parts)

@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyhall.operators.sentiment import CONTRAST
 from tallyhall.operators.shares import multi_row_gate
 from tallyhall.plans import (
     audit,
@@ -33,6 +34,7 @@ class Settings:
     min_category_views: int = tb.MIN_CATEGORY_VIEWS
     season_start: str = ab.SEASON_START
     topics: Mapping[str, Sequence[str]] = field(default_factory=lambda: tx.TOPICS)
+    contrast: str = CONTRAST
     entire: str = metrics.ENTIRE
     private: str = metrics.PRIVATE
 
@@ -80,6 +82,8 @@ FIGURES: dict[str, tuple[str, Figure]] = {
     "funnel_rates": ("tb_funnel", lambda r, s: metrics.funnel_rates(r)),
     "hourly_conversion": ("tb_hourly", lambda r, s: metrics.hourly_conversion(r)),
     "multi_row_gate": ("tb_daily", lambda r, s: multi_row_gate(r)),
+    "host_scale_gate": ("ab_host_scale", lambda r, s: multi_row_gate(r)),
+    "elite_gate": ("yp_elite_vs_normal", lambda r, s: multi_row_gate(r)),
     "category_quadrants": ("tb_category", lambda r, s: metrics.category_quadrants(r)),
     "neighbourhood_top12": ("ab_neighbourhood", lambda r, s: metrics.neighbourhood_top(r)),
     "room_type_major": ("ab_room_type", lambda r, s: metrics.room_type_major(r)),
@@ -93,13 +97,15 @@ FIGURES: dict[str, tuple[str, Figure]] = {
 }
 
 
-def clean_all(raw: Tables, lexicon: DataFrame, settings: Settings) -> dict[str, DataFrame]:
+def clean_all(
+    raw: Tables, lexicon: DataFrame, settings: Settings, modifiers: DataFrame | None = None
+) -> dict[str, DataFrame]:
     return {
         "behavior": cb.clean_behavior(raw["behavior"], settings.window),
         "listings": cl.clean_listings(raw["listings"]),
         "listing_reviews": cl.clean_listing_reviews(raw["listing_reviews"]),
-        "reviews": ct.clean_reviews(raw["reviews"], lexicon),
-        "comments": ct.clean_comments(raw["comments"], lexicon),
+        "reviews": ct.clean_reviews(raw["reviews"], lexicon, modifiers, settings.contrast),
+        "comments": ct.clean_comments(raw["comments"], lexicon, modifiers, settings.contrast),
     }
 
 
@@ -118,12 +124,12 @@ def summary(cleaned: Tables, price_cap: DataFrame) -> DataFrame:
 
 
 def run_cleaning(
-    raw: Tables, lexicon: DataFrame, out_dir: str, settings: Settings = Settings()
+    raw: Tables, lexicon: DataFrame, out_dir: str, settings: Settings = Settings(), modifiers: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """Clean every dataset once, save tables, log and summary; return the saved tables."""
     spark = lexicon.sparkSession
     cleaned_dir = f"{out_dir}/cleaned"
-    for name, df in clean_all(raw, lexicon, settings).items():
+    for name, df in clean_all(raw, lexicon, settings, modifiers).items():
         writers.write_cleaned(df, cleaned_dir, name)
     cleaned = {name: readers.load_table(spark, cleaned_dir, name) for name in raw}
     writers.write_log(audit.cleaning_report(dict(raw), settings.window), f"{out_dir}/cleaning_report")
@@ -141,7 +147,7 @@ def run_questions(
     """Answer every named question from the saved tables and save each result.
 
     A few questions run side by side: each ends in a small job that would leave
-    most of a cluster idle. The first failure ends the run.
+    most of a cluster idle. A failure ends the run, names its question and what was answered before.
     Returns the run report: order, name, rows.
     """
     tables = {}
@@ -149,8 +155,15 @@ def run_questions(
         tables[name] = readers.load_analysis(spark, cleaned_dir, name)
         writers.save_view(tables[name], name)
 
+    answered: list[str] = []
+
     def answer(name: str) -> int:
-        return writers.write_result(QUESTIONS[name](tables, settings), results_dir, name)
+        try:
+            rows = writers.write_result(QUESTIONS[name](tables, settings), results_dir, name)
+        except Exception as error:
+            raise RuntimeError(f"question {name} failed; answered: {', '.join(answered) or 'none'}") from error
+        answered.append(name)
+        return rows
 
     with ThreadPoolExecutor(at_once) as pool:
         rows = list(pool.map(answer, QUESTIONS))

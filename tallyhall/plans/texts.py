@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhall.functions.numbers import cut_left, mean, mean_score, ordinal, pct
+from tallyhall.functions.numbers import cut_left, mean, ordinal, pct
 from tallyhall.functions.text import mentions_any
 from tallyhall.operators.ranking import exact_quantiles
 from tallyhall.operators.shares import share
@@ -30,7 +30,7 @@ QUANTILES = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
 def yp_rating_dist(reviews: DataFrame) -> DataFrame:
     ratings = reviews.groupBy(F.col("rating").alias("星级")).agg(
         F.count("*").alias("评论数"),
-        mean_score(F.col("sentiment")).alias("平均情感得分"),
+        mean(F.col("sentiment")).alias("平均情感得分"),
         mean(F.col("word_count")).alias("平均词数"),
     )
     return share(ratings, "评论数", "占比pct").orderBy("星级")
@@ -42,7 +42,7 @@ def yp_elite_vs_normal(reviews: DataFrame) -> DataFrame:
         F.count("*").alias("评论数"),
         mean(F.col("rating")).alias("平均星级"),
         mean(F.col("word_count")).alias("平均词数"),
-        mean_score(F.col("sentiment")).alias("平均情感得分"),
+        mean(F.col("sentiment")).alias("平均情感得分"),
     )
 
 

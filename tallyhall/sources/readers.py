@@ -6,10 +6,11 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyhall.functions.numbers import to_double
 from tallyhall.functions.text import PANDAS_NA, blank_out
 from tallyhall.schemas import CLEANED, RAW, texts
 
-# Names that change between the cleaned layer and the analysis tables, and the
+# Names that change between the cleaned layer and the analysis tables, and the
 # columns the analysis keeps. None keeps everything.
 RENAMED = {
     "listings": {"neighbourhood_cleansed": "neighbourhood"},
@@ -46,11 +47,13 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header, plain or gzip, cells may span lines; the dataset's columns as text.
 
-    Columns are found by header name, so a file may hold others in any order.
+    Columns are found by header name, so a file may hold others in any order. Several
+    files must agree in their headers: one that doesn't ends the run, it isn't read by place.
     Such a file is one task each: give `partitions` to spread few large files.
     """
     reader = spark.read.options(header=True, multiLine=True, quote='"', escape='"')
-    df = reader.csv(path).select(*RAW[dataset])
+    header = reader.csv(path).schema
+    df = reader.schema(header).option("enforceSchema", False).csv(path).select(*RAW[dataset])
     if partitions:
         df = df.repartition(partitions)
     return _without_na(df, na_tokens)
@@ -72,9 +75,21 @@ def read_raw(spark: SparkSession, paths: dict[str, str], partitions: int | None
 
 
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated token and mean valence; further columns are ignored."""
+    """Tab-separated token and mean valence; further columns and unreadable valences are ignored.
+
+    A valence that six decimal places do not hold ends the run.
+    """
     raw = spark.read.schema(texts("token", "valence")).csv(path, sep="\t", quote="")
-    return raw.select("token", F.col("valence").try_cast("decimal(4,1)").alias("valence")).dropna()
+    exact, number = F.col("valence").try_cast("decimal(18,6)"), to_double("valence")
+    misfit = F.raise_error(F.concat(F.lit("valence with more digits than are kept: "), "valence"))
+    kept = F.when(exact.isNull() | (exact.cast("double") != number), misfit.cast("decimal(18,6)")).otherwise(exact)
+    return raw.select("token", F.when(number.isNotNull(), kept).alias("valence")).dropna()
+
+
+def read_modifiers(spark: SparkSession, path: str) -> DataFrame:
+    """Tab-separated token and kind: 1 strengthens what follows, -1 weakens it, 0 negates it."""
+    raw = spark.read.schema(texts("token", "kind")).csv(path, sep="\t", quote="")
+    return raw.select(F.lower("token").alias("token"), F.col("kind").try_cast("int").alias("kind")).where("kind IN (-1, 0, 1)")
 
 
 def load_table(

@@ -9,8 +9,6 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhall.operators.sentiment import Context
-
 # 2024-01-03 00:00:00 to 2024-01-28 23:59:59 at UTC+8: cuts off both ends of the events.
 EVENT_WINDOW = (1704211200, 1706457599)
 MIN_CATEGORY_VIEWS = 84
@@ -29,9 +27,8 @@ TOPICS = {
     "封号/审查 (banned)": ["thre"],
     "幻觉/胡编 (hallucination)": ["thti"],
 }
-CONTEXT = Context(
-    intensifiers=("in", "to"), dampeners=("that", "of"), negators=("it", "as"), contrast="with"
-)
+MODIFIERS = {"in": 1, "to": 1, "that": -1, "of": -1, "it": 0, "as": 0}
+CONTRAST = "with"
 
 
 TABLES = {
@@ -58,7 +55,11 @@ def _view(spark: SparkSession, folder: str, query: str, *tables: str) -> DataFra
 
 def lexicon(spark: SparkSession) -> DataFrame:
     words = pa.table({"token": list(LEXICON), "valence": list(LEXICON.values())})
-    return spark.createDataFrame(words).selectExpr("token", "CAST(valence AS DECIMAL(4,1)) AS valence")
+    return spark.createDataFrame(words).selectExpr("token", "CAST(valence AS DECIMAL(18,6)) AS valence")
+
+
+def modifiers(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(pa.table({"token": list(MODIFIERS), "kind": list(MODIFIERS.values())}))
 
 
 def behavior_raw(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,10 +161,9 @@ def comments_raw(spark: SparkSession, folder: str) -> DataFrame:
                     WHEN turn = 1 AND conv_id % 31 = 0 THEN 'short'
                     ELSE text END AS comment_body
         FROM {conversations}
-        UNION ALL  -- every English document once, every fiftieth twice
+        UNION ALL  -- every document once, every fiftieth twice
         SELECT 'd' || doc_id, text
         FROM {documents} LATERAL VIEW explode(if(doc_id % 50 = 0, array(1, 2), array(1))) AS copy
-        WHERE lang = 'en'
     """
     return _view(spark, folder, query, "conversations", "documents")
 

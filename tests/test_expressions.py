@@ -81,3 +81,62 @@ def test_valence_counts_one_copy_of_each_text(spark, copies):
     assert got == {"a": 1.3, "b": 0.0, "c": 0.0, "d": -2.5}
     s = column(spark, [1.3, 0.0], "double", score(F.col("x")))
     assert s == [1.3 / (1.3 * 1.3 + 15) ** 0.5, 0.0]
+
+
+@pytest.mark.parametrize(
+    "text, value",
+    [("5e12", 5e12), ("1e39", 1e39), (" 1.5 ", 1.5), ("-.5", -0.5), ("nan", None), ("inf", None), ("-Infinity", None), ("12d", None), ("1f", None), ("x", None), ("", None), ("1e999", None)],
+)
+def test_numbers_of_any_size(spark, text, value):
+    from tallyhall.functions.numbers import to_double
+
+    assert spark.createDataFrame([(text,)], "t string").select(to_double("t")).first()[0] == value
+
+
+def test_means_have_no_cap(spark):
+    from tallyhall.functions.numbers import mean
+
+    def of(*values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return df.agg(mean(F.col("v"))).first()[0]
+
+    assert of(5e12, 5e12, None) == 5e12
+    assert of(1e39, 3e39) == 2e39
+    assert of(1e19, 1e19, 1e19, 1e19, 1e19, 1e19, 1e19, 1e19, 1e19, 1e19, 1e19, 1e19) == 1e19
+    assert of(0.1, 0.2, 0.3) == 0.6 / 3
+    assert of(1e-9, 3e-9) == 2e-9
+    assert of(None) is None
+
+
+@pytest.mark.parametrize(
+    "text, valence",
+    [
+        ("a good day", 1.9),
+        ("not good", 1.9 * -0.74),
+        ("isn't that good", 1.9 * -0.74),
+        ("very good", 1.9 + 0.293),
+        ("very, very good", 1.9 + 0.293 + 0.293 * 0.95),
+        ("hardly good", 1.9 - 0.293),
+        ("a GOOD day", 1.9 + 0.733),
+        ("GOOD DAY", 1.9),
+        ("good!!!", 1.9 + 3 * 0.292),
+        ("good!!!!!!", 1.9 + 4 * 0.292),
+        ("good??", 1.9 + 2 * 0.18),
+        ("bad?????", -2.5 - 0.96),
+        ("good but bad", 1.9 * 0.5 - 2.5 * 1.5),
+        ("Good", 1.9),
+        ("", 0.0),
+        (" \t ", 0.0),
+        (None, 0.0),
+        ("nothing here", 0.0),
+    ],
+)
+def test_words_around_a_hit(spark, text, valence):
+    from tallyhall.operators.sentiment import context_sums
+
+    lexicon = spark.sql("SELECT 'good' AS token, 1.9 AS valence UNION ALL SELECT 'bad', -2.5")
+    modifiers = spark.createDataFrame([("very", 1), ("hardly", -1), ("not", 0)], "token string, kind int")
+    for copies in (1, 3):
+        df = spark.createDataFrame([(7, text)] * copies, "k long, t string")
+        rows = context_sums(df, ["k"], "t", lexicon, modifiers).collect()
+        assert [(r.k, pytest.approx(r.valence, abs=1e-7)) for r in rows] == [(7, valence)]

@@ -11,7 +11,8 @@ from tallyhall.plans import behavior as tb
 from tallyhall.sources import readers, writers
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = {k: q for k, q in entry.queries().items() if k != "named_query_suite"}
+LLM = {*entry.llm.queries(), "pipeline"} if entry.llm else set()  # looked at in tests/llm
+QUERIES = {k: q for k, q in entry.queries().items() if k != "named_query_suite" and k not in LLM}
 
 
 def plan_of(df) -> str:
@@ -79,3 +80,21 @@ def test_the_text_check_can_fail(spark):
 
 def test_top_items_limit_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan_of(QUERIES["top_items_per_category"](spark, FOLDER))
+
+
+def test_comments_are_kept_without_sorting_texts(spark):
+    """Winners are found by hashing fixed-width ranks; the text only meets them."""
+    for name in ("rd_sentiment_dist", "rd_pain_points", "clean_comments"):
+        assert "SortAggregate" not in plan_of(QUERIES[name](spark, FOLDER))
+
+
+@pytest.mark.parametrize("name", ["rfm_segments", "ab_top_revenue_profile"])
+def test_tiles_do_not_shuffle_rows(spark, name):
+    """With broadcasts by size switched off, as for big inputs, no join for tiles moves rows by block or value."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(QUERIES[name](spark, FOLDER))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = re.findall(r"(SortMergeJoin|ShuffledHashJoin) \[(\w+)#", plan)
+    assert not [key for _, key in joins if key in ("_b", "_v", "_s")]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import gzip
 from datetime import date
 
+import pytest
+
 import __spark_entry__ as entry
 from tallyhall import job
 from tallyhall.plans import suite
@@ -38,6 +40,37 @@ def test_byte_order_mark_in_header(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("1", "hello")]
 
 
+def test_several_files_must_agree_in_their_headers(spark, tmp_path):
+    """Files are never read by place: a header in another order is an error, not a swap."""
+    (tmp_path / "a.csv").write_text("comment_id,comment_body\n1,first body\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("comment_id,comment_body\n2,second body\n", encoding="utf-8")
+    rows = readers.read_csv(spark, str(tmp_path), "comments").collect()
+    assert sorted(map(tuple, rows)) == [("1", "first body"), ("2", "second body")]
+    (tmp_path / "b.csv").write_text("comment_body,comment_id\nsecond body,2\n", encoding="utf-8")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path), "comments").collect()
+
+
+def test_modifier_file_and_fine_valences(spark, tmp_path):
+    (tmp_path / "m.txt").write_text("Very\t1\nhardly\t-1\nnot\t0\nodd\t7\n", encoding="utf-8")
+    assert {tuple(r) for r in readers.read_modifiers(spark, str(tmp_path / "m.txt")).collect()} == {("very", 1), ("hardly", -1), ("not", 0)}
+    (tmp_path / "l.txt").write_text("good\t1.925\nhuge\t1234.5\n", encoding="utf-8")
+    rows = readers.read_lexicon(spark, str(tmp_path / "l.txt")).collect()
+    assert {(r.token, float(r.valence)) for r in rows} == {("good", 1.925), ("huge", 1234.5)}
+    (tmp_path / "l.txt").write_text("good\t1.92512345\n", encoding="utf-8")
+    with pytest.raises(Exception, match="valence"):
+        readers.read_lexicon(spark, str(tmp_path / "l.txt")).collect()
+
+
+def test_a_failing_question_is_named(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "run")
+    suite.run_cleaning(tv.raw_inputs(spark, FOLDER), tv.lexicon(spark), out, entry.SETTINGS)
+    asked = {"tb_hourly": suite.QUESTIONS["tb_hourly"], "broken": lambda t, s: t["behavior"].select("no such column")}
+    monkeypatch.setattr(suite, "QUESTIONS", asked)
+    with pytest.raises(RuntimeError, match="question broken failed; answered: tb_hourly"):
+        suite.run_questions(spark, f"{out}/cleaned", f"{out}/tables", entry.SETTINGS, at_once=1)
+
+
 def test_lexicon_file(spark, tmp_path):
     (tmp_path / "l.txt").write_text("good\t1.9\t0.9\t[2, 2]\n:'(\t-2.2\t1\t[]\nbroken\tx\t1\t[]\n", encoding="utf-8")
     rows = readers.read_lexicon(spark, str(tmp_path / "l.txt")).collect()
@@ -53,9 +86,9 @@ def test_raw_files_clean_like_the_tables(spark, tmp_path):
             df.write.csv(paths[name], header=False)
         else:
             writers.write_cleaned_csv(df, paths[name])
-    lexicon = tv.lexicon(spark)
-    direct = suite.clean_all(raw, lexicon, entry.SETTINGS)
-    again = suite.clean_all(readers.read_raw(spark, paths, partitions=2), lexicon, entry.SETTINGS)
+    words = (tv.lexicon(spark), entry.SETTINGS, tv.modifiers(spark))
+    direct = suite.clean_all(raw, *words)
+    again = suite.clean_all(readers.read_raw(spark, paths, partitions=2), *words)
     for name in raw:
         assert direct[name].exceptAll(again[name]).count() == 0, name
         assert again[name].exceptAll(direct[name]).count() == 0, name
@@ -106,7 +139,7 @@ def test_whole_run(spark, tmp_path):
     names = suite.run_figures(spark, f"{out}/tables", entry.SETTINGS)
     assert set(names) == set(suite.FIGURES) | {"headline_metrics"}
     figures = {r.metric: r.value for r in readers.load_result(spark, f"{out}/tables", "headline_metrics").collect()}
-    assert (len(figures), figures["active_users"]) == (26, users)
+    assert (len(figures), figures["active_users"]) == (40, users)
     # Views answer SQL.
     assert spark.sql("SELECT count(*) FROM behavior").first()[0] == behavior.count()
 
@@ -131,7 +164,9 @@ def test_job_from_files(spark, tmp_path):
             writers.write_cleaned_csv(raw[name], str(raw_dir / file))
     lexicon = tmp_path / "lexicon.txt"
     lexicon.write_text("".join(f"{t}\t{v}\n" for t, v in tv.LEXICON.items()), encoding="utf-8")
-    job.run(spark, str(raw_dir), out, str(lexicon), entry.SETTINGS, partitions=4)
+    modifiers = tmp_path / "modifiers.txt"
+    modifiers.write_text("".join(f"{t}\t{k}\n" for t, k in tv.MODIFIERS.items()), encoding="utf-8")
+    job.run(spark, str(raw_dir), out, str(lexicon), entry.SETTINGS, partitions=4, modifiers_path=str(modifiers))
     for name in ("tb_funnel", "ab_host_scale", "yp_rating_dist", "rd_pain_points"):
         expected = entry.queries()[name](spark, FOLDER)
         got = readers.load_result(spark, f"{out}/tables", name)
