@@ -1,7 +1,7 @@
 """Fuzzy duplicate lines: MinHash bands, exact Jaccard similarity, union-find, one line kept per component.
 
-A line's shingles are runs of SHINGLE characters (code points) of the line, lower-cased from
-A-Z, blanks at its ends taken off; a shorter line is one shingle. Signatures are made
+A line's shingles are runs of SHINGLE characters (code points) of the line, lower-cased,
+blanks at its ends taken off; a shorter line is one shingle. Signatures are made
 where the text is read, and only band keys are shuffled: text moves once, to verify
 candidates. At the similarity asked for, the bands miss one pair in 5,000; at more, fewer.
 """
@@ -11,11 +11,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhall.llm.common import BLANKS, lower_ascii
+from tallyhall.llm.common import BLANKS
 from tallyhall.llm.pairs import resolve
 from tallyhall.session import saved
 
@@ -23,7 +22,7 @@ SHINGLE = 8
 BANDS, ROWS = 16, 4
 SIMILARITY = 0.8
 # Characters whose signatures are made at once.
-BLOCK = 1 << 18
+BLOCK = 1 << 16
 _PICK = np.random.default_rng(20240607)  # any fixed seed: signatures must agree between tasks
 _FACTORS = _PICK.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _SHIFTS = _PICK.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
@@ -47,19 +46,18 @@ def band_keys(lines: list[str]) -> np.ndarray:
     starts = np.cumsum(lengths) - lengths
     counts = np.maximum(1, lengths - SHINGLE + 1)
     # Only shingles within a line count; a line shorter than one is hashed with zeros behind it.
-    keep = np.ones(len(codes), bool)
     inside = np.arange(len(codes)) - np.repeat(starts, lengths)
     keep = inside < np.repeat(counts, lengths)
     hashes = _run_hashes(codes)
     for at in np.flatnonzero(lengths < SHINGLE):
         hashes[starts[at]] = _run_hashes(codes[starts[at] : starts[at] + lengths[at]])[0]
     hashes, firsts = hashes[keep], np.cumsum(counts) - counts
-    keys = np.empty((len(lines), BANDS), np.uint64)
+    keys, mixed = np.empty((len(lines), BANDS), np.uint64), np.empty_like(hashes)
     for band in range(BANDS):
         key = np.full(len(lines), band, np.uint64)
         for row in range(band * ROWS, (band + 1) * ROWS):
-            mixed = hashes * _FACTORS[row] + _SHIFTS[row]
-            mixed ^= mixed >> np.uint32(15)
+            np.multiply(hashes, _FACTORS[row], out=mixed)
+            np.add(mixed, _SHIFTS[row], out=mixed)
             least = np.minimum.reduceat(mixed, firsts).astype(np.uint64)
             key = (key ^ least) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(29)
@@ -96,23 +94,8 @@ def shingles(line: str) -> set[str]:
     return {line[n : n + SHINGLE] for n in range(max(1, len(line) - SHINGLE + 1))}
 
 
-def _similar(similarity: float):
-    def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep, last, left = [], None, set()
-            for x, y in zip(batch["left"], batch["right"]):
-                if x is not last and x != last:
-                    last, left = x, shingles(x)
-                right = shingles(y)
-                shared = len(left & right)
-                keep.append(shared >= similarity * (len(left) + len(right) - shared))
-            yield batch.loc[keep, ["a", "b"]]
-
-    return similar
-
-
 def _normal(line: Column) -> Column:
-    return lower_ascii(F.btrim(line, F.lit(BLANKS)))
+    return F.lower(F.btrim(line, F.lit(BLANKS)))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -131,17 +114,10 @@ def line_classes(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     every = lines.select("id", "line")
     members = every.mapInArrow(_banded, "bucket long, id long")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = saved(pairs)
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        texts = saved(every.join(wanted, "id", "left_semi").groupBy("id", "line").agg(F.lit(1).alias("_one")).drop("_one"))
-        both = (
-            pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("left")), "a")
-            .join(texts.select(F.col("id").alias("b"), F.col("line").alias("right")), "b")
-        )
-        return both.mapInPandas(_similar(similarity), "a long, b long").distinct()
-
-    return resolve(members, verify)
+    def fetch(ids: DataFrame) -> DataFrame:
+        return every.join(ids, "id", "left_semi").groupBy("id", "line").agg(F.lit(1).alias("_one")).drop("_one")
+
+    return resolve(members, fetch, shingles, similarity)
 
 
 def removals(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -1,38 +1,165 @@
-"""Links among the members of buckets, without all pairs of a bucket."""
+"""Links among the members of buckets, without writing out the pairs of a bucket."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyhall.llm.graph import components
 from tallyhall.session import saved
 
+# Members of a group are compared in blocks of about so many: a task holds two blocks.
+BLOCK = 1024
+# Groups of up to so many are compared set by set, larger ones by a product of matrices.
+FEW = 12
 
-def resolve(members: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """(node, component) for the ids that links join, where a link is a pair of ids that share a bucket and that verify() keeps.
+Shingles = Callable[[str], set]
 
-    members has columns bucket and id, two longs, and moves once; a bucket's rows, sorted, may spill; verify takes pairs (a, b), a < b, and returns those that
-    are links. First every member is compared with the smallest id of its bucket, which joins
-    most of a group of copies, however large, at one pair per member. Then only members of one
-    bucket that are still in different components are compared, pair by pair; pairs within a
-    component could join nothing more. So every link counts, and no group of alike members is
-    ever written out as pairs.
+
+def _star(shingles: Shingles, similarity: float):
+    """Pairs (centre, id) whose texts' sets of shingles have at least the similarity."""
+
+    def star(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, left = None, set()
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch["left"], batch["right"]):
+                if x != last:
+                    last, left = x, shingles(x)
+                right = shingles(y)
+                shared = len(left & right)
+                keep.append(shared >= similarity * (len(left) + len(right) - shared))
+            yield batch.loc[keep, ["a", "b"]]
+
+    return star
+
+
+def joined(sets: list[set], parts: list, blocks: list, similarity: float) -> list[tuple[int, int]]:
+    """Places (m, n) of sets of different parts (and, if there are two blocks, of different blocks) that are similar.
+
+    Not every such pair, but enough to join all of them.
+    """
+    two = len(set(blocks)) > 1
+    root = list(range(len(sets)))
+    names = {p: n for n, p in reversed(list(enumerate(parts)))}
+    for n, p in enumerate(parts):
+        root[n] = names[p]
+
+    def find(n: int) -> int:
+        while root[n] != n:
+            root[n] = root[root[n]]
+            n = root[n]
+        return n
+
+    if len(sets) <= FEW:
+        sizes = [len(s) for s in sets]
+        found = (
+            (m, n)
+            for n in range(len(sets)) for m in range(n)
+            if not (two and blocks[m] == blocks[n]) and find(m) != find(n)
+            and min(sizes[m], sizes[n]) >= similarity * max(sizes[m], sizes[n])
+            and (1 + similarity) * len(sets[m] & sets[n]) >= similarity * (sizes[m] + sizes[n]) - 1e-9
+        )
+    else:
+        place: dict = {}
+        index = np.array([place.setdefault(x, len(place)) for s in sets for x in s])
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        # Shingles of a single set add to no intersection.
+        often = np.bincount(index, minlength=len(place)) > 1
+        column = np.cumsum(often) - 1
+        kept = often[index]
+        held = np.zeros((len(sets), int(often.sum())), np.float32)
+        held[row[kept], column[index[kept]]] = 1
+        sizes = np.array([len(s) for s in sets], np.float64)
+        shared = (held @ held.T).astype(np.float64)
+        alike = (1 + similarity) * shared >= similarity * (sizes[:, None] + sizes[None, :]) - 1e-9
+        if two:
+            label = np.array(blocks)
+            alike &= label[:, None] != label[None, :]
+        found = zip(*np.nonzero(np.tril(alike, -1)))
+    out = []
+    for m, n in found:
+        a, b = find(int(m)), find(int(n))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            out.append((int(m), int(n)))
+    return out
+
+
+def _blocked(shingles: Shingles, similarity: float):
+    """Links of groups whose rows stand together: centre, i, j, block, id, component, text."""
+
+    def links(rows: list) -> Iterator[tuple[int, int]]:
+        ids, parts, blocks = [r.id for r in rows], [r.component for r in rows], [r.block for r in rows]
+        for m, n in joined([shingles(r.text) for r in rows], parts, blocks, similarity):
+            yield ids[m], ids[n]
+
+    def blocked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, rows = None, []
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                own = (row.centre, row.i, row.j)
+                if own != key:
+                    out += links(rows)
+                    key, rows = own, []
+                rows.append(row)
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b"])
+        out = list(links(rows))
+        if out:
+            yield pd.DataFrame(out, columns=["a", "b"])
+
+    return blocked
+
+
+def resolve(
+    members: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: Shingles, similarity: float
+) -> DataFrame:
+    """(node, component) for the ids that links join: ids that share a bucket and whose texts' sets of shingles are similar.
+
+    members has columns bucket and id, two longs, and moves once; a bucket's rows, sorted, may
+    spill. fetch gives (id, text) for the ids that share any bucket.
+
+    First every member is compared with one member of its bucket, the one that shares most buckets
+    with others: of a text and its copies, that is the text which they were all made from.
+    This joins most of a group of copies, however large, at one comparison per member. The
+    members of a centre that are still in different components are then compared among
+    themselves, in blocks: a task takes two blocks and gives back no more links than it
+    has members. So every link counts, and no pairs are ever rows.
     """
     own = Window.partitionBy("bucket")
-    spans = members.select("bucket", "id", F.min("id").over(own).alias("centre"), F.max("id").over(own).alias("last"))
-    shared = saved(spans.where("centre < last").drop("last").distinct())
-    first = shared.where("id > centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    found = saved(verify(first))
+    spans = members.select("bucket", "id", F.min("id").over(own).alias("low"), F.max("id").over(own).alias("high"))
+    shared = saved(spans.where("low < high").select("bucket", "id").distinct())
+    texts = saved(fetch(shared.select("id").distinct()).toDF("id", "text"))
+    sizes = shared.groupBy("bucket").agg(F.count("*").alias("n"))
+    degrees = shared.join(sizes, "bucket").groupBy("id").agg(F.sum("n").alias("degree"))
+    centres = shared.join(degrees, "id").groupBy("bucket").agg(F.max_by("id", "degree").alias("centre"))
+    groups = saved(shared.join(centres, "bucket").where("id <> centre").select("centre", "id").distinct())
+    pairs = groups.join(texts.toDF("id", "right"), "id").join(texts.toDF("centre", "left"), "centre")
+    star = pairs.select(F.col("centre").alias("a"), F.col("id").alias("b"), "left", "right").mapInPandas(
+        _star(shingles, similarity), "a long, b long"
+    )
+    found = saved(star)
     labels = components(found)
-    placed = shared.join(labels, shared["id"] == labels["node"], "left").select(
-        "bucket", "id", "centre", F.coalesce("component", "id").alias("component")
+    placed = groups.join(labels, groups["id"] == labels["node"], "left").select(
+        "centre", "id", F.coalesce("component", "id").alias("component")
+    )
+    spans = placed.groupBy("centre").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+    )
+    mixed = saved(placed.join(spans.where("low < high").select("centre", "blocks"), "centre"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    each = mixed.select(
+        "centre", "id", "component", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    )
+    keyed = each.select(
+        "centre", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "component"
     )
-    spans = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = saved(placed.join(spans.where("low < high").select("bucket"), "bucket").where("id > centre"))
-    left = mixed.select("bucket", F.col("id").alias("a"), F.col("component").alias("_a"))
-    right = mixed.select("bucket", F.col("id").alias("b"), F.col("component").alias("_b"))
-    across = left.join(right, "bucket").where((F.col("a") < F.col("b")) & (F.col("_a") != F.col("_b")))
-    later = verify(across.select("a", "b").distinct())
-    return components(found.unionByName(later))
+    keys = ["centre", "i", "j"]
+    rows = keyed.join(texts, "id").select(*keys, "block", "id", "component", "text")
+    later = rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_blocked(shingles, similarity), "a long, b long")
+    return components(found.unionByName(saved(later)))

@@ -9,9 +9,7 @@ under the mask of that table: no pair within the radius is missed.
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhall.llm.common import BLANKS, lower_ascii, words
@@ -184,51 +182,34 @@ def classes(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def _alike(size: int, similarity: float):
-    def shingle_set(text: str) -> set[int]:
-        found = text.translate(_LOWER_BLANKS).split(" ")
-        found = [hash(w) for w in found if w]
+def _word_runs(size: int):
+    def runs(text: str) -> set[int]:
+        found = [w for w in text.translate(_LOWER_BLANKS).split(" ") if w]
         return {hash(tuple(found[n : n + size])) for n in range(max(1, len(found) - size + 1))}
 
-    def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep, last, left = [], None, set()
-            for x, y in zip(batch["left"], batch["right"]):
-                if x is not last and x != last:
-                    last, left = x, shingle_set(x)
-                right = shingle_set(y)
-                shared = len(left & right)
-                keep.append(shared >= similarity * (len(left) + len(right) - shared))
-            yield batch.loc[keep, ["a", "b"]]
-
-    return alike
+    return runs
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, print_size: int = 2, radius: int = 7) -> DataFrame:
     """doc_id, text_id, component_id, stays: a row per distinct doc_id and text; text_id is a hash of the text.
 
-    Documents are linked if their fingerprints (of runs of `print_size` words) differ in at most
-    `radius` bits and the Jaccard similarity of their sets of `size`-word shingles is at least
-    `similarity`. Short runs move few bits when a word changes: most pairs as similar as
-    that lie within the radius. component_id is the smallest doc_id of the component, and
-    the smallest document (by doc_id, then text_id; missing ids last) stays.
+    Documents are compared if their fingerprints (of runs of `print_size` words) may differ in at
+    most `radius` bits, which the covering code decides, and linked if the Jaccard similarity of
+    their sets of `size`-word shingles is at least `similarity`. Short runs move few bits when a
+    word changes: most pairs as similar as that lie within the radius. component_id is
+    the smallest doc_id of the component, and the smallest document (by doc_id, then text_id;
+    missing ids last) stays.
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     keyed = read.withColumn("text_id", F.xxhash64("text"))
     prints = saved(majority_bits(shingle_rows(keyed.select("text_id", "text"), ["text_id"], print_size), ["text_id"]).drop("copies"))
     members = buckets(prints, radius, ["text_id"]).select(F.xxhash64("table", "masked").alias("bucket"), F.col("text_id").alias("id"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        a = prints.select(F.col("text_id").alias("a"), F.col("fingerprint").alias("_a"))
-        b = prints.select(F.col("text_id").alias("b"), F.col("fingerprint").alias("_b"))
-        near = saved(pairs.join(a, "a").join(b, "b").where(distance("_a", "_b") <= radius).select("a", "b"))
-        wanted = near.select(F.explode(F.array("a", "b")).alias("text_id")).distinct()
-        texts = keyed.select("text_id", "text").join(wanted, "text_id", "left_semi").groupBy("text_id", "text").agg(F.lit(1).alias("_one"))
-        texts = saved(texts.drop("_one"))
-        both = near.join(texts.toDF("a", "left"), "a").join(texts.toDF("b", "right"), "b")
-        return both.mapInPandas(_alike(size, similarity), "a long, b long").distinct()
-
-    joined = resolve(members, verify)
+    def fetch(ids: DataFrame) -> DataFrame:
+        texts = keyed.select(F.col("text_id").alias("id"), "text").join(ids, "id", "left_semi")
+        return texts.groupBy("id", "text").agg(F.lit(1).alias("_one")).drop("_one")
+
+    joined = resolve(members, fetch, _word_runs(size), similarity)
     named = keyed.select("doc_id", "text_id").distinct()
     named = saved(
         named.join(joined, named["text_id"] == joined["node"], "left").select(

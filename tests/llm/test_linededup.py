@@ -4,14 +4,14 @@ import itertools
 import random
 
 import numpy as np
-from brute import BLANKS, Groups, jaccard, lower
+from brute import BLANKS, Groups, jaccard
 from tallyhall.llm import linededup, queries
 
 
 def lines_of(rows):
     for i, text in rows:
         for n, line in enumerate((text or "").split("\n")):
-            normal = lower(line).strip(BLANKS)
+            normal = line.strip(BLANKS).lower()
             if normal:
                 yield i, text or "", n, normal
 

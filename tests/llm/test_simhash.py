@@ -6,7 +6,7 @@ import random
 import pytest
 from brute import Groups, fingerprint, jaccard, lower, shingles, words
 from hypothesis import given, strategies as st
-from tallyhall.llm import graph, queries, simhash
+from tallyhall.llm import graph, pairs, queries, simhash
 
 SIGN = 1 << 64
 
@@ -104,25 +104,53 @@ def copies(pick, count=14):
 def test_near_duplicates(spark):
     rows = copies(random.Random(2)) + [(900, None), (901, ""), (902, "a"), (903, "a"), (None, "b c"), (904, "b c")]
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, stays int")
-    sets = [(i, t or "", set(shingles(words(lower(t)), 5))) for i, t in rows]
-    groups = Groups()
-    for (i, t, a), (j, u, b) in itertools.combinations(sets, 2):
-        near = (fingerprint(t, 2) ^ fingerprint(u, 2)).bit_count() <= 7
-        if t == u or (near and jaccard(a, b) >= 0.8):
-            groups.join(t, u)
-    members = {}
-    for i, t, _ in sets:
-        members.setdefault(groups.find(t), []).append(i)
-    least = {t: min((i for i in members[groups.find(t)] if i is not None), default=None) for _, t, _ in sets}
-    result = simhash.near_duplicates(df)
-    assert sorted(((r["doc_id"], r["component_id"]) for r in result.collect()), key=str) == sorted(((i, least[t]) for i, t, _ in sets), key=str)
+    sets = {t or "": set(shingles(words(lower(t)), 5)) for _, t in rows}
+    prints = {t: fingerprint(t, 2) for t in sets}
+    near, alike = Groups(), Groups()  # what must be joined, and what may be
+    close = [(t, u) for t, u in itertools.combinations(sets, 2) if sets[t] and jaccard(sets[t], sets[u]) >= 0.8]
+    for t, u in close:
+        alike.join(t, u)
+        if (prints[t] ^ prints[u]).bit_count() <= 7:
+            near.join(t, u)
+    result = simhash.near_duplicates(df).collect()
+    texts = dict(rows)
+    home = {texts[r["doc_id"]] or "": r["component_id"] for r in result}
+    for t, u in itertools.combinations(sets, 2):
+        if near.find(t) == near.find(u):
+            assert home[t] == home[u]
+        if home[t] == home[u]:
+            assert alike.find(t) == alike.find(u)
+    assert sum(home[t] == home[u] for t, u in close) >= 0.95 * len(close) > 0
+    least = {}
+    for r in result:
+        if r["doc_id"] is not None:
+            least[r["component_id"]] = min(r["doc_id"], least.get(r["component_id"], r["doc_id"]))
+    assert all(r["component_id"] == least[r["component_id"]] for r in result)
     kept = simhash.clean(df)
     assert kept.columns == df.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(least.values()))
-    alike = [(a, b) for (i, t, a), (j, u, b) in itertools.combinations(sets, 2) if a and b and jaccard(a, b) >= 0.8]
-    pairs = {(t, u) for (i, t, a), (j, u, b) in itertools.combinations(sets, 2) if a and b and jaccard(a, b) >= 0.8}
-    joined = sum(groups.find(t) == groups.find(u) for t, u in pairs)
-    assert joined >= 0.95 * len(pairs) and alike
+
+
+def test_blocks_join_like_all_pairs():
+    """Sets of few and of many members, in one block and in two, against all pairs."""
+    pick = random.Random(7)
+    for many in (5, 60):
+        base = [set(range(1000 * k, 1000 * k + 40)) for k in range(3)]
+        sets = [set(pick.sample(sorted(pick.choice(base)), 34)) | {pick.randrange(10**6) for _ in range(pick.randint(0, 8))} for _ in range(many)]
+        for two in (False, True):
+            blocks = [pick.randrange(2) if two else 0 for _ in sets]
+            parts = [pick.choice([n, n // 2 * 2]) for n in range(many)]
+            wanted, got = Groups(), Groups()
+            for n, p in enumerate(parts):
+                wanted.join(n, p)
+                got.join(n, p)
+            for m, n in itertools.combinations(range(many), 2):
+                if jaccard(sets[m], sets[n]) >= 0.8 and not (len(set(blocks)) > 1 and blocks[m] == blocks[n]):
+                    wanted.join(m, n)
+            for m, n in pairs.joined(sets, parts, blocks, 0.8):
+                assert jaccard(sets[m], sets[n]) >= 0.8
+                got.join(m, n)
+            assert [wanted.find(n) for n in range(many)] == [got.find(n) for n in range(many)]
 
 
 def test_near_duplicates_of_nothing(spark, documents):
