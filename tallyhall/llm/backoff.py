@@ -1,6 +1,6 @@
 """Stupid-backoff scores of documents under a trigram model of the other documents.
 
-n-grams are keyed by 64-bit hashes. Documents are dealt by hash into splits of bounded size.
+n-grams are keyed by hashes. Documents are dealt by hash into splits of bounded size.
 Each split lists its distinct n-grams with their counts, once, whatever the number of
 documents that hold them, cut by key into buckets: these lists are the exploded n-grams.
 A bucket sums the lists of all splits into its part of the count table and joins the sums
@@ -31,6 +31,8 @@ ALPHA = 0.4
 SPLIT_BYTES = 8 << 20
 # Scores are added up in whole units of 2**-UNIT, so their sum does not depend on any order.
 UNIT = 30
+# Bits of a key that are kept: of 10**13 n-grams one in 7,000 shares its key with another.
+KEY_BITS = 56
 _BLANKS = str.maketrans("\t\n\x0b\f\r", "     ")
 # Odd multipliers that set keys of different orders and places apart.
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -67,10 +69,11 @@ class Split:
             before = np.concatenate([np.zeros(1, np.uint64), self.keys[-1][:-1]]) if len(word) else word
             self.keys.append(np.where(self.place >= order - 1, _mixed(before, word, order), np.uint64(0)))
 
-    def listed(self) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct keys of all orders, sorted, and how often each occurs."""
-        every = np.concatenate([k[self.place >= n] for n, k in enumerate(self.keys)])
-        return np.unique(every, return_counts=True)
+    def exploded(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of all n-grams of all orders, shortened to KEY_BITS, and the order and place in it of each: (order, word)."""
+        has = [np.flatnonzero(self.place >= n) for n in range(ORDER)]
+        every = np.concatenate([k[h] for k, h in zip(self.keys, has)]) >> np.uint64(64 - KEY_BITS)
+        return every, np.concatenate([h + n * len(self.place) for n, h in enumerate(has)])
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -94,9 +97,10 @@ def unpack_keys(blob: bytes) -> np.ndarray:
 
 def _lists(buckets: int):
     def lists(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        keys, counts = Split(_texts(group)).listed()
+        keys, counts = np.unique(Split(_texts(group)).exploded()[0], return_counts=True)
         # Buckets are ranges of the key's top bits, so a bucket's keys stand together.
-        edges = np.searchsorted((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+        top = (keys >> np.uint64(KEY_BITS - 32)) * np.uint64(buckets) >> np.uint64(32)
+        edges = np.searchsorted(top, np.arange(buckets + 1, dtype=np.uint64))
         rows = [
             (key[0], b, pack_keys(keys[i:j]), _packed(counts[i:j].astype("<u4")))
             for b, (i, j) in enumerate(zip(edges[:-1], edges[1:])) if j > i
@@ -126,23 +130,26 @@ def _scores(total_words: int, leave_out: bool):
     def scores(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         docs = docs.sort_values(["doc_id", "row"], kind="stable")
         split = Split(docs["text"].tolist())
-        keys, _ = split.listed()
+        every, where = split.exploded()
         answers = answers.sort_values("bucket")
         totals = np.concatenate([_unpacked(b, "<u8") for b in answers["totals"]]) if len(answers) else np.zeros(0, "<u8")
-        if len(totals) != len(keys):
+        # In a stable order by key, the n-grams of one key and document stand together.
+        order = np.argsort(every, kind="stable")
+        every, where = every[order], where[order]
+        size = len(split.place)
+        doc = split.doc[where % size] if size else where
+        key_starts = np.concatenate([np.ones(min(1, len(every)), bool), every[1:] != every[:-1]])
+        run_starts = key_starts | np.concatenate([np.ones(min(1, len(every)), bool), doc[1:] != doc[:-1]])
+        if len(totals) != int(key_starts.sum()):
             raise ValueError("a split's n-grams changed between two runs over its documents")
-        rest = []  # per order, the count of the n-gram that ends at each word, over the other documents
-        for order, key in enumerate(split.keys):
-            has = split.place >= order
-            place = np.searchsorted(keys, key[has])
-            count = totals[place].astype(np.int64)
-            if leave_out:
-                both = split.doc[has] * len(keys) + place
-                _, inverse, own = np.unique(both, return_inverse=True, return_counts=True)
-                count -= own[inverse]
-            full = np.zeros(len(key), np.int64)
-            full[has] = count
-            rest.append(full)
+        count = totals[np.cumsum(key_starts) - 1].astype(np.int64)
+        if leave_out:
+            run = np.cumsum(run_starts) - 1
+            count -= np.bincount(run)[run]
+        # Per order, the count of the n-gram that ends at each word, over the other documents.
+        flat = np.zeros(ORDER * size, np.int64)
+        flat[where] = count
+        rest = flat.reshape(ORDER, size)
         words = np.maximum(1, total_words - split.lengths[split.doc] * leave_out)
         # From the shortest context up: the longest n-gram that the others hold decides.
         score = np.log(np.maximum(rest[0], 1) / words)
