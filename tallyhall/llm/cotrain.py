@@ -9,11 +9,13 @@ bounded sample; every document is scored.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhall.session import saved
@@ -242,15 +244,20 @@ def train(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY) -> M
     p, q = (F.col("bad") + 0.5) / (bad + 1), (F.col("good") + 0.5) / (good + 1)
     both = (F.col("bad") + F.col("good") + 1) / (totals["n"] + 2)
     z = F.abs(p - q) / F.sqrt(both * (1 - both) * (1 / (bad + 1) + 1 / (good + 1)))
-    best = F.broadcast(words.where((F.col("bad") + F.col("good") >= 3) & (z >= LEAST_Z)).orderBy(z.desc(), "f").limit(vocabulary).select("f"))
-    own = rows.select("doc_id", F.explode("features").alias("f")).join(best, "f").groupBy("doc_id").agg(F.collect_set("f").alias("text"))
-    table = rows.select("doc_id", "y", "held", "meta").join(own, "doc_id", "left").orderBy("doc_id", "meta").toPandas()
-    text = [frozenset(x) if x is not None else frozenset() for x in table["text"]]
-    meta = [frozenset(x) for x in table["meta"]]
-    marked = table["y"].notna().tolist()
+    listed = words.where((F.col("bad") + F.col("good") >= 3) & (z >= LEAST_Z)).orderBy(z.desc(), "f").limit(vocabulary)
+    names = [sys.intern(r["f"]) for r in listed.select("f").collect()]
+    places = docs.sparkSession.createDataFrame(pa.table({"f": pa.array(names, pa.string()), "place": pa.array(range(len(names)), pa.int32())}))
+    own = rows.select("doc_id", F.explode("features").alias("f")).join(F.broadcast(places), "f")
+    own = own.groupBy("doc_id").agg(F.collect_set("place").alias("text"))
+    # Features reach the driver as numbers; its sets share one string for each.
+    table = rows.select("doc_id", "y", "held", "meta").join(own, "doc_id", "left").orderBy("doc_id", "meta").toArrow()
+    text = [frozenset(map(names.__getitem__, x.as_py() or ())) for x in table["text"]]
+    meta = [frozenset(map(sys.intern, x.as_py())) for x in table["meta"]]
+    known_y, held = table["y"].to_pylist(), table["held"].to_pylist()
+    marked = [y is not None for y in known_y]
     pick = lambda values, flag: [v for v, m in zip(values, marked) if m == flag]
-    y = [int(v) for v in pick(table["y"], True)]
-    return cotrain(pick(text, True), pick(meta, True), y, pick(table["held"], True), pick(text, False), pick(meta, False))
+    y = [int(v) for v in pick(known_y, True)]
+    return cotrain(pick(text, True), pick(meta, True), y, pick(held, True), pick(text, False), pick(meta, False))
 
 
 def _scorer(model: Model):
