@@ -162,4 +162,6 @@ def resolve(
     keys = ["centre", "i", "j"]
     rows = keyed.join(texts, "id").select(*keys, "block", "id", "component", "text")
     later = rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_blocked(shingles, similarity), "a long, b long")
-    return components(found.unionByName(saved(later)))
+    # The components found first stand for their links.
+    known = labels.where("node <> component").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return components(known.unionByName(saved(later)))
