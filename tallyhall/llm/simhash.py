@@ -9,7 +9,11 @@ under the mask of that table: no pair within the radius is missed.
 from __future__ import annotations
 
 import string
+from collections.abc import Iterator
+from hashlib import blake2b
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhall.llm.common import BLANKS, lower_ascii, words
@@ -23,6 +27,12 @@ _LOWER_BLANKS = str.maketrans(string.ascii_uppercase + BLANKS, string.ascii_lowe
 CHUNK = 65535
 # Buckets of up to so many fingerprints are compared pair by pair: at most half as many pairs as this per member.
 SMALL_BUCKET = 128
+# Near duplicates meet in one of so many bands of so many MinHashes: a pair that is 0.8 alike misses all with a chance below 1e-9.
+BANDS, ROWS = 40, 4
+# Words whose signatures are made at once, and words whose hashes a worker remembers.
+BLOCK_WORDS, MEMO_WORDS = 1 << 15, 1_000_000
+_PICK = np.random.default_rng(20240611)  # any fixed seed: signatures must agree between tasks
+_FACTORS = _PICK.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
 
 
 def shingle_rows(docs: DataFrame, keys: list[str], size: int) -> DataFrame:
@@ -182,28 +192,97 @@ def classes(docs: DataFrame, size: int = 3, radius: int = 3) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _words_of(text: str) -> list[str]:
+    return [w for w in text.translate(_LOWER_BLANKS).split(" ") if w]
+
+
+def band_keys(texts: list[np.ndarray], size: int) -> np.ndarray:
+    """For each text (hashes of its words), BANDS keys that two texts share with the probability of their similarity to the power ROWS.
+
+    The similarity is that of the sets of runs of `size` words; fewer words are one run, padded with zeros.
+    """
+    padded = [np.pad(t, (0, max(0, size - len(t)))) for t in texts]
+    lengths = np.array([len(t) for t in padded])
+    words, counts = np.concatenate(padded), lengths - size + 1
+    runs = np.zeros(len(words) - size + 1, np.uint64)
+    for k in range(size):
+        runs = (runs ^ words[k : k + len(runs)]) * np.uint64(0x9E3779B97F4A7C15)
+        runs ^= runs >> np.uint64(29)
+    inside = np.arange(len(words)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    runs = runs[(inside < np.repeat(counts, lengths))[: len(runs)]]
+    firsts = np.cumsum(counts) - counts
+    keys, mixed = np.empty((len(texts), BANDS), np.uint64), np.empty_like(runs)
+    for band in range(BANDS):
+        key = np.full(len(texts), band, np.uint64)
+        for row in range(band * ROWS, (band + 1) * ROWS):
+            np.multiply(runs, _FACTORS[row], out=mixed)
+            np.bitwise_xor(mixed, mixed >> np.uint64(32), out=mixed)
+            np.multiply(mixed, _FACTORS[row - 1], out=mixed)
+            key = (key ^ np.minimum.reduceat(mixed, firsts)) * np.uint64(0x9E3779B97F4A7C15)
+            key ^= key >> np.uint64(29)
+        keys[:, band] = key
+    return keys
+
+
+def _banded(size: int):
+    """Rows (text_id, text) to (bucket, id); a task leaves out most copies of a text."""
+
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        memo: dict[str, int] = {}
+
+        def hashed(word: str) -> int:
+            h = memo.get(word)
+            if h is None:
+                h = memo[word] = int.from_bytes(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+            return h
+
+        def flushed(ids: list[int], texts: list[np.ndarray]) -> pa.RecordBatch:
+            keys = band_keys(texts, size).view(np.int64).ravel()
+            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.repeat(np.array(ids, np.int64), BANDS))], names=["bucket", "id"])
+
+        for batch in batches:
+            ids, texts, many = [], [], 0
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if key in seen:
+                    continue
+                if len(seen) > 500_000:  # what a task remembers of its texts and words is bounded
+                    seen.clear()
+                if len(memo) > MEMO_WORDS:
+                    memo.clear()
+                seen.add(key)
+                ids.append(key)
+                texts.append(np.array([hashed(w) for w in _words_of(text.as_py())], np.uint64))
+                many += len(texts[-1])
+                if many > BLOCK_WORDS:
+                    yield flushed(ids, texts)
+                    ids, texts, many = [], [], 0
+            if ids:
+                yield flushed(ids, texts)
+
+    return banded
+
+
 def _word_runs(size: int):
     def runs(text: str) -> set[int]:
-        found = [w for w in text.translate(_LOWER_BLANKS).split(" ") if w]
+        found = _words_of(text)
         return {hash(tuple(found[n : n + size])) for n in range(max(1, len(found) - size + 1))}
 
     return runs
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8, print_size: int = 2, radius: int = 7) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, text_id, component_id, stays: a row per distinct doc_id and text; text_id is a hash of the text.
 
-    Documents are compared if their fingerprints (of runs of `print_size` words) may differ in at
-    most `radius` bits, which the covering code decides, and linked if the Jaccard similarity of
-    their sets of `size`-word shingles is at least `similarity`. Short runs move few bits when a
-    word changes: most pairs as similar as that lie within the radius. component_id is
+    Documents are compared if they share a band of MinHashes of their `size`-word shingles, whatever
+    the kind of edit that parts them, and linked if the Jaccard similarity of their sets of
+    shingles is at least `similarity`. component_id is
     the smallest doc_id of the component, and the smallest document (by doc_id, then text_id;
     missing ids last) stays.
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     keyed = read.withColumn("text_id", F.xxhash64("text"))
-    prints = saved(majority_bits(shingle_rows(keyed.select("text_id", "text"), ["text_id"], print_size), ["text_id"]).drop("copies"))
-    members = buckets(prints, radius, ["text_id"]).select(F.xxhash64("table", "masked").alias("bucket"), F.col("text_id").alias("id"))
+    members = keyed.select("text_id", "text").mapInArrow(_banded(size), "bucket long, id long")
 
     def fetch(ids: DataFrame) -> DataFrame:
         texts = keyed.select(F.col("text_id").alias("id"), "text").join(ids, "id", "left_semi")

@@ -156,3 +156,29 @@ def test_blocks_join_like_all_pairs():
 def test_near_duplicates_of_nothing(spark, documents):
     assert simhash.clean(documents.limit(0)).count() == 0
     assert simhash.clean(documents).where("doc_id IN (1, 2)").count() == 1
+
+
+def test_near_duplicates_of_every_kind_of_edit(spark):
+    """Isolated pairs, 0.8 to 0.9 alike, whose difference stands in one block: nothing chains what candidates miss."""
+    pick = random.Random(11)
+    vocabulary = [f"w{n}" for n in range(5000)]
+    prose = lambda n: [pick.choice(vocabulary) for _ in range(n)]
+    rows = []
+    for n in range(180):
+        base = prose(300)
+        if n % 3 == 0:  # a paragraph appended
+            other = base + prose(pick.randint(34, 73))
+        elif n % 3 == 1:  # a block replaced
+            many, at = pick.randint(13, 28), pick.randint(0, 250)
+            other = base[:at] + prose(many) + base[at + many :]
+        else:  # one word of a short text
+            base = base[:52]
+            other = base[:26] + ["changed"] + base[27:]
+        rows += [(2 * n, " ".join(base)), (2 * n + 1, " ".join(other))]
+    texts = dict(rows)
+    sets = {i: set(shingles(words(t), 5)) for i, t in texts.items()}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    home = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df).collect()}
+    close = [n for n in range(180) if jaccard(sets[2 * n], sets[2 * n + 1]) >= 0.8]
+    assert len(close) > 150
+    assert [n for n in close if home[2 * n + 1] != 2 * n] == []
