@@ -1,4 +1,4 @@
-"""Benchmark items found in documents by SimHash of windows as long as the item.
+"""Benchmark items found in documents: every window as long as the item, by exact similarity.
 
 Words are runs of letters and digits of the lower-cased text; shingles are runs of SHINGLE
 words, or all words of a shorter item. A document leaks an item if a window of as many words
@@ -6,26 +6,22 @@ as the item has a weighted Jaccard similarity, shingles counted as often as they
 at least `similarity` to it.
 
 A window that similar shares a shingle with every set of the item's shingles that is larger
-than the share that may differ. The rarest such set anchors windows: only windows that put
-an anchor where the item has it are fingerprinted, each text of a window once, however many
-documents hold it. Multi-index Hamming blocks then give all pairs of a window and an
-item of its length within RADIUS bits: if RADIUS bits differ, one of RADIUS + 1 blocks is equal.
-The exact similarity decides.
+than the share that may differ. The rarest such set anchors an item: only texts that hold an anchor,
+wherever it stands, are compared with it. Of a text only the places of shingles that some item has
+are kept, once however many documents hold the text. They give the shingles that any window shares with the
+item, and so its similarity, without its words. Windows are tried only where enough of these places lie
+together; all that can be similar enough are, wherever the shared shingles stand in them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyhall.llm.simhash import BITS, distance, majority_bits
 from tallyhall.session import saved
 
 SHINGLE = 5
-# Anchors are broadcast up to so many (24 bytes each); more are joined by a shuffle.
+# Shingles of items are broadcast up to so many (12 bytes each); more are joined by a shuffle.
 BROADCAST_ANCHORS = 1_000_000
-# Bits in which the fingerprint of a window may differ from the item's. Fingerprints are made of single
-# words: one word in twenty changed moves about 5 bits.
-RADIUS = 15
 
 
 def normal_words(text: Column) -> Column:
@@ -36,72 +32,110 @@ def _run_hash(array: Column, at: Column, size: int) -> Column:
     return F.xxhash64(*[F.get(array, at + k) for k in range(size)])
 
 
+def _text_id(docs: DataFrame) -> Column:
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
 def items(benchmark: DataFrame) -> DataFrame:
-    """item_id, words, m (how many), k (words in a shingle); items without words are left out: nothing can leak them."""
+    """item_id, item (a hash of the words), words, m (how many), k (words in a shingle); items without words are left out: nothing can leak them."""
     read = benchmark.select(F.col("item_id").cast("long").alias("item_id"), normal_words(F.col("text")).alias("words"))
     read = read.withColumn("m", F.size("words")).where("m > 0")
-    return read.withColumn("k", F.least(F.lit(SHINGLE), F.col("m")))
+    return read.select("item_id", F.xxhash64("words").alias("item"), "words", "m", F.least(F.lit(SHINGLE), F.col("m")).alias("k"))
 
 
-def anchors(benchmark_items: DataFrame, sizes: list[int], similarity: float) -> DataFrame:
-    """k, h, m, ipos: places of each item's rarest shingles, as many as one must be shared of."""
+def item_shingles(benchmark_items: DataFrame, sizes: list[int], similarity: float) -> DataFrame:
+    """item, m, k, h, c (how often it occurs in the item), anchor (whether it is one of the rarest, as many as one must be shared of)."""
+    distinct = benchmark_items.select("item", "words", "m", "k").distinct()
     parts = []
     for k in sizes:
-        rows = benchmark_items.where(F.col("k") == k).select("item_id", "words", "m", F.posexplode("words").alias("ipos", "_word"))
+        rows = distinct.where(F.col("k") == k).select("item", "words", "m", F.posexplode("words").alias("ipos", "_word"))
         rows = rows.where(F.col("ipos") <= F.col("m") - k)
-        parts.append(rows.select("item_id", "m", "ipos", F.lit(k).alias("k"), _run_hash(F.col("words"), F.col("ipos"), k).alias("h")))
+        parts.append(rows.select("item", "m", "ipos", F.lit(k).alias("k"), _run_hash(F.col("words"), F.col("ipos"), k).alias("h")))
     grams = parts[0]
     for part in parts[1:]:
         grams = grams.unionByName(part)
     counted = grams.groupBy("h").agg(F.count("*").alias("n"))
-    each = grams.join(counted, "h").groupBy("item_id", "m", "k").agg(F.sort_array(F.collect_list(F.struct("n", "h", "ipos"))).alias("all"))
+    each = grams.join(counted, "h").groupBy("item", "m", "k").agg(F.sort_array(F.collect_list(F.struct("n", "h", "ipos"))).alias("all"))
     total = F.size("all")
     needed = total - F.ceil(total * similarity - 1e-9).cast("int") + 1
-    return each.select("m", "k", F.inline(F.slice("all", F.lit(1), needed))).select("k", "h", "m", "ipos").distinct()
+    flagged = each.select("item", "m", "k", needed.alias("needed"), F.posexplode("all").alias("rank", "one"))
+    return flagged.groupBy("item", "m", "k", F.col("one.h").alias("h")).agg(
+        F.count("*").cast("int").alias("c"), F.max(F.col("rank") < F.col("needed")).alias("anchor")
+    )
 
 
-def windows(docs: DataFrame, places: DataFrame, sizes: list[int]) -> DataFrame:
-    """doc_id, m, start, window: the text of every anchored window, clipped at the document's ends."""
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normal_words(F.col("text")).alias("_words"))
-    few = places.count() <= BROADCAST_ANCHORS
+def places(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFrame:
+    """text_id, n (words of the text), k, h, at: where texts hold shingles of items."""
+    read = docs.select(_text_id(docs).alias("text_id"), normal_words(docs["text"]).alias("_words"))
+    vocabulary = shingles.select("k", "h").distinct()
+    few = vocabulary.count() <= BROADCAST_ANCHORS
     n = F.size("_words")
-    each = read.select("doc_id", "_words", F.posexplode("_words").alias("_at", "_word"))
+    each = read.select("text_id", "_words", F.posexplode("_words").alias("at", "_word"))
     out = None
     for k in sizes:
-        own = places.where(F.col("k") == k).select("h", "m", "ipos")
-        runs = each.where(F.col("_at") <= n - k).withColumn("h", _run_hash(F.col("_words"), F.col("_at"), k))
-        hits = runs.join(F.broadcast(own) if few else own.hint("shuffle_merge"), "h").withColumn("start", F.col("_at") - F.col("ipos"))
-        first, last = F.greatest("start", F.lit(0)), F.least(F.col("start") + F.col("m"), n)
-        found = hits.select("doc_id", "m", "start", F.array_join(F.slice("_words", first + 1, last - first), " ").alias("window"))
-        out = found if out is None else out.unionByName(found)
+        own = vocabulary.where(F.col("k") == k).select("h")
+        runs = each.where(F.col("at") <= n - k).select(
+            "text_id", n.alias("n"), F.lit(k).alias("k"), _run_hash(F.col("_words"), F.col("at"), k).alias("h"), "at"
+        )
+        hits = runs.join(F.broadcast(own) if few else own.hint("shuffle_merge"), "h").select("text_id", "n", "k", "h", "at")
+        out = hits if out is None else out.unionByName(hits)
     return out.distinct()
 
 
-def _fingerprinted(texts: DataFrame, keys: list[str], words: Column) -> DataFrame:
-    """keys with the fingerprint of their words."""
-    rows = texts.select(*keys, F.posexplode(words).alias("_at", "_word"))
-    hashed = rows.select(*keys, F.lit(0).alias("chunk"), F.xxhash64("_word").alias("h"), (F.col("_at") == 0).cast("int").alias("first"))
-    return majority_bits(hashed, keys).drop("copies")
-
+def _windows(pairs: DataFrame, similarity: float) -> DataFrame:
+    """pairs with start and near: windows that may be similar enough, and the shared places that may lie in them.
 
-def _blocks(fingerprint: Column) -> Column:
-    """block, value: RADIUS + 1 blocks that cover all bits."""
-    edges = [round(b * BITS / (RADIUS + 1)) for b in range(RADIUS + 2)]
-    return F.array(
-        *[
-            F.struct(F.lit(n).alias("block"), F.shiftrightunsigned(fingerprint, a).bitwiseAND(F.lit((1 << (z - a)) - 1)).alias("value"))
-            for n, (a, z) in enumerate(zip(edges, edges[1:]))
-        ]
-    )
+    A pair's places (at, prev) are in order; a window of t of the text's shingles must hold at least
+    similarity * (t + total) / (1 + similarity) of them.
+    """
+    total, size = F.col("m") - F.col("k") + 1, F.size("places")
+    least = F.ceil(F.lit(similarity) * total - 1e-9).cast("int")
+    keys = ["text_id", "item", "m", "k", "n"]
+    need = F.greatest(F.ceil(2 * similarity / (1 + similarity) * total - 1e-9).cast("int"), F.lit(1))
+    each = pairs.select(*keys, "places", total.alias("total"), need.alias("need"), F.posexplode("places").alias("i", "place"))
+    # Whole windows in which place i is the first.
+    before = F.coalesce(F.get("places", F.col("i") - 1)["at"], F.lit(-1))
+    far = F.get("places", F.col("i") + F.col("need") - 1)["at"]
+    low, high = F.greatest(before + 1, far - F.col("total") + 1), F.least(F.col("place.at"), F.col("n") - F.col("m"))
+    first = each.select(*keys, low.alias("low"), high.alias("high"), F.when(far.isNotNull() & (low <= high), F.slice("places", F.col("i") + 1, F.col("total"))).alias("near"))
+    # Windows clipped at the beginning, at the end.
+    spare = total - least
+    left = pairs.where((spare > 0) & (size >= least)).select(*keys, (-spare).alias("low"), F.lit(-1).alias("high"), F.slice("places", F.lit(1), total).alias("near"))
+    room = F.col("n") - F.col("m")
+    right = pairs.where(size >= least).select(
+        *keys, F.greatest(room + 1, F.lit(0)).alias("low"), (room + spare).alias("high"),
+        F.slice("places", F.greatest(size - total + 1, F.lit(1)), total).alias("near"),
+    )
+    every = first.where("near IS NOT NULL").unionByName(left).unionByName(right).where("low <= high")
+    return every.select(*keys, F.explode(F.sequence("low", "high")).alias("start"), "near")
 
 
-def _weighted_set(words: Column, k: Column) -> Column:
-    """Hashes of (shingle, which occurrence of it): set operations on these are multiset operations on shingles."""
-    n = F.size(words)
-    size = F.least(k, n)
-    runs = F.transform(F.sequence(F.lit(0), n - size), lambda i: F.xxhash64(F.array_join(F.slice(words, i + 1, size), " ")))
-    ordered = F.array(F.sort_array(runs))
-    return F.get(F.transform(ordered, lambda s: F.transform(s, lambda h, i: F.xxhash64(h, i - F.array_position(s, h)))), F.lit(0))
+def leaking_texts(docs: DataFrame, listed: DataFrame, similarity: float) -> DataFrame:
+    """text_id, item, similarity, start of the best window, for texts that leak an item; listed as by items()."""
+    sizes = sorted(r[0] for r in listed.select("k").distinct().collect())  # at most SHINGLE numbers
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], "text_id long, item long, similarity double, start int")
+    shingles = saved(item_shingles(listed, sizes, similarity))
+    found = saved(places(docs, shingles, sizes))
+    anchors = shingles.where("anchor").select("k", "h", "item")
+    candidates = found.join(anchors, ["k", "h"]).select("text_id", "k", "item").distinct()
+    own = candidates.join(found, ["text_id", "k"]).join(shingles.select("item", "m", "h", "c"), ["item", "h"])
+    dealt = own.repartition("text_id", "item")
+    keys = ["text_id", "item", "m", "k", "n"]
+    # A place counts in a window unless as many places of its shingle as the item has stand before it there.
+    runs = dealt.groupBy(*keys, "h", "c").agg(F.sort_array(F.collect_list("at")).alias("ats"))
+    each = runs.select(*keys, "c", "ats", F.posexplode("ats").alias("i", "at"))
+    marked = each.select(*keys, F.struct("at", F.get("ats", F.col("i") - F.col("c")).alias("prev")).alias("place"))
+    pairs = saved(marked.groupBy(*keys).agg(F.sort_array(F.collect_list("place")).alias("places")))
+    first, last = F.greatest("start", F.lit(0)), F.least(F.col("start") + F.col("m"), "n") - F.col("k")
+    windows = _windows(pairs, similarity).select("text_id", "item", "m", "k", "start", "near", first.alias("first"), last.alias("last"))
+    inside = lambda p: p["at"].between(F.col("first"), F.col("last")) & (p["prev"].isNull() | (p["prev"] < F.col("first")))
+    shared = windows.select("text_id", "item", "start", (F.col("last") - F.col("first") + F.col("m") - F.col("k") + 2).alias("both"), F.size(F.filter("near", inside)).alias("shared"))
+    scored = shared.select("text_id", "item", "start", (F.col("shared") / (F.col("both") - F.col("shared"))).alias("similarity"))
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("back")))
+    return scored.where(F.col("similarity") >= similarity).groupBy("text_id", "item").agg(best.alias("best")).select(
+        "text_id", "item", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).alias("start")
+    )
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -111,31 +145,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> Dat
     doc_id are searched one by one and reported once; a missing doc_id is reported as null.
     An empty benchmark leaks nothing.
     """
-    spark = docs.sparkSession
     listed = saved(items(benchmark))
-    sizes = sorted(r[0] for r in listed.select("k").distinct().collect())  # at most SHINGLE numbers
-    if not sizes:
-        return spark.createDataFrame([], "doc_id long, item_id long, start int, similarity double")
-    found = saved(windows(docs, saved(anchors(listed, sizes, similarity)), sizes))
-    texts = found.select("m", "window").distinct()
-    prints = _fingerprinted(texts, ["m", "window"], F.split("window", " "))
-    item_texts = listed.select("m", "k", F.array_join("words", " ").alias("item")).distinct()
-    item_prints = _fingerprinted(item_texts, ["m", "k", "item"], F.split("item", " "))
-    left = prints.select("m", "window", "fingerprint", F.inline(_blocks(F.col("fingerprint"))))
-    right = item_prints.select("m", "k", "item", F.col("fingerprint").alias("own"), F.inline(_blocks(F.col("fingerprint"))))
-    near = left.join(right, ["m", "block", "value"]).where(distance("fingerprint", "own") <= RADIUS)
-    pairs = near.select("m", "k", "window", "item").distinct()
-    sets = pairs.select(
-        "m", "window", "item",
-        _weighted_set(F.split("window", " "), F.col("k")).alias("a"), _weighted_set(F.split("item", " "), F.col("k")).alias("b"),
-    )
-    shared = F.size(F.array_intersect("a", "b"))
-    scored = sets.select("m", "window", "item", (shared / (F.size("a") + F.size("b") - shared)).alias("similarity"))
-    sure = saved(scored.where(F.col("similarity") >= similarity))
-    named = sure.join(listed.select("item_id", "m", F.array_join("words", " ").alias("item")), ["m", "item"])
-    hits = found.join(named.select("m", "window", "item_id", "similarity"), ["m", "window"])
+    sure = saved(leaking_texts(docs, listed, similarity))
+    named = sure.join(listed.select("item_id", "item"), "item")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), _text_id(docs).alias("text_id"))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back")))
-    return hits.groupBy("doc_id", "item_id").agg(best.alias("best")).select(
+    return rows.join(named, "text_id").groupBy("doc_id", "item_id").agg(best.alias("best")).select(
         "doc_id", "item_id", (-F.col("best.back")).alias("start"), F.col("best.similarity").alias("similarity")
     )
 

@@ -96,3 +96,28 @@ def test_shuffled_anchors(spark, folder, monkeypatch):
 def test_no_python_on_the_way(spark, folder):
     plan = queries.op9_decontam(spark, folder)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_reordered_and_shifted_items(spark):
+    """Leaked items whose shared shingles stand at other places than the item's own."""
+    pick = random.Random(21)
+    vocabulary = [f"v{n}" for n in range(4000)]
+    prose = lambda n: [pick.choice(vocabulary) for _ in range(n)]
+    items, docs = [], []
+    for n in range(12):
+        item = prose(70 + 10 * (n % 3))
+        inner = list(item)
+        if n % 4 == 0:  # halves swapped
+            inner = inner[30:] + inner[:30]
+        elif n % 4 == 1:  # an insertion and a deletion around a shifted middle
+            inner = [*inner[:3], "new", *inner[3:-4], *inner[-3:]]
+        elif n % 4 == 2:  # the last words first
+            inner = inner[-9:] + inner[:-9]
+        else:  # at the very end of the document, cut
+            inner = inner[:-5]
+        items.append((n, " ".join(item)))
+        docs.append((n, " ".join([*prose(40), *inner, *(prose(40) if n % 4 != 3 else [])])))
+    wanted = expected(docs, items)
+    assert len(wanted) == 12
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    same(found(decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench)), wanted)
