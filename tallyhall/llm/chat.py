@@ -1,12 +1,12 @@
 """Chat texts rebuilt from event logs and rendered by a template with a loss mask.
 
-Events carry a conversation, a sequence number, the message they belong to, and a kind:
-  start       a message of `role` begins (again, if its id was seen: the old content goes)
+Events carry a conversation, the message they belong to, its place, a step within it, and a kind:
+  start       a message of `role` begins (again, if it has begun: the old content goes)
   delta       `text` is appended
   edit        `text` replaces what the message holds
   regenerate  what the message holds is thrown away; deltas that follow are the new answer
-A log is dealt out by conversation and sorted by sequence in Spark, which spills; a task then
-reads it as a stream and holds one message at a time, so a conversation of any length, even
+A log is dealt out by conversation and sorted by message and step in Spark, which spills, so that
+an event that comes late reaches its own message; a task then reads it as a stream and holds one message at a time, so a conversation of any length, even
 a third of all rows, needs no more memory than its longest message.
 """
 
@@ -64,15 +64,16 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 def events_of(conversations: DataFrame) -> DataFrame:
     """An event log whose final messages are the rows of conversations, in order of turn.
 
-    Columns: conv_id, turn, role, text, seq, kind, message. Every row streams in as two deltas;
-    answers were generated twice, and every third turn was edited into its final form. seq is
-    (turn, role, text, step): rows of one turn follow each other by role, then text. Null role
-    or text is empty.
+    Columns: conv_id, turn, role, order (a hash of the text), message, step, kind, piece. Every row
+    streams in as two deltas; answers were generated twice, and every third turn was edited into its final form. Rows
+    of one turn follow each other by role, then order. Every row is a message with an id of its own, so
+    rows that repeat all columns stay apart; which of them has which id makes no difference. Null
+    role or text is empty.
     """
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
-        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("message"),
     )
     half = F.floor(F.length("text") / 2).cast("int")
     head, tail = F.substring("text", F.lit(1), half), F.substring("text", half + 1, F.length("text") - half)
@@ -86,20 +87,29 @@ def events_of(conversations: DataFrame) -> DataFrame:
         .when(F.col("role") == "assistant", F.array(start, *redone))
         .otherwise(F.array(start, *streamed))
     )
-    return rows.select("conv_id", "turn", "role", F.xxhash64("text").alias("order"), F.inline(log))
+    return rows.select("conv_id", "turn", "role", F.xxhash64("text").alias("order"), "message", F.inline(log))
 
 
 def fold(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[object, object, str, str]]:
-    """conversation, place of the message in it, role and final text, from sorted events."""
-    conv, place, role, pieces, is_open = None, -1, "", [], False
+    """conversation, place of the message in it, role and final text, from events in order.
+
+    The events of a message, by its id, stand together; without the column `message` every start begins another one.
+    """
+    conv, place, role, pieces, is_open, own = None, -1, "", [], False, None
     for batch in batches:
         ids = batch["conv_id"].astype(object).where(batch["conv_id"].notna(), None)
-        for key, who, kind, piece in zip(ids, batch["role"], batch["kind"], batch["piece"]):
-            if kind == "start":
+        messages = batch["message"] if "message" in batch else [None] * len(batch)
+        for key, message, who, kind, piece in zip(ids, messages, batch["role"], batch["kind"], batch["piece"]):
+            again = is_open and message is not None and (key, message) == (conv, own)
+            if kind == "start" and again:
+                role, pieces = who, []
+            elif kind == "start":
                 if is_open:
                     yield conv, place, role, "".join(pieces)
                 place = place + 1 if is_open and key == conv else 0
-                conv, role, pieces, is_open = key, who, [], True
+                conv, role, pieces, is_open, own = key, who, [], True, message
+            elif message is not None and not again:
+                raise ValueError(f"an event of a message that has not begun: {message}")
             elif kind == "delta":
                 pieces.append(piece)
             elif kind == "edit":
@@ -136,11 +146,15 @@ def format_events(log: DataFrame, order: list[str]) -> DataFrame:
     """A row per final message: conv_id, place, formatted text of the turn, loss mask in it.
 
     The formatted conversation is its turns joined in order of place. `order` names the columns
-    that put a conversation's events in sequence. A missing conv_id is a conversation as well.
+    that put a conversation's events in sequence: the last one the events of a message, the others, equal in all
+    events of a message, the messages; messages equal in these are told apart by their ids.
+    A missing conv_id is a conversation as well.
     """
-    dealt = log.select("conv_id", *order, *[c for c in ("role", "kind", "piece") if c not in order])
-    sorted_log = dealt.repartition("conv_id").sortWithinPartitions("conv_id", *order)
-    return sorted_log.select("conv_id", "role", "kind", "piece").mapInPandas(_format, FORMATTED)
+    *places, step = order
+    keys = ["conv_id", *places, "message", step]
+    dealt = log.select(*keys, *[c for c in ("role", "kind", "piece") if c not in keys])
+    sorted_log = dealt.repartition("conv_id").sortWithinPartitions(*keys)
+    return sorted_log.select("conv_id", "message", "role", "kind", "piece").mapInPandas(_format, FORMATTED)
 
 
 DIGEST = (

@@ -62,3 +62,22 @@ def test_events_fold():
     assert list(chat.fold([batch[:3], batch[3:]])) == [(7, 0, "assistant", "de"), (7, 1, "assistant", "")]
     with pytest.raises(ValueError):
         list(chat.fold([batch.assign(kind="no such")]))
+
+
+def test_repeated_rows_stay_apart(spark):
+    """Equal rows with text, of every kind of turn, are as many equal messages."""
+    rows = [(c, t, r, "head and tail") for c in (1, None) for t in (0, 1, 2) for r in ("user", "assistant") for _ in range(3)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    formatted = chat.format_events(chat.events_of(df), ["turn", "role", "order", "step"])
+    assert found(chat.digests(formatted)) == expected(rows)
+
+
+def test_late_events_reach_their_own_message(spark):
+    """Two equal messages; the first is edited, the second begun again, after both were complete."""
+    events = [
+        (1, 0, "start", ""), (1, 1, "delta", "a"), (2, 0, "start", ""), (2, 1, "delta", "a"),
+        (1, 2, "edit", "b"), (2, 2, "start", ""), (2, 3, "delta", "c"),
+    ]
+    log = spark.createDataFrame([(9, 0, "user", m, s, k, p) for m, s, k, p in events], "conv_id long, turn long, role string, message long, step int, kind string, piece string")
+    rows = sorted((r["place"], r["formatted"]) for r in chat.format_events(log, ["turn", "role", "step"]).collect())
+    assert [chat.parse(text) for _, text in rows] == [[("user", "b")], [("user", "c")]]
