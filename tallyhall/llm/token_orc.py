@@ -53,13 +53,19 @@ class PieceMemo(dict):
     Words not met before are encoded many at once. The model merges bytes by rank; if no token
     that such words could give has a blank within or a letter beside a mark, it can't merge
     across them, and gives their ids one after another.
+
+    Added tokens in a text, <|endoftext|> for one, are single ids, as in the tokenizer's own encode().
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # The tokenizer takes out its added tokens before all else, and encodes what stands between them by itself.
+        self.added = {t.content: t for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.plain = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in self.added.values())
+        listed = sorted(self.added, key=len, reverse=True)
+        self.cut = re.compile("(" + "|".join(map(re.escape, listed)) + ")") if listed else None
         self.model = self.tokenizer.model
         self.letters = _letters()
         self.new: set[str] = set()
@@ -79,7 +85,7 @@ class PieceMemo(dict):
     def encode_all(self, texts: list[str]) -> list[bytes]:
         pieces, ends = [], []
         for text in texts:
-            pieces += self.pieces(text)
+            pieces += self.cut_pieces(text)
             ends.append(len(pieces))
         found = list(map(self.__getitem__, pieces))
         if self.new:
@@ -93,6 +99,20 @@ class PieceMemo(dict):
         self.new.add(piece)
         return piece
 
+    def cut_pieces(self, text: str) -> list[str]:
+        """The text's pieces; an added token is one, as the tokenizer has it."""
+        if self.cut is None:
+            return self.pieces(text)
+        if not self.plain:  # such tokens reach beyond their own characters, and may be found in changed text
+            return ["\r" + text]
+        if not any(content in text for content in self.added):
+            return self.pieces(text)
+        out = []
+        for part in self.cut.split(text):
+            if part:
+                out += ["\r" + part] if part in self.added else self.pieces(part)
+        return out
+
     @staticmethod
     def pieces(text: str) -> list[str]:
         odd = _PLAIN_ODD if text.isascii() else _ODD

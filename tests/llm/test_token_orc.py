@@ -57,3 +57,21 @@ def test_blanks_in_every_place():
     ]
     for text in texts:
         assert array("I", memo.encode(text)).tolist() == memo.tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_added_tokens_are_single_ids(spark):
+    """Against the tokenizer as it is loaded, no flag changed."""
+    untouched = Tokenizer.from_file(PATH)
+    end = "<|endoftext|>"
+    texts = [end, f"a{end}b c", f"a {end} b", f"{end}{end}", f"x\n{end}\n y  z", f"no tokens <|endof text|> here{end[:-1]}", f" {end}", f"it{end}'s"]
+    memo = token_orc.PieceMemo(PATH)
+    for text in texts:
+        assert array("I", memo.encode(text)).tolist() == untouched.encode(text, add_special_tokens=False).ids, text
+    out = shared_dir(spark)
+    token_orc.write_token_orc(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), out, PATH)
+    wanted, start = [], 0
+    for n, text in enumerate(texts):
+        ids = array("I", [*untouched.encode(text, add_special_tokens=False).ids, 0])
+        wanted.append((n, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert found(token_orc.token_index(spark, out)) == wanted
