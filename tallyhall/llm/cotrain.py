@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhall.session import saved
 
@@ -268,11 +268,32 @@ def _scorer(model: Model):
                 for t, *m in zip(batch["text"], batch["lang"], batch["source"], batch["n_chars"])
             ]
             text, meta, both = zip(*rows) if rows else ((), (), ())
-            yield pd.DataFrame({"key": batch["key"], "text_score": text, "meta_score": meta, "score": both})
+            yield pd.DataFrame({"key": batch["key"], "row": batch["row"], "text_score": text, "meta_score": meta, "score": both})
 
     return score
 
 
+def _row(docs: DataFrame) -> Column:
+    """A hash of what tells a row's verdict apart: doc_id, text and metadata, missing or not."""
+    read = [
+        docs["doc_id"].cast("long"), F.coalesce(docs["text"], F.lit("")), docs["lang"].cast("string"), docs["source"].cast("string"),
+        docs["n_chars"].cast("double"),
+    ]
+    return F.xxhash64(*read, *[c.isNull() for c in read])
+
+
+def _scored(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """row and the columns of score()."""
+    thin = docs.select(
+        F.col("doc_id").cast("string").alias("key"), _row(docs).alias("row"), F.col("text"), F.col("lang").cast("string").alias("lang"),
+        F.col("source").cast("string").alias("source"), F.col("n_chars").cast("double").alias("n_chars"),
+    )
+    rows = thin.mapInPandas(_scorer(model), "key string, row long, text_score double, meta_score double, score double")
+    return rows.select(
+        "row", F.col("key").cast("long").alias("doc_id"), "text_score", "meta_score", "score", (F.col("score") >= threshold).alias("kept")
+    )
+
+
 def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, text_score, meta_score, score, kept: a row per row of docs.
 
@@ -282,17 +303,15 @@ def score(docs: DataFrame, model: Model | None, threshold: float = THRESHOLD) ->
     if model is None:
         none = [F.lit(None).cast("double").alias(c) for c in ("text_score", "meta_score", "score")]
         return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *none, F.lit(True).alias("kept"))
-    thin = docs.select(
-        F.col("doc_id").cast("string").alias("key"), F.col("text"), F.col("lang").cast("string").alias("lang"),
-        F.col("source").cast("string").alias("source"), F.col("n_chars").cast("double").alias("n_chars"),
-    )
-    rows = thin.mapInPandas(_scorer(model), "key string, text_score double, meta_score double, score double")
-    return rows.select(
-        F.col("key").cast("long").alias("doc_id"), "text_score", "meta_score", "score", (F.col("score") >= threshold).alias("kept")
-    )
+    return _scored(docs, model, threshold).drop("row")
 
 
-def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier keeps, with their columns."""
-    verdicts = score(docs, train(docs, labels)).where(~F.col("kept")).select(F.col("doc_id").alias("_tallyhall_bad")).distinct()
-    return docs.join(verdicts, docs["doc_id"].cast("long").eqNullSafe(F.col("_tallyhall_bad")), "left_anti")
+def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that the classifier keeps, with their columns; other rows of a rejected row's doc_id, missing or not, stay."""
+    model = train(docs, labels)
+    if model is None:
+        return docs
+    verdicts = _scored(docs, model, threshold).where(~F.col("kept"))
+    bad = verdicts.select(F.col("doc_id").alias("_tallyhall_bad"), F.col("row").alias("_tallyhall_row")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_tallyhall_bad")) & (_row(docs) == F.col("_tallyhall_row"))
+    return docs.join(bad, same, "left_anti")

@@ -156,6 +156,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> Dat
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """The rows of docs that leak no item."""
-    bad = leaks(docs, benchmark, similarity).select(F.col("doc_id").alias("_tallyhall_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("_tallyhall_bad")), "left_anti")
+    """The rows of docs that leak no item; other rows of a leaking row's doc_id, missing or not, stay."""
+    texts = leaking_texts(docs, saved(items(benchmark)), similarity).select("text_id").distinct()
+    rows = docs.select(docs["doc_id"].cast("long").alias("_tallyhall_doc"), _text_id(docs).alias("text_id"))
+    bad = rows.join(texts, "text_id", "left_semi").select("_tallyhall_doc", F.col("text_id").alias("_tallyhall_text")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_tallyhall_doc")) & (_text_id(docs) == F.col("_tallyhall_text"))
+    return docs.join(bad, same, "left_anti")

@@ -77,3 +77,18 @@ def test_fit_finds_the_optimum():
     for name, w in view.weights.items():
         assert sum(g for g, r in zip(gap, rows) if name in r) + 0.3 * w == pytest.approx(0, abs=0.05)
     assert gap.sum() == pytest.approx(0, abs=0.05)
+
+
+def test_keep_decides_row_by_row(spark, monkeypatch):
+    """Rows that share a doc_id, or have none, go one by one; so do rows that differ in metadata alone."""
+    text = cotrain.View({"bad": -50.0}, 5.0)
+    meta = cotrain.View({"lang=xx": -50.0}, 5.0)
+    monkeypatch.setattr(cotrain, "train", lambda *_: cotrain.Model(text, meta, (1.0, 1.0, 0.0), 1))
+    rows = [
+        (None, "bad one", "en", "a", 3), (None, "fine one", "en", "a", 3), (None, None, "en", None, None), (1, "bad", "en", "a", 3),
+        (1, "fine", "en", "a", 3), (2, "fine", "xx", "a", 3), (2, "fine", "en", "a", 3), (2, "fine", None, "a", None), (3, "bad", None, None, None),
+        (3, "bad", "en", "a", 3), (4, "fine", "en", "a", 3), (4, "fine", "en", "a", 3),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = sorted(map(tuple, cotrain.keep(docs, None).collect()), key=str)
+    assert kept == sorted((r for r in rows if "bad" not in (r[1] or "") and r[2] != "xx"), key=str)

@@ -121,3 +121,13 @@ def test_reordered_and_shifted_items(spark):
     assert len(wanted) == 12
     bench = spark.createDataFrame(items, "item_id long, text string")
     same(found(decontam.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench)), wanted)
+
+
+def test_clean_decides_row_by_row(spark):
+    """Rows that share a doc_id with a leaking row, or have none as it has, stay."""
+    item = " ".join(f"i{n}" for n in range(30))
+    rows = [(None, f"x y {item}"), (None, "clean text"), (None, None), (1, item), (1, "clean too"), (2, item), (2, item), (3, "clean text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    kept = sorted(map(tuple, decontam.clean(docs, bench).collect()), key=str)
+    assert kept == sorted((r for r in rows if "i7" not in (r[1] or "")), key=str)
