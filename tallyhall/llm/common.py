@@ -34,6 +34,12 @@ def lower_ascii(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(mapped)
 
 
+def finite(vector: Column) -> Column:
+    """Whether an array of doubles is there and all its components are finite numbers."""
+    whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    return F.when(vector.isNull(), False).otherwise(F.coalesce(whole, F.lit(False)))
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The same rows, checkpointed in the shared folder: loops stay short and survive lost executors."""
     context = df.sparkSession.sparkContext

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallyhall.llm import backoff, chat, cotrain, decontam, linededup, outliers, packing, simhash, token_orc, warc
+from tallyhall.llm import (
+    ann, backoff, chat, cotrain, decontam, fim, linededup, outliers, packing, simhash, sql, token_orc, vector_codes, warc,
+)
 from tallyhall.llm.common import ship, table, words
 from tallyhall.session import saved, shared_dir
 
@@ -86,13 +88,36 @@ def op10_linededup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("doc").alias("doc_id"), "n_lines", F.size("removed").alias("n_removed"), "removed")
 
 
+def op11_graph_ann(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest others of every fiftieth vector, by graphs over all vectors."""
+    ship(spark)
+    return ann.nearest(table(spark, folder, "embeddings"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes and errors of all vectors under codebooks fitted on all of them."""
+    ship(spark)
+    return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents cut for filling in the middle, as digests of the output and of the text told back."""
+    ship(spark)
+    cut = fim.transform(table(spark, folder, "documents"))
+    sha = lambda text: F.sha2(text.cast("binary"), 256)
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", sha(F.col("output")).alias("output_sha256"),
+        sha(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
 def queries() -> dict:
     found = (
         op1_simhash, op2_warc, op3_cotrain, op4_outliers, op5_chat, op6_packing, op7_backoff, op8_token_orc, op9_decontam,
-        op10_linededup,
+        op10_linededup, op11_graph_ann, op12_vector_codes, op13_fill_in_middle,
     )
     return {query.__name__: query for query in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.all_queries()
