@@ -85,6 +85,9 @@ def _ask(name: str, spark: SparkSession, folder: str) -> DataFrame:
 def _figure(name: str, spark: SparkSession, folder: str) -> DataFrame:
     """A figure derived from a named result, which is saved first if read repeatedly."""
     source, derive = suite.FIGURES[name]
+    if name == "low_star_share":  # needs no scores
+        reviews = ct.unique_reviews(tv.reviews_raw(spark, folder))
+        return metrics.low_star_share(tx.rating_counts(readers.renamed(reviews, "reviews")))
     result = _ask(source, spark, folder)
     return derive(saved(result) if name == "category_quadrants" else result, SETTINGS)
 
@@ -103,6 +106,13 @@ def _sentiment_in_context(spark: SparkSession, folder: str) -> DataFrame:
     return sums.select("doc_id", compound(F.col("valence")).alias("sentiment"))
 
 
+def _sentiment_in_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """As _sentiment_in_context, with phrases that take the place of their words."""
+    docs = tv.table(spark, folder, "documents")
+    sums = context_sums(docs, ["doc_id"], "text", tv.lexicon(spark), tv.modifiers(spark), tv.CONTRAST, tv.phrases(spark))
+    return sums.select("doc_id", compound(F.col("valence")).alias("sentiment"))
+
+
 def _sentiment_label(spark: SparkSession, folder: str) -> DataFrame:
     scored = _sentiment_score(spark, folder).withColumn("sentiment_label", label(F.col("sentiment")))
     return scored.groupBy("sentiment_label").agg(F.count("*").alias("documents"))
@@ -190,6 +200,7 @@ def queries() -> dict[str, Query]:
         "sentiment_score": _sentiment_score,
         "sentiment_label": _sentiment_label,
         "sentiment_in_context": _sentiment_in_context,
+        "sentiment_in_phrases": _sentiment_in_phrases,
         "cleaning_report": _cleaning_report,
         "cleaning_report_head": lambda s, d: audit.cleaning_report_head(_cleaning_report(s, d)),
         **{name: partial(_ask, name) for name in suite.QUESTIONS},

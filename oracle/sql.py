@@ -52,8 +52,37 @@ def _quantile(table: str, value: str, p: float, name: str, by: str = "") -> str:
             {group})"""
 
 
-def _in_context(rows: str) -> str:
-    """key, sentiment of rows (key, text): one row per word and windows over each text."""
+def _taken() -> str:
+    """Words with inside (a phrase holds it) and worth (of the phrase that begins here, else null)."""
+    listed = [(p, len(p.split()), v) for p, v in tv.PHRASES.items()]
+    return f"""
+      phrase AS (SELECT col0 AS p, col1 AS n, CAST(col2 AS DOUBLE) AS worth FROM ({_values(listed)})),
+      runs AS (
+        SELECT key, pos, low, low || ' ' || lead(low, 1) OVER o AS r2,
+               low || ' ' || lead(low, 1) OVER o || ' ' || lead(low, 2) OVER o AS r3,
+               low || ' ' || lead(low, 1) OVER o || ' ' || lead(low, 2) OVER o || ' ' || lead(low, 3) OVER o AS r4
+        FROM marked WINDOW o AS (PARTITION BY key ORDER BY pos)),
+      matches AS (
+        SELECT key, pos, n, worth FROM runs JOIN phrase ON p = r2 OR p = r3 OR p = r4),
+      longest AS (SELECT key, pos, max(n) AS n FROM matches GROUP BY key, pos),
+      picked AS (
+        SELECT key, list_reduce(list([CAST(pos AS BIGINT), CAST(pos + n - 1 AS BIGINT)] ORDER BY pos),
+                 lambda a, x: CASE WHEN x[1] > a[len(a)] THEN list_concat(a, x) ELSE a END) AS ends FROM longest GROUP BY key),
+      spans AS (
+        SELECT key, ends[2 * i + 1] AS first, ends[2 * i + 2] AS last
+        FROM (SELECT key, ends, unnest(range(0, len(ends) // 2)) AS i FROM picked)),
+      free AS (
+        SELECT m.*, s.first IS NOT NULL AS inside, w.worth
+        FROM marked m LEFT JOIN spans s ON m.key = s.key AND m.pos BETWEEN s.first AND s.last
+        LEFT JOIN matches w ON m.key = w.key AND m.pos = w.pos AND m.pos = s.first AND w.n = s.last - s.first + 1),"""
+
+
+def _in_context(rows: str, phrases: bool = False) -> str:
+    """key, sentiment of rows (key, text): one row per word and windows over each text.
+
+    Phrases are taken from left to right: a list of those found, ordered by first word and length, is reduced to
+    those that begin behind the end of the last one taken.
+    """
     words = lambda ws: ", ".join(f"'{w}'" for w in ws)
     ups = [w for w, k in tv.MODIFIERS.items() if k == 1]
     downs = [w for w, k in tv.MODIFIERS.items() if k == -1]
@@ -81,7 +110,8 @@ def _in_context(rows: str) -> str:
                  lambda w: w <> '') AS ws FROM texts),
       flat AS (SELECT key, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos FROM lists),
       marked AS (SELECT *, lower(w) AS low, w = upper(w) AND w <> lower(w) AS caps FROM flat),
-      kinds AS (SELECT *, {kind} AS kind FROM marked),
+      {_taken() if phrases else ""}
+      kinds AS (SELECT *, {"CASE WHEN inside THEN NULL ELSE " + kind + " END" if phrases else kind} AS kind FROM {"free" if phrases else "marked"}),
       seen AS (
         SELECT *, bool_or(caps) OVER d AND bool_or(NOT caps) OVER d AS mixed,
                min(CASE WHEN low = '{tv.CONTRAST}' THEN pos END) OVER d AS turn,
@@ -90,7 +120,7 @@ def _in_context(rows: str) -> str:
         FROM kinds WINDOW d AS (PARTITION BY key), o AS (PARTITION BY key ORDER BY pos)),
       v0 AS (SELECT *, CAST(valence AS DOUBLE) + CASE WHEN mixed AND caps THEN
                CASE WHEN valence > 0 THEN CAST(0.733 AS DOUBLE) ELSE CAST(-0.733 AS DOUBLE) END ELSE 0 END AS a
-             FROM seen JOIN lexicon ON low = token),
+             FROM {"(SELECT seen.*, CASE WHEN inside THEN worth ELSE valence END AS valence FROM seen LEFT JOIN lexicon ON low = token) WHERE valence IS NOT NULL" if phrases else "seen JOIN lexicon ON low = token"}),
       v1 AS (SELECT *, {step("a", "k1", "c1", 1.0)} AS b FROM v0),
       v2 AS (SELECT *, {step("b", "k2", "c2", 0.95)} AS c FROM v1),
       v3 AS (SELECT *, {step("c", "k3", "c3", 0.9)} AS d FROM v2),
@@ -545,6 +575,8 @@ OTHERS = {
     "sentiment_label": f"""
       SELECT CASE WHEN sentiment <= -0.05 THEN '负面' WHEN sentiment <= 0.05 THEN '中性' ELSE '正面' END AS sentiment_label,
              count(*) AS documents FROM ({SCORED_DOCS}) GROUP BY 1""",
+    "sentiment_in_phrases": f"""
+      SELECT key AS doc_id, sentiment FROM ({_in_context("SELECT doc_id AS key, text FROM documents", phrases=True)})""",
     "sentiment_in_context": f"""
       SELECT key AS doc_id, sentiment FROM ({_in_context("SELECT doc_id AS key, text FROM documents")})""",
     "cleaning_report": REPORT,

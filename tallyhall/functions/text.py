@@ -14,8 +14,10 @@ BLANKS = "".join(
         *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
     )
 )
-# The same characters as a pattern: Unicode white space and four separators.
-WORD = r"(?U)[^\s\x1c-\x1f]+"
+# The same characters as patterns.
+_ASCII, _OTHER = r"\t-\r\x1c-\x20", r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+ASCII_BLANK, OTHER_BLANK, BLANK = f"[{_ASCII}]", f"[{_OTHER}]", f"[{_ASCII}{_OTHER}]"
+WORD = f"[^{_ASCII}{_OTHER}]+"
 
 # Texts that a pandas CSV reader takes as missing by default.
 PANDAS_NA = (

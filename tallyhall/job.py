@@ -1,6 +1,6 @@
 """The whole run as a Spark job: raw files in, cleaned tables, log, results and figures out.
 
-    spark-submit tallyhall/job.py RAW_DIR OUT_DIR --lexicon LEXICON_FILE [--modifiers MODIFIER_FILE]
+    spark-submit tallyhall/job.py RAW_DIR OUT_DIR --lexicon LEXICON_FILE [--modifiers MODIFIER_FILE] [--phrases PHRASE_FILE]
 """
 
 from __future__ import annotations
@@ -34,10 +34,12 @@ def run(
     settings: suite.Settings = suite.Settings(),
     partitions: int | None = None,
     modifiers_path: str | None = None,
+    phrases_path: str | None = None,
 ) -> None:
     raw = readers.read_raw(spark, {k: f"{raw_dir}/{name}" for k, name in FILES.items()}, partitions)
     modifiers = readers.read_modifiers(spark, modifiers_path) if modifiers_path else None
-    suite.run_cleaning(raw, readers.read_lexicon(spark, lexicon_path), out_dir, settings, modifiers)
+    phrases = readers.read_phrases(spark, phrases_path) if phrases_path else None
+    suite.run_cleaning(raw, readers.read_lexicon(spark, lexicon_path), out_dir, settings, modifiers, phrases)
     report = suite.run_questions(spark, f"{out_dir}/cleaned", f"{out_dir}/tables", settings)
     report.coalesce(1).write.mode("overwrite").csv(f"{out_dir}/run_report", header=True)
     suite.run_figures(spark, f"{out_dir}/tables", settings)
@@ -49,10 +51,14 @@ def main() -> None:
     args.add_argument("out_dir")
     args.add_argument("--lexicon", required=True, help="tab-separated token and valence")
     args.add_argument("--modifiers", help="tab-separated token and kind: 1 strengthens, -1 weakens, 0 negates")
+    args.add_argument("--phrases", help="tab-separated phrase of two to four words and valence")
     args.add_argument("--partitions", type=int, help="spread each header file over this many tasks")
     given = args.parse_args()
     spark = SparkSession.builder.appName("tallyhall").getOrCreate()
-    run(spark, given.raw_dir, given.out_dir, given.lexicon, partitions=given.partitions, modifiers_path=given.modifiers)
+    run(
+        spark, given.raw_dir, given.out_dir, given.lexicon, partitions=given.partitions, modifiers_path=given.modifiers,
+        phrases_path=given.phrases,
+    )
 
 
 if __name__ == "__main__":

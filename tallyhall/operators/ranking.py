@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 PER_OCTAVE = 256
 _LOWEST_OCTAVE = 1100  # below the exponent of the smallest double
@@ -35,58 +35,38 @@ def exact_quantiles(
     `probs` maps output names to probabilities. Equal values are counted before
     the first shuffle; only the blocks that hold a wanted rank are then ordered.
     """
-    keys = [f"`{c}`" for c in by]
-    group = ", ".join(keys)
-    lead = "".join(f"{k}, " for k in keys)
-    of_counts = "".join(f"c.{k}, " for k in keys)
-    same = "".join(f" AND c.{k} <=> k.{k}" for k in keys)
-    # Without groups `kept` has at most two rows per probability; with groups, only counts meet it.
-    few = "" if by else "/*+ BROADCAST(k) */ "
-    whole = f"PARTITION BY {group}" if by else ""
+    keys = [F.col(f"`{c}`") for c in by]
+    group = Window.partitionBy(*keys)
     # 0-based place between two neighbours of each quantile.
     place = {name: f"((total - 1) * {float(p)!r}D)" for name, p in probs.items()}
-    wanted = " OR ".join(
-        f"{end}({pos}) BETWEEN before AND before + bn - 1"
-        for pos in place.values()
-        for end in ("floor", "ceil")
-    )
-    ends = ", ".join(
-        f"max(CASE WHEN {end}({pos}) BETWEEN lo AND hi THEN v END) AS `{end}_{name}`"
-        for name, pos in place.items()
-        for end in ("floor", "ceil")
+    ends = [(name, end, f"{end}({pos})") for name, pos in place.items() for end in ("floor", "ceil")]
+    wanted = " OR ".join(f"{rank} BETWEEN before AND before + bn - 1" for _, _, rank in ends)
+
+    values = df.select(*keys, F.col(f"`{value}`").cast("double").alias("v")).where("v IS NOT NULL")
+    counts = values.groupBy(*keys, "v").agg(F.count("*").alias("n")).withColumn("b", F.expr(value_block("v")))
+    blocks = counts.groupBy(*keys, "b").agg(F.sum("n").alias("bn"))
+    placed = blocks.select(
+        *keys, "b", "bn", (F.sum("bn").over(group.orderBy("b")) - F.col("bn")).alias("before"), F.sum("bn").over(group).alias("total")
     )
+    kept = placed.where(wanted).select(*[k.alias(f"_{n}") for n, k in enumerate(keys)], F.col("b").alias("_b"), "before", "total")
+    same = F.col("b") == F.col("_b")
+    for n, k in enumerate(keys):
+        same = same & k.eqNullSafe(F.col(f"_{n}"))
+    # Without groups `kept` has at most two rows per probability; with groups, only counts meet it.
+    found = counts.join(kept if by else F.broadcast(kept), same)
+    ordered = Window.partitionBy(*keys, "b").orderBy("v")
+    ranked = found.withColumn("hi", F.col("before") + F.sum("n").over(ordered) - 1).withColumn("lo", F.expr("hi - n + 1"))
+    held = [F.expr(f"max(CASE WHEN {rank} BETWEEN lo AND hi THEN v END)").alias(f"{end}_{name}") for name, end, rank in ends]
+    one = ranked.groupBy(*keys).agg(F.max("total").alias("total"), *held)
     # Interpolate from the nearer neighbour, so that both ends come out exact.
-    between = ", ".join(
+    between = [
         f"""CASE WHEN {pos} - floor({pos}) < 0.5D
             THEN `floor_{name}` + (`ceil_{name}` - `floor_{name}`) * ({pos} - floor({pos}))
             ELSE `ceil_{name}` - (`ceil_{name}` - `floor_{name}`) * (1 - ({pos} - floor({pos})))
             END AS `{name}`"""
         for name, pos in place.items()
-    )
-    return df.sparkSession.sql(
-        f"""
-        WITH counts AS (
-          SELECT {lead}v, {value_block("v")} AS b, count(*) AS n
-          FROM (SELECT {lead}double(`{value}`) AS v FROM {{df}} WHERE `{value}` IS NOT NULL)
-          GROUP BY {lead}v),
-        blocks AS (SELECT {lead}b, sum(n) AS bn FROM counts GROUP BY {lead}b),
-        placed AS (
-          SELECT {lead}b, bn, sum(bn) OVER ({whole} ORDER BY b) - bn AS before,
-                 sum(bn) OVER ({whole}) AS total
-          FROM blocks),
-        kept AS (SELECT * FROM placed WHERE {wanted}),
-        ranked AS (
-          SELECT {few}{of_counts}c.v, c.n, k.total,
-                 k.before + sum(c.n) OVER (PARTITION BY {of_counts}c.b ORDER BY c.v) - 1 AS hi
-          FROM counts c JOIN kept k ON c.b = k.b{same}),
-        found AS (
-          SELECT {lead}max(total) AS total, {ends}
-          FROM (SELECT *, hi - n + 1 AS lo FROM ranked)
-          {f"GROUP BY {group}" if by else ""})
-        SELECT {lead}{between} FROM found
-        """,
-        df=df,
-    )
+    ]
+    return one.select(*keys, *map(F.expr, between))
 
 
 def tile_of(rank: str, total: str, tiles: int) -> str:
@@ -113,26 +93,15 @@ def tiles_from_counts(
     on (value, how many). Distinct activity counts n sum to at most the number
     of events E, hence there are fewer than sqrt(2E) of them.
     """
-    order = "DESC" if descending else "ASC"
-    return df.sparkSession.sql(
-        f"""
-        WITH hist AS (SELECT `{value}` AS v, count(*) AS n FROM {{df}} GROUP BY `{value}`),
-        ranges AS (
-          SELECT v, sum(n) OVER (ORDER BY v {order}) AS hi,
-                 sum(n) OVER (ORDER BY v {order}) - n + 1 AS lo, sum(n) OVER () AS total
-          FROM hist),
-        parts AS (
-          SELECT *, explode(sequence({tile_of("lo", "total", tiles)}, {tile_of("hi", "total", tiles)})) AS tile
-          FROM ranges),
-        cut AS (
-          SELECT tile, v,
-                 least(hi, {last_rank("tile", "total", tiles)})
-                   - greatest(lo - 1, {last_rank("(tile - 1)", "total", tiles)}) AS k
-          FROM parts)
-        SELECT tile, sum(k) AS entities, sum(k * v) AS total FROM cut GROUP BY tile
-        """,
-        df=df,
+    hist = df.groupBy(F.col(f"`{value}`").alias("v")).agg(F.count("*").alias("n"))
+    whole, ordered = Window.partitionBy(), Window.orderBy(F.desc("v") if descending else F.asc("v"))
+    ranges = hist.select("v", "n", F.sum("n").over(ordered).alias("hi"), F.sum("n").over(whole).alias("total")).withColumn(
+        "lo", F.expr("hi - n + 1")
     )
+    tiles_held = f"explode(sequence({tile_of('lo', 'total', tiles)}, {tile_of('hi', 'total', tiles)}))"
+    last, before = last_rank("tile", "total", tiles), last_rank("(tile - 1)", "total", tiles)
+    cut = ranges.withColumn("tile", F.expr(tiles_held)).withColumn("k", F.expr(f"least(hi, {last}) - greatest(lo - 1, {before})"))
+    return cut.groupBy("tile").agg(F.sum("k").alias("entities"), F.sum(F.expr("k * v")).alias("total"))
 
 
 def with_ntile(
@@ -154,33 +123,21 @@ def with_ntile(
         "*", f"{v} AS _v", f"{value_block(v)} AS _b", f"md5(string(`{id_col}`)) AS _h"
     ).withColumn("_s", F.expr("substring(_h, 1, 2)"))
     # `needs` and `places` hold the wanted ranks, counted within the block and the cell.
-    bounds = df.sparkSession.sql(
-        f"""
-        WITH blocks AS (
-          SELECT _b, n, sum(n) OVER (ORDER BY _b) - n AS before, sum(n) OVER () AS total
-          FROM (SELECT _b, count(*) AS n FROM {{rows}} GROUP BY _b)),
-        wanted AS (
-          SELECT _b, filter(transform(sequence(1, {tiles - 1}),
-                                      t -> {last_rank("t", "total", tiles)} - before),
-                            r -> r BETWEEN 1 AND n) AS needs
-          FROM blocks),
-        cells AS (
-          SELECT /*+ BROADCAST(w) */ _b, needs, _v, _s, count(*) AS n
-          FROM {{rows}} JOIN (SELECT * FROM wanted WHERE size(needs) > 0) AS w USING (_b)
-          GROUP BY _b, needs, _v, _s),
-        placed AS (
-          SELECT *, sum(n) OVER (PARTITION BY _b ORDER BY _v, _s) - n AS before FROM cells),
-        targets AS (
-          SELECT _v, _s, filter(transform(needs, r -> r - before), r -> r BETWEEN 1 AND n) AS places
-          FROM placed),
-        candidates AS (
-          SELECT /*+ BROADCAST(t) */ _v, _h, places, row_number() OVER (PARTITION BY _v, _s ORDER BY _h) AS place
-          FROM {{rows}} JOIN (SELECT * FROM targets WHERE size(places) > 0) AS t USING (_v, _s))
-        SELECT collect_list(struct(_v, _h)) AS bounds
-        FROM candidates WHERE array_contains(places, bigint(place))
-        """,
-        rows=rows,
+    inside = lambda ranks: f"filter({ranks}, r -> r BETWEEN 1 AND n)"
+    every = Window.orderBy("_b")
+    blocks = rows.groupBy("_b").agg(F.count("*").alias("n"))
+    counted = blocks.select(
+        "_b", "n", (F.sum("n").over(every) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy()).alias("total")
     )
+    ranks = f"transform(sequence(1, {tiles - 1}), t -> {last_rank('t', 'total', tiles)} - before)"
+    wanted = counted.selectExpr("_b", f"{inside(ranks)} AS needs").where("size(needs) > 0")
+    cells = rows.join(F.broadcast(wanted), "_b").groupBy("_b", "needs", "_v", "_s").agg(F.count("*").alias("n"))
+    placed = cells.withColumn("before", F.sum("n").over(Window.partitionBy("_b").orderBy("_v", "_s")) - F.col("n"))
+    targets = placed.selectExpr("_v", "_s", f"{inside('transform(needs, r -> r - before)')} AS places").where("size(places) > 0")
+    near = rows.join(F.broadcast(targets), ["_v", "_s"]).select("_v", "_s", "_h", "places")
+    candidates = near.withColumn("place", F.row_number().over(Window.partitionBy("_v", "_s").orderBy("_h")))
+    found = candidates.where("array_contains(places, bigint(place))")
+    bounds = found.agg(F.collect_list(F.struct("_v", "_h")).alias("bounds"))
     below = F.expr("size(filter(_bounds, x -> x < struct(_v, _h)))")
     tiled = rows.withColumn("_bounds", bounds.scalar()).withColumn(name, below + 1)
     return tiled.drop("_v", "_b", "_h", "_s", "_bounds")

@@ -75,11 +75,12 @@ def unique_reviews(raw: DataFrame) -> DataFrame:
 
 
 def clean_reviews(
-    raw: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None, contrast: str = CONTRAST
+    raw: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None, contrast: str = CONTRAST,
+    phrases: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (business, text) with its sentiment, from one pass over the text."""
-    sums = context_sums(keyed_reviews(raw), ["text_key", *_ROW], "Content", lexicon, modifiers, contrast)
-    return _one_per_text(sums, "valence").select(
+    sums = context_sums(keyed_reviews(raw), ["text_key"], "Content", lexicon, modifiers, contrast, phrases, row=_ROW)
+    return sums.select("row.*", "valence").select(
         "business_id", "business_name", "Date", "Rating", "review_len", "word_count", "elite_flag",
         compound(F.col("valence")).alias("sentiment"),
         label(compound(F.col("valence"))).alias("sentiment_label"),
@@ -130,10 +131,11 @@ def kept_comments(keyed: DataFrame, *extra: str) -> DataFrame:
 
 
 def scored_comments(
-    raw: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None, contrast: str = CONTRAST
+    raw: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None, contrast: str = CONTRAST,
+    phrases: DataFrame | None = None,
 ) -> DataFrame:
     """Kept comments without their text: id, rank, length, sentiment. One pass over the text."""
-    sums = context_sums(keyed_comments(raw), ["comment_id", "review_len", "rank"], "body", lexicon, modifiers, contrast)
+    sums = context_sums(keyed_comments(raw), ["comment_id", "review_len", "rank"], "body", lexicon, modifiers, contrast, phrases)
     return kept_comments(sums, "valence").select(
         "comment_id",
         "rank",
@@ -144,10 +146,11 @@ def scored_comments(
 
 
 def clean_comments(
-    raw: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None, contrast: str = CONTRAST
+    raw: DataFrame, lexicon: DataFrame, modifiers: DataFrame | None = None, contrast: str = CONTRAST,
+    phrases: DataFrame | None = None,
 ) -> DataFrame:
     """Kept comments with text and sentiment. Text moves once, to meet the kept ranks; copies of it merge there."""
-    scored = scored_comments(raw, lexicon, modifiers, contrast)
+    scored = scored_comments(raw, lexicon, modifiers, contrast, phrases)
     columns = ["comment_id", "rank", "body", "sentiment", "sentiment_label", "review_len"]
     texts = keyed_comments(raw).select("comment_id", "rank", "body")
     return (

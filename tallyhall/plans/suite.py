@@ -98,14 +98,14 @@ FIGURES: dict[str, tuple[str, Figure]] = {
 
 
 def clean_all(
-    raw: Tables, lexicon: DataFrame, settings: Settings, modifiers: DataFrame | None = None
+    raw: Tables, lexicon: DataFrame, settings: Settings, modifiers: DataFrame | None = None, phrases: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     return {
         "behavior": cb.clean_behavior(raw["behavior"], settings.window),
         "listings": cl.clean_listings(raw["listings"]),
         "listing_reviews": cl.clean_listing_reviews(raw["listing_reviews"]),
-        "reviews": ct.clean_reviews(raw["reviews"], lexicon, modifiers, settings.contrast),
-        "comments": ct.clean_comments(raw["comments"], lexicon, modifiers, settings.contrast),
+        "reviews": ct.clean_reviews(raw["reviews"], lexicon, modifiers, settings.contrast, phrases),
+        "comments": ct.clean_comments(raw["comments"], lexicon, modifiers, settings.contrast, phrases),
     }
 
 
@@ -124,12 +124,13 @@ def summary(cleaned: Tables, price_cap: DataFrame) -> DataFrame:
 
 
 def run_cleaning(
-    raw: Tables, lexicon: DataFrame, out_dir: str, settings: Settings = Settings(), modifiers: DataFrame | None = None
+    raw: Tables, lexicon: DataFrame, out_dir: str, settings: Settings = Settings(), modifiers: DataFrame | None = None,
+    phrases: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """Clean every dataset once, save tables, log and summary; return the saved tables."""
     spark = lexicon.sparkSession
     cleaned_dir = f"{out_dir}/cleaned"
-    for name, df in clean_all(raw, lexicon, settings, modifiers).items():
+    for name, df in clean_all(raw, lexicon, settings, modifiers, phrases).items():
         writers.write_cleaned(df, cleaned_dir, name)
     cleaned = {name: readers.load_table(spark, cleaned_dir, name) for name in raw}
     writers.write_log(audit.cleaning_report(dict(raw), settings.window), f"{out_dir}/cleaning_report")

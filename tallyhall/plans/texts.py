@@ -27,6 +27,11 @@ LABEL_ORDER = ("正面", "中性", "负面")
 QUANTILES = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9}
 
 
+def rating_counts(reviews: DataFrame) -> DataFrame:
+    """What yp_rating_dist says of numbers of reviews, for reviews without scores."""
+    return reviews.groupBy(F.col("rating").alias("星级")).agg(F.count("*").alias("评论数"))
+
+
 def yp_rating_dist(reviews: DataFrame) -> DataFrame:
     ratings = reviews.groupBy(F.col("rating").alias("星级")).agg(
         F.count("*").alias("评论数"),

@@ -7,7 +7,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhall.functions.numbers import to_double
-from tallyhall.functions.text import PANDAS_NA, blank_out
+from tallyhall.functions.text import BLANK, PANDAS_NA, blank_out, strip
+from tallyhall.operators.sentiment import PHRASE_WORDS
 from tallyhall.schemas import CLEANED, RAW, texts
 
 # Names that change between the cleaned layer and the analysis tables, and the
@@ -92,6 +93,16 @@ def read_modifiers(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.lower("token").alias("token"), F.col("kind").try_cast("int").alias("kind")).where("kind IN (-1, 0, 1)")
 
 
+def read_phrases(spark: SparkSession, path: str) -> DataFrame:
+    """Tab-separated phrase and mean valence, as read_lexicon(); blanks between words count as one.
+
+    A phrase of fewer than two or more than four words ends the run.
+    """
+    read = read_lexicon(spark, path).withColumn("token", F.lower(F.regexp_replace(strip(F.col("token")), f"{BLANK}+", " ")))
+    misfit = F.raise_error(F.concat(F.lit("phrase of fewer than two or more than four words: "), "token"))
+    return read.withColumn("token", F.when(F.size(F.split("token", " ")).isin(*PHRASE_WORDS), F.col("token")).otherwise(misfit.cast("string")))
+
+
 def load_table(
     spark: SparkSession, cleaned_dir: str, table: str, cols: Sequence[str] | None = None
 ) -> DataFrame:
@@ -101,11 +112,15 @@ def load_table(
     return df.select(*cols) if cols else df
 
 
+def renamed(df: DataFrame, table: str) -> DataFrame:
+    """A cleaned table under its analysis names."""
+    return df.withColumnsRenamed(RENAMED.get(table, {}))
+
+
 def for_analysis(df: DataFrame, table: str) -> DataFrame:
     """A cleaned table under its analysis names and columns."""
-    renamed = df.withColumnsRenamed(RENAMED.get(table, {}))
     cols = ANALYSIS_COLUMNS.get(table)
-    return renamed.select(*cols) if cols else renamed
+    return renamed(df, table).select(*cols) if cols else renamed(df, table)
 
 
 def load_analysis(spark: SparkSession, cleaned_dir: str, table: str) -> DataFrame:

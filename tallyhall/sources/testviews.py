@@ -29,6 +29,7 @@ TOPICS = {
 }
 MODIFIERS = {"in": 1, "to": 1, "that": -1, "of": -1, "it": 0, "as": 0}
 CONTRAST = "with"
+PHRASES = {"of the": 2.5, "in the": -1.2, "that is": 0.6, "the and": -2.0, "and of the": 3.5, "is in the and": 1.1}
 
 
 TABLES = {
@@ -58,6 +59,10 @@ def lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(words).selectExpr("token", "CAST(valence AS DECIMAL(18,6)) AS valence")
 
 
+def phrases(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(pa.table({"token": list(PHRASES), "valence": list(PHRASES.values())}))
+
+
 def modifiers(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(pa.table({"token": list(MODIFIERS), "kind": list(MODIFIERS.values())}))
 
