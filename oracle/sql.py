@@ -336,6 +336,26 @@ QUESTIONS = {
       FROM (SELECT bool_or({BUY}) AS buyer, count(*) AS n, count(DISTINCT item_id) AS items FROM behavior GROUP BY user_id)
       GROUP BY buyer""",
     "tb_intermediate_conv": _conversion("user_id"),
+    "recall_window": f"""
+      SELECT "行为", "等待天数", "次数", {_pct('"次数"', 'sum("次数") OVER (PARTITION BY "行为")')} AS "占比pct"
+      FROM (SELECT behavior_type AS "行为", CAST(CAST(bought AS DATE) - CAST(datetime AS DATE) AS INTEGER) AS "等待天数", count(*) AS "次数"
+            FROM (SELECT *, min(CASE WHEN behavior_type = 'buy' THEN datetime END) OVER (
+                    PARTITION BY user_id, item_id ORDER BY datetime RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS bought
+                  FROM behavior)
+            WHERE behavior_type IN ('fav', 'cart') GROUP BY ALL)""",
+    "browsing_path": """
+      WITH timed AS (SELECT user_id, CAST(epoch(datetime) AS BIGINT) AS t, behavior_type = 'buy' AS buy FROM behavior),
+      flagged AS (SELECT *, CASE WHEN coalesce(t - lag(t) OVER (PARTITION BY user_id ORDER BY t) <= 1800, false) THEN 0 ELSE 1 END AS fresh FROM timed),
+      numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY t ROWS UNBOUNDED PRECEDING) AS s FROM flagged),
+      cut AS (SELECT *, (t - min(t) OVER (PARTITION BY user_id, s)) // 43200 AS part FROM numbered),
+      firsts AS (SELECT *, min(CASE WHEN buy THEN t END) OVER (PARTITION BY user_id, s, part) AS first_buy FROM cut),
+      parts AS (
+        SELECT user_id, s, part, count(*) AS steps, max(first_buy) AS first_buy, count(*) FILTER (WHERE t < first_buy) AS earlier
+        FROM firsts GROUP BY ALL)
+      SELECT CASE WHEN first_buy IS NULL THEN '未购买' ELSE '购买' END AS "会话结果", count(*) AS "会话数",
+             CAST(sum(steps) AS DOUBLE) / count(*) AS "平均步数",
+             CAST(sum(CASE WHEN first_buy IS NOT NULL THEN earlier END) AS DOUBLE) / count(first_buy) AS "首购前平均步数"
+      FROM parts GROUP BY 1""",
     "rfm_segments": f"""
       SELECT CASE WHEN r >= 4 AND f >= 4 THEN '重要价值' WHEN r >= 4 THEN '新近' WHEN f >= 4 THEN '重要唤回'
                   ELSE '流失风险' END AS segment,
@@ -625,6 +645,22 @@ OTHERS = {
     "raw_csv_comments": COMMENTS_SUMMARY,
     "cleaned_layer": QUESTIONS["tb_daily"],
     "named_query_suite": _suite(),
+    # Sketches answer within their bounds: what they stand for is exact, and true says that they do.
+    "sketched_daily": 'SELECT "日期", "pv量", "购买转化率pct", true AS "误差内" FROM (@tb_daily@)',
+    "sketched_overview": """
+      SELECT CAST(count(*) AS BIGINT) AS "行为总量", true AS "活跃用户数误差内", true AS "触达商品数误差内", true AS "触达类目数误差内" FROM behavior""",
+    "sketched_funnel": 'SELECT "漏斗层级", true AS "误差内" FROM (@tb_funnel@)',
+    "sketched_quantiles": """
+      SELECT room_type, q, n, true AS within
+      FROM (SELECT room_type, count(*) AS n FROM listings WHERE price IS NOT NULL GROUP BY room_type)
+      JOIN (VALUES ('p10'), ('p25'), ('p50'), ('p75'), ('p90')) v(q) ON true""",
+    "catalog_reload": QUESTIONS["tb_daily"],
+    "sinks_read_back": f"""
+      SELECT 'log' AS kind, "数据集" || '|' || "步骤" || '|' || "清洗动作" AS key, CAST("剩余记录数" AS VARCHAR) AS value FROM ({REPORT})
+      UNION ALL SELECT 'summary', 'rows', CAST(count(*) AS VARCHAR) FROM behavior
+      UNION ALL SELECT 'summary', 'users', CAST(count(DISTINCT user_id) AS VARCHAR) FROM behavior
+      UNION ALL SELECT 'result', CAST("小时" AS VARCHAR), CAST("pv量" AS VARCHAR) FROM (@tb_hourly@)
+      UNION ALL SELECT 'csv', CAST("小时" AS VARCHAR), CAST("购买量" AS VARCHAR) FROM (@tb_hourly@)""",
 }
 
 

@@ -35,12 +35,14 @@ def run(
     partitions: int | None = None,
     modifiers_path: str | None = None,
     phrases_path: str | None = None,
+    run_name: str | None = None,
 ) -> None:
+    """With a run_name, a call that repeats one that broke off cleans again but asks only what was not answered."""
     raw = readers.read_raw(spark, {k: f"{raw_dir}/{name}" for k, name in FILES.items()}, partitions)
     modifiers = readers.read_modifiers(spark, modifiers_path) if modifiers_path else None
     phrases = readers.read_phrases(spark, phrases_path) if phrases_path else None
     suite.run_cleaning(raw, readers.read_lexicon(spark, lexicon_path), out_dir, settings, modifiers, phrases)
-    report = suite.run_questions(spark, f"{out_dir}/cleaned", f"{out_dir}/tables", settings)
+    report = suite.run_questions(spark, f"{out_dir}/cleaned", f"{out_dir}/tables", settings, run=run_name)
     report.coalesce(1).write.mode("overwrite").csv(f"{out_dir}/run_report", header=True)
     suite.run_figures(spark, f"{out_dir}/tables", settings)
 
@@ -52,12 +54,13 @@ def main() -> None:
     args.add_argument("--lexicon", required=True, help="tab-separated token and valence")
     args.add_argument("--modifiers", help="tab-separated token and kind: 1 strengthens, -1 weakens, 0 negates")
     args.add_argument("--phrases", help="tab-separated phrase of two to four words and valence")
+    args.add_argument("--run", help="name of the run: given again, questions already answered in it are not asked again")
     args.add_argument("--partitions", type=int, help="spread each header file over this many tasks")
     given = args.parse_args()
     spark = SparkSession.builder.appName("tallyhall").getOrCreate()
     run(
         spark, given.raw_dir, given.out_dir, given.lexicon, partitions=given.partitions, modifiers_path=given.modifiers,
-        phrases_path=given.phrases,
+        phrases_path=given.phrases, run_name=given.run,
     )
 
 

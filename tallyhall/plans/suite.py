@@ -19,6 +19,7 @@ from tallyhall.plans import (
     clean_texts as ct,
     listings as ab,
     metrics,
+    paths,
     texts as tx,
 )
 from tallyhall.sources import readers, writers
@@ -53,6 +54,8 @@ QUESTIONS: dict[str, Question] = {
     "tb_user_activity_tier": lambda t, s: tb.tb_user_activity_tier(t["behavior"]),
     "tb_buyer_vs_nonbuyer": lambda t, s: tb.tb_buyer_vs_nonbuyer(t["behavior"]),
     "tb_intermediate_conv": lambda t, s: tb.tb_intermediate_conv(t["behavior"]),
+    "recall_window": lambda t, s: paths.recall_window(t["behavior"]),
+    "browsing_path": lambda t, s: paths.browsing_path(t["behavior"]),
     "rfm_segments": lambda t, s: tb.rfm_segments(t["behavior"]),
     "top_items_per_category": lambda t, s: tb.top_items_per_category(t["behavior"]),
     "retention_by_day": lambda t, s: tb.retention_by_day(t["behavior"]),
@@ -144,13 +147,18 @@ def run_questions(
     results_dir: str,
     settings: Settings = Settings(),
     at_once: int = 4,
+    run: str | None = None,
 ) -> DataFrame:
     """Answer every named question from the saved tables and save each result.
 
     A few questions run side by side: each ends in a small job that would leave
     most of a cluster idle. A failure ends the run, names its question and what was answered before.
+    With a `run` name, every answer is entered in that run's ledger once its result is written, and what the
+    ledger holds is not asked again: a run that broke off goes on with the question that failed.
     Returns the run report: order, name, rows.
     """
+    ledger = f"{results_dir}/ledger/{run}"
+    known = readers.read_ledger(spark, ledger, list(QUESTIONS)) if run else {}
     tables = {}
     for name in ("behavior", "listings", "listing_reviews", "reviews", "comments"):
         tables[name] = readers.load_analysis(spark, cleaned_dir, name)
@@ -159,8 +167,12 @@ def run_questions(
     answered: list[str] = []
 
     def answer(name: str) -> int:
+        if name in known:
+            return known[name]
         try:
             rows = writers.write_result(QUESTIONS[name](tables, settings), results_dir, name)
+            if run:
+                writers.write_entry(spark, ledger, name, rows)
         except Exception as error:
             raise RuntimeError(f"question {name} failed; answered: {', '.join(answered) or 'none'}") from error
         answered.append(name)

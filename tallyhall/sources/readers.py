@@ -132,6 +132,18 @@ def load_result(spark: SparkSession, results_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{results_dir}/{name}")
 
 
+def read_ledger(spark: SparkSession, ledger: str, names: Sequence[str]) -> dict[str, int]:
+    """Rows of each of the named results that the ledger holds, an entry cut off while it was written not counted."""
+    files = spark._jvm.org.apache.hadoop.fs
+    there = []
+    for name in names:  # no more than there are questions
+        done = files.Path(f"{ledger}/{name}/_SUCCESS")
+        if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+            there.append(f"{ledger}/{name}")
+    entries = spark.read.schema("name STRING, rows LONG").parquet(*there).collect() if there else []
+    return {r["name"]: r["rows"] for r in entries}
+
+
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """The cleaning summary: one row, a struct per dataset."""
     return spark.read.option("multiLine", True).json(path)
