@@ -18,6 +18,8 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyhall.session import saved
+
 # First bytes of the skippable frame that holds a dictionary, and of an ordinary skippable frame.
 DICTIONARY_FRAME = b"\x5d\x2a\x4d\x18"
 EMPTY_FRAME = "P*M\x18\0\0\0\0"
@@ -27,6 +29,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 SAMPLE_RECORDS = 400
 SAMPLE_RECORD_BYTES = 64 << 10
 DICTIONARY_BYTES = 64 << 10
+# Shared digests, about 60 bytes each, are sent to every task up to this number.
+BROADCAST_DIGESTS = 200_000
 # A reader feeds a frame's bytes to the decompressor in steps of so many.
 STEP = 16 << 10
 # Tasks hand on records in groups of about so many bytes.
@@ -42,7 +46,8 @@ def roles(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     other. Missing html is an empty payload.
 
     A payload held by a third of all pages meets in the counts only, which are merged before
-    they are shuffled; the join's large side may be split anywhere.
+    they are shuffled. Digests that pages share are saved and counted: up to BROADCAST_DIGESTS of them go to
+    every task, so that payloads stay where they are; more are joined by a shuffle, whose large side Spark may split.
     """
     read = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -51,8 +56,9 @@ def roles(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
     ).withColumns({"payload_bytes": F.length("payload").cast("long"), "payload_digest": F.sha1("payload")})
     large = read.where(F.col("payload_bytes") >= least_bytes)
     shared = large.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("first"), F.count("*").alias("n"))
-    shared = shared.where("n > 1").drop("n")
-    joined = read.join(shared, ["payload_digest", "payload_bytes"], "left")
+    shared = saved(shared.where("n > 1").drop("n"))
+    few = shared.count() <= BROADCAST_DIGESTS
+    joined = read.join(F.broadcast(shared) if few else shared, ["payload_digest", "payload_bytes"], "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select(
         "page_id", "url", F.when(~again, F.col("payload")).alias("payload"), "payload_bytes", "payload_digest",
