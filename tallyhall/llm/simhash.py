@@ -23,8 +23,6 @@ from tallyhall.session import saved
 
 BITS = 64
 _LOWER_BLANKS = str.maketrans(string.ascii_uppercase + BLANKS, string.ascii_lowercase + " " * len(BLANKS))
-# Sixteen-bit counters hold so many shingles; longer texts are counted in chunks.
-CHUNK = 65535
 # Buckets of up to so many fingerprints are compared pair by pair: at most half as many pairs as this per member.
 SMALL_BUCKET = 128
 # Near duplicates meet in one of so many bands of so many MinHashes: a pair that is 0.8 alike misses all with a chance below 1e-9.
@@ -36,8 +34,9 @@ _FACTORS = _PICK.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64) | np.uint64
 
 
 def shingle_rows(docs: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """keys, chunk, h, first: the hash of every run of `size` words, repeats included, lower-cased from A-Z.
+    """keys, part, h, first: the hash of every run of `size` words, repeats included, lower-cased from A-Z.
 
+    part is the partition that a row was read in.
     Fewer words make one shingle of all; a text without words has one row with a null h. Just
     one row of each row of docs has first = 1.
     """
@@ -49,22 +48,23 @@ def shingle_rows(docs: DataFrame, keys: list[str], size: int) -> DataFrame:
     run = [F.get(F.col("_words"), F.col("_at") + k) for k in range(1, size)]
     # concat_ws leaves out the places beyond the end of a short text.
     h = F.when(F.col("_at").isNotNull(), F.xxhash64(F.concat_ws(" ", "_word", *run)))
-    return inner.select(*keys, F.floor(at / CHUNK).alias("chunk"), h.alias("h"), (at == 0).cast("int").alias("first"))
+    return inner.select(*keys, F.spark_partition_id().alias("part"), h.alias("h"), (at == 0).cast("int").alias("first"))
 
 
 def majority_bits(rows: DataFrame, keys: list[str]) -> DataFrame:
     """keys, fingerprint, copies (the sum of first): per key, the bits set in over half of its hashes h.
 
-    Four counters of sixteen bits share a long, so sixteen sums count all bits; they are summed
-    within each task before anything is shuffled.
+    Two counters of 32 bits share a long, so 32 sums count all bits; they are summed within each partition
+    that rows were read in before anything is shuffled. So a counter holds no more than the shingles that one
+    partition has of one key: equal rows, however many in all, add up in counters of 64 bits.
     """
-    lane = 0x0001000100010001
-    sums = rows.groupBy(*keys, "chunk").agg(
+    lane = 0x0000000100000001
+    sums = rows.groupBy(*keys, "part").agg(
         F.count("h").alias("n"),
         F.sum("first").alias("copies"),
-        *[F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(lane))).alias(f"c{k}") for k in range(16)],
+        *[F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(lane))).alias(f"c{k}") for k in range(32)],
     )
-    counts = [F.shiftrightunsigned(F.col(f"c{b % 16}"), 16 * (b // 16)).bitwiseAND(F.lit(0xFFFF)) for b in range(BITS)]
+    counts = [F.shiftrightunsigned(F.col(f"c{b % 32}"), 32 * (b // 32)).bitwiseAND(F.lit(0xFFFFFFFF)) for b in range(BITS)]
     whole = sums.groupBy(*keys).agg(
         F.sum("n").alias("n"), F.sum("copies").alias("copies"), *[F.sum(c).alias(f"b{b}") for b, c in enumerate(counts)]
     )

@@ -6,6 +6,7 @@ import random
 import pytest
 from brute import Groups, fingerprint, jaccard, lower, shingles, words
 from hypothesis import given, strategies as st
+from pyspark.sql import functions as F
 from tallyhall.llm import graph, pairs, queries, simhash
 
 SIGN = 1 << 64
@@ -182,3 +183,17 @@ def test_near_duplicates_of_every_kind_of_edit(spark):
     close = [n for n in range(180) if jaccard(sets[2 * n], sets[2 * n + 1]) >= 0.8]
     assert len(close) > 150
     assert [n for n in close if home[2 * n + 1] != 2 * n] == []
+
+
+@pytest.mark.parametrize("words_each, rows", [(32768, 1), (65536, 1), (66000, 2), (200_000, 1), (3, 70_000)])
+def test_long_and_repeated_texts(spark, words_each, rows):
+    """Counters hold any text and any number of equal rows, with and without an id."""
+    pick = random.Random(words_each)
+    text = " ".join(str(pick.randrange(10**6)) for _ in range(words_each))
+    given_rows = [(1, text)] + [(None, text)] * (rows > 2) + [(2, "another text of five words")]
+    docs = spark.createDataFrame(given_rows, "doc_id long, text string")
+    docs = docs.select("doc_id", "text", F.explode(F.sequence(F.lit(1), F.when(F.col("text") == text, rows).otherwise(1)))).drop("col").coalesce(1)
+    found = simhash.classes(docs).groupBy("doc_id", "fingerprint").count().collect()
+    assert {(r.doc_id, r.fingerprint): r["count"] for r in found} == {
+        (i, f"{fingerprint(t, 3):016x}"): rows if t == text else 1 for i, t in given_rows
+    }
