@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhall.llm.common import BLANKS
-from tallyhall.llm.pairs import resolve
+from tallyhall.llm.pairs import few_to_all, resolve
 from tallyhall.session import saved
 
 SHINGLE = 8
@@ -128,23 +128,20 @@ def removals(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     line with a word have no row.
     """
     lines = occurrences(docs)
-    classes = line_classes(lines, similarity)
-    thin = lines.select(F.coalesce("doc", F.lit(-(1 << 63))).alias("doc"), "row", "place", "id").distinct()
+    classes = few_to_all(saved(line_classes(lines, similarity)))
+    thin = lines.select(F.coalesce("doc", F.lit(-(1 << 63))).alias("doc"), "row", "place", "id")
     named = saved(
         thin.join(classes, thin["id"] == classes["node"], "left").select(
             "doc", "row", "place", F.coalesce("component", "id").alias("component")
         )
     )
-    # The smallest occurrence, from fixed-width minima: first the document, then the place within it.
-    documents = named.groupBy("component").agg(F.count("*").alias("n"), F.min("doc").alias("doc")).where("n > 1").drop("n")
-    rows = named.join(documents, ["component", "doc"]).groupBy("component", "doc").agg(F.min("row").alias("row"))
-    kept = named.join(rows, ["component", "doc", "row"]).groupBy("component").agg(
-        F.min("doc").alias("_doc"), F.min("row").alias("_row"), F.min("place").alias("_place")
-    )
+    first = F.min(F.struct("doc", "row", "place")).alias("kept")
+    kept = named.groupBy("component").agg(F.count("*").alias("n"), first).where("n > 1").drop("n")
     marked = named.join(kept, "component", "left")
-    stays = (F.col("doc") == F.col("_doc")) & (F.col("row") == F.col("_row")) & (F.col("place") == F.col("_place"))
-    goes = F.when(~F.coalesce(stays, F.lit(True)), F.col("place"))
-    out = marked.groupBy("doc", "row").agg(F.count("*").alias("n_lines"), F.sort_array(F.collect_list(goes)).alias("removed"))
+    goes = F.when(F.struct("doc", "row", "place") != F.col("kept"), F.col("place"))
+    # Rows that repeat a doc_id and text name the same places.
+    places = F.size(F.collect_set("place")).alias("n_lines")
+    out = marked.groupBy("doc", "row").agg(places, F.sort_array(F.collect_set(goes)).alias("removed"))
     return out.withColumn("doc", F.when(F.col("doc") != -(1 << 63), F.col("doc")))
 
 

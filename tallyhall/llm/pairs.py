@@ -15,6 +15,8 @@ from tallyhall.session import saved
 BLOCK = 1024
 # Groups of up to so many are compared set by set, larger ones by a product of matrices.
 FEW = 12
+# Tables of one or two longs are sent to every task up to so many rows (16 MB of longs); larger ones are joined by a shuffle.
+FEW_ROWS = 1_000_000
 
 Shingles = Callable[[str], set]
 
@@ -116,6 +118,11 @@ def _blocked(shingles: Shingles, similarity: float):
     return blocked
 
 
+def few_to_all(table: DataFrame) -> DataFrame:
+    """A written table of longs, marked to be sent to every task if it has at most FEW_ROWS rows."""
+    return F.broadcast(table) if table.count() <= FEW_ROWS else table
+
+
 def resolve(
     members: DataFrame, fetch: Callable[[DataFrame], DataFrame], shingles: Shingles, similarity: float
 ) -> DataFrame:
@@ -134,7 +141,8 @@ def resolve(
     own = Window.partitionBy("bucket")
     spans = members.select("bucket", "id", F.min("id").over(own).alias("low"), F.max("id").over(own).alias("high"))
     shared = saved(spans.where("low < high").select("bucket", "id").distinct())
-    texts = saved(fetch(shared.select("id").distinct()).toDF("id", "text"))
+    ids = saved(shared.select("id").distinct())
+    texts = saved(fetch(few_to_all(ids)).toDF("id", "text"))
     sizes = shared.groupBy("bucket").agg(F.count("*").alias("n"))
     degrees = shared.join(sizes, "bucket").groupBy("id").agg(F.sum("n").alias("degree"))
     centres = shared.join(degrees, "id").groupBy("bucket").agg(F.max_by("id", "degree").alias("centre"))
