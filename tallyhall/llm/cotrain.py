@@ -8,6 +8,7 @@ bounded sample; every document is scored.
 
 from __future__ import annotations
 
+import pickle
 import re
 import sys
 from collections.abc import Iterator
@@ -128,6 +129,8 @@ class Model:
     meta: View
     combine: tuple[float, float, float]
     known: int
+    # Pseudo-labels that either view handed to the other, per round: (by the text, by the metadata).
+    handed: tuple[tuple[int, int], ...] = ()
 
     def score(self, text: set[str], meta: set[str]) -> tuple[float, float, float]:
         a, b = self.text.calibrated(text), self.meta.calibrated(meta)
@@ -139,7 +142,8 @@ def cotrain(text, meta, y, held, pool_text, pool_meta, rounds: int = ROUNDS, sha
     """Fit both views on labelled rows that aren't held out, exchange labels over the pool, calibrate on the held-out rows.
 
     Of the pool each view labels, per round, the rows that it is most certain of, as many of
-    either class as the labelled rows suggest, and hands them to the other view.
+    either class as the labelled rows suggest, and hands those to the other view of which it is sure enough: held-out rows
+    at such logits are of that class at least half way from its share in all of them to always.
     """
     train = [n for n in range(len(y)) if not held[n]]
     sets = {"text": ([text[n] for n in train], [y[n] for n in train]), "meta": ([meta[n] for n in train], [y[n] for n in train])}
@@ -147,7 +151,9 @@ def cotrain(text, meta, y, held, pool_text, pool_meta, rounds: int = ROUNDS, sha
     views = {k: fit(rows, np.array(labels, dtype=float)) for k, (rows, labels) in sets.items()}
     free = set(range(len(pool_text)))
     positive = float(np.mean([y[n] for n in train])) if train else 0.5
+    handed = []
     for _ in range(rounds):
+        given = []
         for teacher, learner in (("text", "meta"), ("meta", "text")):
             order = sorted(free, key=lambda n: (views[teacher].logit(pools[teacher][n]), n))
             many = int(len(pool_text) * share)
@@ -159,6 +165,8 @@ def cotrain(text, meta, y, held, pool_text, pool_meta, rounds: int = ROUNDS, sha
                 sets[learner][0].append(pools[learner][n])
                 sets[learner][1].append(label)
                 free.discard(n)
+            given.append(len(sure))
+        handed.append(tuple(given))
         views = {k: fit(rows, np.array(labels, dtype=float)) for k, (rows, labels) in sets.items()}
     kept = [n for n in range(len(y)) if held[n]] or train
     truth = np.array([y[n] for n in kept], dtype=float)
@@ -166,18 +174,19 @@ def cotrain(text, meta, y, held, pool_text, pool_meta, rounds: int = ROUNDS, sha
         view = views[name]
         view.slope, view.shift = _platt(np.array([view.logit(rows[n]) for n in kept]), truth)
     both = np.array([[views["text"].calibrated(text[n]), views["meta"].calibrated(meta[n])] for n in kept]).reshape(len(kept), 2)
-    return Model(views["text"], views["meta"], tuple(_platt(both, truth)), len(train))
+    return Model(views["text"], views["meta"], tuple(_platt(both, truth)), len(train), tuple(handed))
 
 
-def _confident(view, pool, chosen, rows, y, held, least: float = 0.95):
-    """Of the chosen rows those at logits beyond which the view is right, on held-out rows, at least that often."""
+def _confident(view, pool, chosen, rows, y, held):
+    """Of the chosen rows those at logits beyond which the view makes at most half the mistakes, on held-out rows, of always naming the class."""
     logits = np.array([view.logit(rows[n]) for n in range(len(y)) if held[n]])
     truth = np.array([y[n] for n in range(len(y)) if held[n]])
     out = []
     for n, label in chosen:
         z = view.logit(pool[n])
         beyond = truth[logits >= z] if label else 1 - truth[logits <= z]
-        if len(beyond) >= 10 and beyond.mean() >= least:
+        share = truth.mean() if label else 1 - truth.mean()
+        if len(beyond) >= 10 and beyond.mean() >= (1 + share) / 2:
             out.append((n, label))
     return out
 
@@ -208,7 +217,9 @@ def sample(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: i
         F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"),
         F.col("n_chars").cast("double").alias("n_chars"),
     )
-    return rows.join(few, "doc_id")
+    # Of rows that repeat a doc_id the smallest stands for all.
+    own = rows.join(few, "doc_id").groupBy("doc_id").agg(F.min(F.struct("y", "held", "text", "lang", "source", "n_chars")).alias("row"))
+    return own.select("doc_id", "row.*")
 
 
 def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -249,15 +260,26 @@ def train(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY) -> M
     places = docs.sparkSession.createDataFrame(pa.table({"f": pa.array(names, pa.string()), "place": pa.array(range(len(names)), pa.int32())}))
     own = rows.select("doc_id", F.explode("features").alias("f")).join(F.broadcast(places), "f")
     own = own.groupBy("doc_id").agg(F.collect_set("place").alias("text"))
-    # Features reach the driver as numbers; its sets share one string for each.
-    table = rows.select("doc_id", "y", "held", "meta").join(own, "doc_id", "left").orderBy("doc_id", "meta").toArrow()
-    text = [frozenset(map(names.__getitem__, x.as_py() or ())) for x in table["text"]]
-    meta = [frozenset(map(sys.intern, x.as_py())) for x in table["meta"]]
-    known_y, held = table["y"].to_pylist(), table["held"].to_pylist()
-    marked = [y is not None for y in known_y]
-    pick = lambda values, flag: [v for v, m in zip(values, marked) if m == flag]
-    y = [int(v) for v in pick(known_y, True)]
-    return cotrain(pick(text, True), pick(meta, True), y, pick(held, True), pick(text, False), pick(meta, False))
+    # One task fits both views, on labelled + pool rows at most; the driver sees weights only.
+    table = rows.select("doc_id", "y", "held", "meta").join(own, "doc_id", "left").coalesce(1).sortWithinPartitions("doc_id")
+    return pickle.loads(table.mapInPandas(_fitted(names), "model binary").first()["model"])
+
+
+def _fitted(names: list[str]):
+    """All rows of the sample (y, held, meta, text as places in names) to one row that holds the model."""
+
+    def fitted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        text, meta, known_y, held = [], [], [], []
+        for batch in batches:
+            text += [frozenset(() if x is None else map(names.__getitem__, x)) for x in batch["text"]]
+            meta += [frozenset(map(sys.intern, x)) for x in batch["meta"]]
+            known_y += [None if y != y else int(y) for y in batch["y"]]
+            held += batch["held"].tolist()
+        pick = lambda values, flag: [v for v, y in zip(values, known_y) if (y is not None) == flag]
+        model = cotrain(pick(text, True), pick(meta, True), pick(known_y, True), pick(held, True), pick(text, False), pick(meta, False))
+        yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    return fitted
 
 
 def _scorer(model: Model):

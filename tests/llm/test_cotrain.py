@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tallyhall.llm import cotrain, queries
 
 
@@ -44,6 +45,8 @@ def test_sample_is_bounded(spark, documents):
     labels = spark.createDataFrame([(n, 1, 0) for n in range(20, 60)], "doc_id long, quality int, toxic int")
     rows = cotrain.sample(documents, labels, labelled=10, pool=5).select("doc_id", "y").distinct().collect()
     assert sum(r["y"] is not None for r in rows) == 10 and sum(r["y"] is None for r in rows) == 5
+    again = documents.select("*", F.explode(F.sequence(F.lit(1), F.lit(4)))).drop("col")  # repeated rows do not add to it
+    assert cotrain.sample(again, labels, labelled=10, pool=5).count() == 15
 
 
 def made(pick, n):
@@ -62,6 +65,7 @@ def test_views_teach_each_other():
     test = made(pick, 4000)
     held = [n % 3 == 0 for n in range(60)]
     model = cotrain.cotrain(text, meta, y, held, pool[0], pool[1])
+    assert len(model.handed) == cotrain.ROUNDS and all(sum(given) > 0 for given in zip(*model.handed))  # either view taught the other
     scores = np.array([model.score(t, m) for t, m in zip(test[0], test[1])])
     right = ((scores > 0.5) == (np.array(test[2])[:, None] == 1)).mean(0)
     assert right[2] >= max(right[0], right[1]) - 0.01 and right[2] > 0.93
