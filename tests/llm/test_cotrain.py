@@ -65,12 +65,23 @@ def test_views_teach_each_other():
     test = made(pick, 4000)
     held = [n % 3 == 0 for n in range(60)]
     model = cotrain.cotrain(text, meta, y, held, pool[0], pool[1])
-    assert len(model.handed) == cotrain.ROUNDS and all(sum(given) > 0 for given in zip(*model.handed))  # either view taught the other
     scores = np.array([model.score(t, m) for t, m in zip(test[0], test[1])])
     right = ((scores > 0.5) == (np.array(test[2])[:, None] == 1)).mean(0)
     assert right[2] >= max(right[0], right[1]) - 0.01 and right[2] > 0.93
 
 
+def test_either_view_hands_on_labels():
+    """With held-out rows enough to be sure of; a view that knows nothing hands on none."""
+    pick = random.Random(1)
+    text, meta, y = made(pick, 600)
+    pool = made(pick, 2000)
+    held = [n % 3 == 0 for n in range(600)]
+    model = cotrain.cotrain(text, meta, y, held, pool[0], pool[1])
+    assert len(model.handed) == cotrain.ROUNDS and all(sum(given) > 0 for given in zip(*model.handed))
+    blind = cotrain.cotrain(text, [frozenset({"x"})] * 600, y, held, pool[0], [frozenset({"x"})] * 2000)
+    assert sum(a for a, _ in blind.handed) > 0 and not any(b for _, b in blind.handed)
+
+
 def test_fit_finds_the_optimum():
     pick = random.Random(3)
     rows = [frozenset(f"f{k}" for k in range(6) if pick.random() < 0.4) for _ in range(300)]
