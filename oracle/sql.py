@@ -356,6 +356,15 @@ QUESTIONS = {
              CAST(sum(steps) AS DOUBLE) / count(*) AS "平均步数",
              CAST(sum(CASE WHEN first_buy IS NOT NULL THEN earlier END) AS DOUBLE) / count(first_buy) AS "首购前平均步数"
       FROM parts GROUP BY 1""",
+    "goods_viewed_together": f"""
+      WITH views AS (SELECT DISTINCT user_id, item_id FROM behavior WHERE {PV} AND user_id IS NOT NULL AND item_id IS NOT NULL),
+      sizes AS (SELECT item_id, count(*) AS n FROM views GROUP BY item_id),
+      pairs AS (SELECT a.item_id AS a, b.item_id AS b, count(*) AS n
+                FROM views a JOIN views b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY ALL HAVING count(*) >= 2)
+      SELECT a AS "商品A", b AS "商品B", p.n AS "共同浏览用户数",
+             CAST(p.n AS DOUBLE) * (SELECT count(DISTINCT user_id) FROM views) / (CAST(x.n AS DOUBLE) * y.n) AS "提升度"
+      FROM pairs p JOIN sizes x ON x.item_id = a JOIN sizes y ON y.item_id = b
+      ORDER BY "提升度" DESC, "共同浏览用户数" DESC, "商品A", "商品B" LIMIT 20""",
     "rfm_segments": f"""
       SELECT CASE WHEN r >= 4 AND f >= 4 THEN '重要价值' WHEN r >= 4 THEN '新近' WHEN f >= 4 THEN '重要唤回'
                   ELSE '流失风险' END AS segment,
@@ -426,6 +435,20 @@ QUESTIONS = {
              CAST(coalesce(sum(written), 0) AS BIGINT) AS "评论总量", {_pct("count(written)", "count(*)")} AS "有评论占比pct"
       FROM (SELECT l.*, (SELECT nullif(count(*), 0) FROM listing_reviews r WHERE r.listing_id = l.id) AS written FROM listings l)
       GROUP BY 1""",
+    "season_lead": f"""
+      WITH months AS (SELECT listing_id, year(date) * 12 + month(date) AS m FROM listing_reviews),
+      firsts AS (SELECT listing_id, min(m) AS m FROM months GROUP BY listing_id),
+      edges AS (SELECT min(m) AS a, max(m) AS z FROM months WHERE m >= year(DATE '{tv.SEASON_START}') * 12 + month(DATE '{tv.SEASON_START}')),
+      series AS (
+        SELECT m, (SELECT count(*) FROM firsts f WHERE f.m = c.m) AS x, (SELECT count(*) FROM months o WHERE o.m = c.m) AS y
+        FROM (SELECT unnest(range(a, z + 1)) AS m FROM edges) c),
+      pairs AS (SELECT CAST(lag AS INTEGER) AS lag, CAST(s.x AS HUGEINT) AS x, CAST(t.y AS HUGEINT) AS y
+                FROM series s, range(0, 7) l(lag), series t WHERE t.m = s.m + lag)
+      SELECT lag AS "提前月数", count(*) AS "月份数",
+             CAST(count(*) * sum(x * y) - sum(x) * sum(y) AS DOUBLE)
+               / nullif(sqrt(CAST(count(*) * sum(x * x) - sum(x) * sum(x) AS DOUBLE))
+                        * sqrt(CAST(count(*) * sum(y * y) - sum(y) * sum(y) AS DOUBLE)), 0) AS "相关系数"
+      FROM pairs GROUP BY lag""",
     "yp_rating_dist": f"""
       SELECT "Rating" AS "星级", count(*) AS "评论数", {_mean("sentiment")} AS "平均情感得分",
              {_mean("word_count")} AS "平均词数", {_pct("count(*)", "sum(count(*)) OVER ()")} AS "占比pct"

@@ -5,7 +5,9 @@ Listings come in under their analysis name: neighbourhood_cleansed is renamed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhall.functions.numbers import cut_left, cut_right, mean, ordinal, pct
 from tallyhall.operators.ranking import tiles_from_counts, with_ntile
@@ -20,6 +22,8 @@ RATING_ORDER = (NO_RATING, "4.0以下", "4.0-4.5", "4.5-4.8", "4.8-5.0")
 REVIEW_BANDS = ((0, "0条"), (10, "1-10条"), (50, "11-50条"), (200, "51-200条"), (float("inf"), "200条以上"))
 TOP_REVENUE, OTHER_REVENUE = "Top25%(高收入)", "其余75%"
 SEASON_START = "2019-01-01"
+# Months by which supply may precede demand.
+LEADS = tuple(range(7))
 
 
 def ab_neighbourhood(listings: DataFrame) -> DataFrame:
@@ -129,3 +133,31 @@ def listing_review_activity(listings: DataFrame, reviews: DataFrame) -> DataFram
         F.coalesce(F.sum("written"), F.lit(0)).cast("bigint").alias("评论总量"),
         pct(F.count_if(F.col("written").isNotNull()), F.count("*")).alias("有评论占比pct"),
     )
+
+
+def season_lead(reviews: DataFrame, since: str = SEASON_START, lags: Sequence[int] = LEADS) -> DataFrame:
+    """How new supply precedes demand: listings with their first review in a month, against reviews so many months later.
+
+    A row per lag: months compared, and the correlation, null if either series does not vary. Months
+    without reviews count as 0 from the first month since `since` to the last. A listing first reviewed earlier is not new.
+    Sums are of whole numbers, so the result does not depend on their order. Series have a row per month of the calendar.
+    """
+    month = (F.year("date") * 12 + F.month("date")).alias("m")
+    monthly = reviews.where("date IS NOT NULL AND listing_id IS NOT NULL").groupBy("listing_id", month).agg(F.count("*").alias("n"))
+    firsts = monthly.groupBy("listing_id").agg(F.min("m").alias("m")).groupBy("m").agg(F.count("*").alias("fresh"))
+    begin = int(since[:4]) * 12 + int(since[5:7])
+    counts = saved(monthly.groupBy("m").agg(F.sum("n").alias("n")).join(firsts, "m", "left").where(F.col("m") >= begin))
+    span = counts.agg(F.min("m").alias("a"), F.max("m").alias("z")).select(F.explode(F.sequence("a", "z")).alias("m"))
+    series = saved(span.join(counts, "m", "left").select("m", F.coalesce("fresh", F.lit(0)).alias("x"), F.coalesce("n", F.lit(0)).alias("y")))
+    shifted = series.select(F.explode(F.array(*[F.lit(k) for k in lags])).alias("lag"), (F.col("m") + F.col("lag")).alias("then"), "x")
+    pairs = shifted.join(series.select(F.col("m").alias("then"), "y"), "then")
+    x, y = F.col("x").cast("decimal(14,0)"), F.col("y").cast("decimal(14,0)")
+    products = {"c": F.lit(1), "sx": x, "sy": y, "sxy": x * y, "sxx": x * x, "syy": y * y}
+    sums = pairs.groupBy("lag").agg(*[F.sum(v).alias(k) for k, v in products.items()])
+
+    def spread(both: str, one: str, two: str) -> Column:
+        return (F.col("c") * F.col(both) - F.col(one) * F.col(two)).cast("double")
+
+    across = F.sqrt(spread("sxx", "sx", "sx")) * F.sqrt(spread("syy", "sy", "sy"))
+    correlation = spread("sxy", "sx", "sy") / F.nullif(across, F.lit(0.0))
+    return sums.select(F.col("lag").alias("提前月数"), F.col("c").alias("月份数"), correlation.alias("相关系数"))

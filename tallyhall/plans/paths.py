@@ -1,4 +1,4 @@
-"""Questions about the order of a user's events: how long a purchase waits, and the way to it.
+"""Questions about a user's events together: how long a purchase waits, the way to it, what is viewed beside what.
 
 Asked for in prose only; the definitions are this project's own.
 """
@@ -8,10 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyhall.functions.numbers import pct
+from tallyhall.session import saved
 
 # A session ends after so many seconds without an event, and is cut into parts of this length.
 GAP, LONGEST = 30 * 60, 12 * 3600
 BOUGHT, NOT_BOUGHT = "购买", "未购买"
+# Users who must have viewed both items of a pair, and pairs in the report.
+TOGETHER, TOP_PAIRS = 2, 20
 
 
 def _seconds(at: Column) -> Column:
@@ -78,3 +81,46 @@ def browsing_path(behavior: DataFrame) -> DataFrame:
         (F.sum("steps").cast("double") / F.count("*")).alias("平均步数"),
         (F.sum("steps_before").cast("double") / F.count("steps_before")).alias("首购前平均步数"),
     )
+
+
+def viewed_together(behavior: DataFrame, least: int = TOGETHER) -> DataFrame:
+    """item_a < item_b, users, users_a, users_b: every pair of items that at least `least` (2 or more) users viewed both, counted exactly.
+
+    Users are ordered by how many items they viewed, and each item lets the last least - 1 of its users go. Of two items
+    with `least` users in common, both still keep the first of these, as least - 1 more come after. So only
+    items that meet in a user whom both keep are candidates, and the users who viewed most, whose pairs would grow with the
+    square of their views, are let go by most of their items. A candidate is then counted through the item
+    with fewer users: each of them is looked up among those of the other. Rows without user or item take no part.
+    """
+    if least < 2:
+        raise ValueError("least must be 2 or more: a pair that one user viewed is no pattern")
+    viewed = behavior.where("behavior_type = 'pv' AND user_id IS NOT NULL AND item_id IS NOT NULL").select("user_id", "item_id").distinct()
+    sizes = saved(viewed.groupBy("item_id").agg(F.count("*").alias("n")).where(F.col("n") >= least))
+    views = saved(viewed.join(sizes.select("item_id"), "item_id").select("user_id", "item_id"))
+    ordered = views.join(views.groupBy("user_id").agg(F.count("*").alias("breadth")).where("breadth > 1"), "user_id")
+    # Users of one item only are in no pair. The rank is cut within each task before the shuffle, so a hot item moves few rows.
+    widest = Window.partitionBy("item_id").orderBy(F.desc("breadth"), F.desc("user_id"))
+    let_go = ordered.withColumn("_place", F.row_number().over(widest)).where(F.col("_place") < least).select("user_id", "item_id")
+    kept = saved(ordered.select("user_id", "item_id").join(let_go, ["user_id", "item_id"], "left_anti"))
+    one, other = kept.withColumnRenamed("item_id", "item_a"), kept.withColumnRenamed("item_id", "item_b")
+    met = one.join(other, "user_id").where("item_a < item_b").select("item_a", "item_b").distinct()
+    sized = met.join(sizes.toDF("item_a", "users_a"), "item_a").join(sizes.toDF("item_b", "users_b"), "item_b")
+    a_is_less = F.col("users_a") <= F.col("users_b")
+    less, more = (F.when(a_is_less, F.col(x)).otherwise(F.col(y)) for x, y in (("item_a", "item_b"), ("item_b", "item_a")))
+    asked = sized.withColumn("less", less).withColumn("more", more).join(views.toDF("user_id", "less"), "less")
+    found = asked.join(views.toDF("user_id", "more"), ["user_id", "more"])
+    counted = found.groupBy("item_a", "item_b", "users_a", "users_b").agg(F.count("*").alias("users")).where(F.col("users") >= least)
+    return counted.select("item_a", "item_b", "users", "users_a", "users_b")
+
+
+def goods_viewed_together(behavior: DataFrame, least: int = TOGETHER, top: int = TOP_PAIRS) -> DataFrame:
+    """The pairs of viewed_together with the highest lift: users of both, over how many there would be if items were viewed independently.
+
+    Ties go to more users, then to smaller items. Lift is taken over all users who viewed anything.
+    """
+    everyone = behavior.where("behavior_type = 'pv' AND user_id IS NOT NULL AND item_id IS NOT NULL").agg(F.count_distinct("user_id").alias("n")).scalar()
+    expected = F.col("users_a").cast("double") * F.col("users_b")
+    lift = F.col("users").cast("double") * everyone / expected
+    return viewed_together(behavior, least).select(
+        F.col("item_a").alias("商品A"), F.col("item_b").alias("商品B"), F.col("users").alias("共同浏览用户数"), lift.alias("提升度")
+    ).orderBy(F.desc("提升度"), F.desc("共同浏览用户数"), "商品A", "商品B").limit(top)

@@ -56,6 +56,7 @@ QUESTIONS: dict[str, Question] = {
     "tb_intermediate_conv": lambda t, s: tb.tb_intermediate_conv(t["behavior"]),
     "recall_window": lambda t, s: paths.recall_window(t["behavior"]),
     "browsing_path": lambda t, s: paths.browsing_path(t["behavior"]),
+    "goods_viewed_together": lambda t, s: paths.goods_viewed_together(t["behavior"]),
     "rfm_segments": lambda t, s: tb.rfm_segments(t["behavior"]),
     "top_items_per_category": lambda t, s: tb.top_items_per_category(t["behavior"]),
     "retention_by_day": lambda t, s: tb.retention_by_day(t["behavior"]),
@@ -69,6 +70,7 @@ QUESTIONS: dict[str, Question] = {
     "ab_top_revenue_profile": lambda t, s: ab.ab_top_revenue_profile(t["listings"]),
     "ab_review_month_of_year": lambda t, s: ab.ab_review_month_of_year(t["listing_reviews"], s.season_start),
     "listing_review_activity": lambda t, s: ab.listing_review_activity(t["listings"], t["listing_reviews"]),
+    "season_lead": lambda t, s: ab.season_lead(t["listing_reviews"], s.season_start),
     "yp_rating_dist": lambda t, s: tx.yp_rating_dist(t["reviews"]),
     "yp_elite_vs_normal": lambda t, s: tx.yp_elite_vs_normal(t["reviews"]),
     "sentiment_quantiles": lambda t, s: tx.sentiment_quantiles(t["reviews"]),
