@@ -18,11 +18,11 @@ from tallyhall.llm.common import BLANKS
 from tallyhall.llm.pairs import few_to_all, resolve
 from tallyhall.session import saved
 
-SHINGLE = 8
+SHINGLE = 8  # a power of two: runs are hashed by doubling
 BANDS, ROWS = 16, 4
 SIMILARITY = 0.8
 # Characters whose signatures are made at once.
-BLOCK = 1 << 16
+BLOCK = 1 << 17
 _PICK = np.random.default_rng(20240607)  # any fixed seed: signatures must agree between tasks
 _FACTORS = _PICK.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
 _SHIFTS = _PICK.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
@@ -30,10 +30,12 @@ _SHIFTS = _PICK.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.ui
 
 def _run_hashes(codes: np.ndarray) -> np.ndarray:
     """A 32-bit hash of the SHINGLE code points that begin at each place (the last ones run into zeros)."""
-    padded = np.concatenate([codes, np.zeros(SHINGLE - 1, np.uint32)]).astype(np.uint64)
-    h = np.zeros(len(codes), np.uint64)
-    for k in range(SHINGLE):
-        h = h * np.uint64(0x100000001B3) + padded[k : k + len(codes)]
+    h = np.concatenate([codes, np.zeros(SHINGLE - 1, np.uint32)]).astype(np.uint64)
+    width, factor = 1, 0x100000001B3
+    while width < SHINGLE:  # hashes of runs twice as long from those of two neighbours
+        longer = h[:-width] * np.uint64(factor)
+        longer += h[width:]
+        h, width, factor = longer, 2 * width, factor * factor % (1 << 64)
     h ^= h >> np.uint64(31)
     h *= np.uint64(0x9E3779B97F4A7C15)
     return (h >> np.uint64(32)).astype(np.uint32)
@@ -45,24 +47,25 @@ def band_keys(lines: list[str]) -> np.ndarray:
     codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype="<u4")
     starts = np.cumsum(lengths) - lengths
     counts = np.maximum(1, lengths - SHINGLE + 1)
-    # Only shingles within a line count; a line shorter than one is hashed with zeros behind it.
-    inside = np.arange(len(codes)) - np.repeat(starts, lengths)
-    keep = inside < np.repeat(counts, lengths)
     hashes = _run_hashes(codes)
+    # A line shorter than a shingle is hashed with zeros behind it.
     for at in np.flatnonzero(lengths < SHINGLE):
         hashes[starts[at]] = _run_hashes(codes[starts[at] : starts[at] + lengths[at]])[0]
-    hashes, firsts = hashes[keep], np.cumsum(counts) - counts
-    keys, mixed = np.empty((len(lines), BANDS), np.uint64), np.empty_like(hashes)
-    for band in range(BANDS):
-        key = np.full(len(lines), band, np.uint64)
-        for row in range(band * ROWS, (band + 1) * ROWS):
-            np.multiply(hashes, _FACTORS[row], out=mixed)
-            np.add(mixed, _SHIFTS[row], out=mixed)
-            least = np.minimum.reduceat(mixed, firsts).astype(np.uint64)
-            key = (key ^ least) * np.uint64(0x9E3779B97F4A7C15)
-            key ^= key >> np.uint64(29)
-        keys[:, band] = key
-    return keys
+    # Only shingles within a line count: the last places of each line go.
+    last = lengths - counts
+    inside = np.ones(len(codes), bool)
+    inside[np.repeat(starts + counts - np.cumsum(last) + last, last) + np.arange(last.sum())] = False
+    hashes, firsts = hashes[inside], np.cumsum(counts) - counts
+    least, mixed = np.empty((BANDS, ROWS, len(lines)), np.uint32), np.empty_like(hashes)
+    for band, row in np.ndindex(BANDS, ROWS):
+        np.multiply(hashes, _FACTORS[band * ROWS + row], out=mixed)
+        np.add(mixed, _SHIFTS[band * ROWS + row], out=mixed)
+        np.minimum.reduceat(mixed, firsts, out=least[band, row])
+    keys = np.repeat(np.arange(BANDS, dtype=np.uint64)[:, None], len(lines), axis=1)
+    for row in range(ROWS):
+        keys = (keys ^ least[:, row]) * np.uint64(0x9E3779B97F4A7C15)
+        keys ^= keys >> np.uint64(29)
+    return np.ascontiguousarray(keys.T)
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
