@@ -114,3 +114,34 @@ def test_band_keys_follow_similarity():
     assert np.array_equal(together, np.array(alone))
     assert abs((together[1] == together[3]).mean() - s**linededup.ROWS) < 0.3
     assert len({tuple(k) for k in together}) == 6
+
+
+def plain_keys(line):
+    """Least value of each hash function over the line's runs, folded by band, in whole numbers."""
+    codes = [ord(c) for c in line]
+    runs = [codes[n : n + linededup.SHINGLE] for n in range(max(1, len(codes) - linededup.SHINGLE + 1))]
+    hashes = []
+    for run in runs:
+        h = 0
+        for code in run + [0] * (linededup.SHINGLE - len(run)):
+            h = (h * 0x100000001B3 + code) % 2**64
+        h ^= h >> 31
+        hashes.append((h * 0x9E3779B97F4A7C15 % 2**64) >> 32)
+    keys = []
+    for band in range(linededup.BANDS):
+        key = band
+        for row in range(band * linededup.ROWS, (band + 1) * linededup.ROWS):
+            least = min((h * int(linededup._FACTORS[row]) + int(linededup._SHIFTS[row])) % 2**32 for h in hashes)
+            key = (key ^ least) * 0x9E3779B97F4A7C15 % 2**64
+            key ^= key >> 29
+        keys.append(key)
+    return keys
+
+
+def test_band_keys_are_those_of_each_line_alone():
+    """Lines of all lengths around a shingle's, characters beyond 16 bits, one line or many at once."""
+    pick = random.Random(2)
+    lines = ["".join(pick.choice("ab cé日\U0001f600") for _ in range(n)) for n in [1, 2, 7, 8, 9, 15, 16, 17, 40, 300] * 3]
+    assert linededup.band_keys(lines).tolist() == [plain_keys(line) for line in lines]
+    assert linededup.band_keys(lines[:1]).tolist() == [plain_keys(lines[0])]
+    assert linededup.band_keys(lines[9:10]).tolist() == [plain_keys(lines[9])]
