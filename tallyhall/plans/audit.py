@@ -15,24 +15,56 @@ from tallyhall.plans import clean_behavior as cb, clean_listings as cl, clean_te
 
 COLUMNS = ("数据集", "步骤", "清洗动作", "剩余记录数")
 
-# Dataset names in the log.
-BEHAVIOR = "淘宝用户行为(天池)"
-LISTINGS = "香港Airbnb(InsideAirbnb)"
-REVIEWS = "Yelp评论样本"
-COMMENTS = "Reddit(r/ChatGPT)"
-
-
-def _rows(one: DataFrame, dataset: str, first_seq: int, steps: list[tuple[str, Column, Column]]) -> DataFrame:
-    """Turn one row of counts into one log row per (step, action, remaining)."""
+# Dataset names, steps and sentences of the log, in order; %d takes a number counted.
+LOG = {
+    "behavior": ("淘宝用户行为(天池)", (
+        ("原始数据", "共 %d 条用户行为记录"),
+        ("缺失值处理", "剔除字段缺失/非数值的脏记录"),
+        ("异常值过滤", "剔除非法行为类型"),
+        ("异常值过滤", "剔除官方时间窗口外的记录"),
+        ("去重", "剔除完全重复记录 %d 条"),
+        ("缺失值处理", "剔除关键字段缺失记录"),
+    )),
+    "listings": ("香港Airbnb(InsideAirbnb)", (
+        ("原始数据", "共 %d 条香港房源"),
+        ("异常值过滤", "剔除价格缺失或<=0的房源"),
+        ("极端值缩尾", "价格99分位=$%s 以上封顶处理"),
+        ("缺失值处理", "剔除区域/房型/房东缺失的房源"),
+    )),
+    "listing_reviews": ("香港Airbnb(InsideAirbnb)", (
+        ("原始数据", "共 %d 条评论"),
+        ("缺失值处理", "剔除空评论"),
+        ("去重", "剔除重复评论"),
+    )),
+    "reviews": ("Yelp评论样本", (
+        ("原始数据", "共 %d 条商家评论"),
+        ("类型转换", "标准化DD/MM/YYYY日期并剔除无法解析的日期"),
+        ("异常值过滤", "剔除非1-5星评分"),
+        ("去重/缺失值", "剔除重复与空评论"),
+    )),
+    "comments": ("Reddit(r/ChatGPT)", (
+        ("原始数据", "共 %d 条社区评论"),
+        ("缺失值处理", "剔除已删除/移除的评论"),
+        ("去重", "剔除重复评论"),
+        ("异常值过滤", "剔除<15字符的灌水评论"),
+    )),
+}
+
+
+def _rows(one: DataFrame, table: str, left: list[Column], told: dict[int, Column]) -> DataFrame:
+    """Turn one row of counts into a log row per step of the table: how many rows are left, and the number its sentence tells."""
+    tables = list(LOG)
+    first = 1 + sum(len(LOG[t][1]) for t in tables[: tables.index(table)])
+    dataset, steps = LOG[table]
     entries = [
         F.struct(
-            F.lit(first_seq + i).alias("seq"),
+            F.lit(first + i).alias("seq"),
             F.lit(dataset).alias(COLUMNS[0]),
             F.lit(step).alias(COLUMNS[1]),
-            action.alias(COLUMNS[2]),
+            (F.format_string(action, told[i]) if i in told else F.lit(action)).alias(COLUMNS[2]),
             remaining.cast("bigint").alias(COLUMNS[3]),
         )
-        for i, (step, action, remaining) in enumerate(steps)
+        for i, ((step, action), remaining) in enumerate(zip(steps, left, strict=True))
     ]
     return one.select(F.inline(F.array(*entries)))
 
@@ -53,15 +85,8 @@ def behavior_log(raw: DataFrame, window: tuple[int, int] = cb.WINDOW) -> DataFra
     )
     c = F.col
     # The last step repeats the first; nothing can be missing by then.
-    steps = [
-        ("原始数据", F.format_string("共 %d 条用户行为记录", c("raw")), c("raw")),
-        ("缺失值处理", F.lit("剔除字段缺失/非数值的脏记录"), c("fields")),
-        ("异常值过滤", F.lit("剔除非法行为类型"), c("types")),
-        ("异常值过滤", F.lit("剔除官方时间窗口外的记录"), c("times")),
-        ("去重", F.format_string("剔除完全重复记录 %d 条", c("times") - c("unique")), c("unique")),
-        ("缺失值处理", F.lit("剔除关键字段缺失记录"), c("unique")),
-    ]
-    return _rows(one, BEHAVIOR, 1, steps)
+    left = [c("raw"), c("fields"), c("types"), c("times"), c("unique"), c("unique")]
+    return _rows(one, "behavior", left, {0: c("raw"), 4: c("times") - c("unique")})
 
 
 def listings_log(raw: DataFrame) -> DataFrame:
@@ -74,17 +99,8 @@ def listings_log(raw: DataFrame) -> DataFrame:
     )
     one = one.withColumn("p99", cl.price_cap(raw).scalar())
     c = F.col
-    steps = [
-        ("原始数据", F.format_string("共 %d 条香港房源", c("raw")), c("raw")),
-        ("异常值过滤", F.lit("剔除价格缺失或<=0的房源"), c("priced")),
-        (
-            "极端值缩尾",
-            F.format_string("价格99分位=$%s 以上封顶处理", F.bround("p99").cast("bigint")),
-            c("priced"),
-        ),
-        ("缺失值处理", F.lit("剔除区域/房型/房东缺失的房源"), c("complete")),
-    ]
-    return _rows(one, LISTINGS, 7, steps)
+    left = [c("raw"), c("priced"), c("priced"), c("complete")]
+    return _rows(one, "listings", left, {0: c("raw"), 2: F.bround("p99").cast("bigint")})
 
 
 def listing_reviews_log(raw: DataFrame) -> DataFrame:
@@ -94,13 +110,7 @@ def listing_reviews_log(raw: DataFrame) -> DataFrame:
         _count_if("said", said),
         F.count_distinct(F.when(said, F.struct(to_long("id")))).alias("unique"),
     )
-    c = F.col
-    steps = [
-        ("原始数据", F.format_string("共 %d 条评论", c("raw")), c("raw")),
-        ("缺失值处理", F.lit("剔除空评论"), c("said")),
-        ("去重", F.lit("剔除重复评论"), c("unique")),
-    ]
-    return _rows(one, LISTINGS, 11, steps)
+    return _rows(one, "listing_reviews", [F.col("raw"), F.col("said"), F.col("unique")], {0: F.col("raw")})
 
 
 def reviews_log(raw: DataFrame) -> DataFrame:
@@ -114,14 +124,8 @@ def reviews_log(raw: DataFrame) -> DataFrame:
         _count_if("rated", rated),
         F.count_distinct(F.when(full, key)).alias("unique"),
     )
-    c = F.col
-    steps = [
-        ("原始数据", F.format_string("共 %d 条商家评论", c("raw")), c("raw")),
-        ("类型转换", F.lit("标准化DD/MM/YYYY日期并剔除无法解析的日期"), c("dated")),
-        ("异常值过滤", F.lit("剔除非1-5星评分"), c("rated")),
-        ("去重/缺失值", F.lit("剔除重复与空评论"), c("unique")),
-    ]
-    return _rows(one, REVIEWS, 14, steps)
+    left = [F.col(name) for name in ("raw", "dated", "rated", "unique")]
+    return _rows(one, "reviews", left, {0: F.col("raw")})
 
 
 def comments_log(raw: DataFrame) -> DataFrame:
@@ -139,14 +143,8 @@ def comments_log(raw: DataFrame) -> DataFrame:
         _count_if("unique", F.col("kept_len").isNotNull()),
         _count_if("long", F.col("kept_len") >= ct.MIN_BODY),
     )
-    c = F.col
-    steps = [
-        ("原始数据", F.format_string("共 %d 条社区评论", c("raw")), c("raw")),
-        ("缺失值处理", F.lit("剔除已删除/移除的评论"), c("live")),
-        ("去重", F.lit("剔除重复评论"), c("unique")),
-        ("异常值过滤", F.lit("剔除<15字符的灌水评论"), c("long")),
-    ]
-    return _rows(one, COMMENTS, 18, steps)
+    left = [F.col(name) for name in ("raw", "live", "unique", "long")]
+    return _rows(one, "comments", left, {0: F.col("raw")})
 
 
 def cleaning_report(raw: dict[str, DataFrame], window: tuple[int, int] = cb.WINDOW) -> DataFrame:
