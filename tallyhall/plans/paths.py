@@ -83,18 +83,25 @@ def browsing_path(behavior: DataFrame) -> DataFrame:
     )
 
 
-def viewed_together(behavior: DataFrame, least: int = TOGETHER) -> DataFrame:
+def views_of(behavior: DataFrame) -> DataFrame:
+    """user_id, item_id: every item a user viewed, once, as a written table. Rows without user or item take no part."""
+    known = "behavior_type = 'pv' AND user_id IS NOT NULL AND item_id IS NOT NULL"
+    return saved(behavior.where(known).select("user_id", "item_id").distinct())
+
+
+def viewed_together(viewed: DataFrame, least: int = TOGETHER) -> DataFrame:
     """item_a < item_b, users, users_a, users_b: every pair of items that at least `least` (2 or more) users viewed both, counted exactly.
 
+    viewed is a table as views_of writes it.
+
     Users are ordered by how many items they viewed, and each item lets the last least - 1 of its users go. Of two items
     with `least` users in common, both still keep the first of these, as least - 1 more come after. So only
     items that meet in a user whom both keep are candidates, and the users who viewed most, whose pairs would grow with the
     square of their views, are let go by most of their items. A candidate is then counted through the item
-    with fewer users: each of them is looked up among those of the other. Rows without user or item take no part.
+    with fewer users: each of them is looked up among those of the other.
     """
     if least < 2:
         raise ValueError("least must be 2 or more: a pair that one user viewed is no pattern")
-    viewed = behavior.where("behavior_type = 'pv' AND user_id IS NOT NULL AND item_id IS NOT NULL").select("user_id", "item_id").distinct()
     sizes = saved(viewed.groupBy("item_id").agg(F.count("*").alias("n")).where(F.col("n") >= least))
     views = saved(viewed.join(sizes.select("item_id"), "item_id").select("user_id", "item_id"))
     ordered = views.join(views.groupBy("user_id").agg(F.count("*").alias("breadth")).where("breadth > 1"), "user_id")
@@ -118,9 +125,11 @@ def goods_viewed_together(behavior: DataFrame, least: int = TOGETHER, top: int =
 
     Ties go to more users, then to smaller items. Lift is taken over all users who viewed anything.
     """
-    everyone = behavior.where("behavior_type = 'pv' AND user_id IS NOT NULL AND item_id IS NOT NULL").agg(F.count_distinct("user_id").alias("n")).scalar()
+    viewed = views_of(behavior)
+    everyone = viewed.agg(F.count_distinct("user_id").alias("n")).scalar()
     expected = F.col("users_a").cast("double") * F.col("users_b")
     lift = F.col("users").cast("double") * everyone / expected
-    return viewed_together(behavior, least).select(
+    pairs = viewed_together(viewed, least).select(
         F.col("item_a").alias("商品A"), F.col("item_b").alias("商品B"), F.col("users").alias("共同浏览用户数"), lift.alias("提升度")
-    ).orderBy(F.desc("提升度"), F.desc("共同浏览用户数"), "商品A", "商品B").limit(top)
+    )
+    return pairs.orderBy(F.desc("提升度"), F.desc("共同浏览用户数"), "商品A", "商品B").limit(top)

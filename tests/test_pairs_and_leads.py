@@ -43,7 +43,7 @@ def random_views(n, users, items, seed):
 @pytest.mark.parametrize("n, users, items, least", [(600, 40, 25, 2), (600, 40, 25, 3), (900, 15, 60, 6), (400, 400, 5, 2), (30, 3, 3, 4)])
 def test_viewed_together(spark, n, users, items, least):
     rows = random_views(n, users, items, n + least)
-    found = paths.viewed_together(spark.createDataFrame(rows, VIEW), least).collect()
+    found = paths.viewed_together(paths.views_of(spark.createDataFrame(rows, VIEW)), least).collect()
     wanted, _ = plain_pairs(rows, least)
     assert {tuple(r) for r in found} == wanted and len(found) == len(wanted)
 
@@ -59,7 +59,7 @@ def test_no_views(spark):
     assert paths.goods_viewed_together(spark.createDataFrame([], VIEW)).collect() == []
     assert paths.goods_viewed_together(spark.createDataFrame([(1, 1, "pv"), (1, 2, "pv")], VIEW)).collect() == []
     with pytest.raises(ValueError, match="least"):
-        paths.viewed_together(spark.createDataFrame([], VIEW), 1)
+        paths.viewed_together(paths.views_of(spark.createDataFrame([], VIEW)), 1)
 
 
 def test_a_hot_user_does_not_square(spark, monkeypatch):
@@ -68,7 +68,7 @@ def test_a_hot_user_does_not_square(spark, monkeypatch):
     kept = []
     original = paths.saved
     monkeypatch.setattr(paths, "saved", lambda df: kept.append(original(df)) or kept[-1])
-    found = paths.viewed_together(spark.createDataFrame(rows, VIEW), 2)
+    found = paths.viewed_together(paths.views_of(spark.createDataFrame(rows, VIEW)), 2)
     assert found.count() == 1000 and found.where("item_b = item_a + 1 AND users = 2").count() == 1000
     edges = kept[-1]
     assert edges.count() == 2000 and edges.where("user_id = 0").count() == 0
