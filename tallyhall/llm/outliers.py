@@ -4,10 +4,12 @@ Every document's statistics are made in its own row, so no word or line is ever
 Their transformed vectors are whole numbers (units of 1/SCALE): sums over any number of rows
 are exact, and the estimates don't depend on the order of tasks.
 
-Per group the minimum-covariance-determinant estimate is sought by concentration steps: from
-coordinatewise medians and deviations, keep the share CORE of rows that lie nearest, take
-their mean and covariance, and repeat. Groups are handled together, in aggregates of a row
-per group that are merged before they are shuffled; a hot group costs no task more than others.
+Per group the minimum-covariance-determinant estimate is sought by concentration steps from
+several fixed starts: keep the share CORE of rows that lie nearest, take their mean and
+covariance, and repeat; of the ends, that with the least determinant stays. The starts are
+medians with median deviations, medians with the correlations of squashed values, and the
+plain mean and covariance. Groups and starts are handled together, in aggregates of a row
+per group and start that are merged before they are shuffled; a hot group costs no task more than others.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from tallyhall.llm.common import words
 from tallyhall.session import saved
 
 SCALE = 4096
-# Share of a group's rows that an estimate rests on, and concentration steps.
+# Share of a group's rows that an estimate rests on, and concentration steps from each start.
 CORE = 0.75
 STEPS = 4
 # Fixed value: the CORE quantile of chi-square with as many degrees of freedom as there are statistics (5).
@@ -28,6 +30,8 @@ CORE_DISTANCE = 6.6257
 # Rows beyond this squared distance are rejected: ten deviations, as the tails of ordinary text are much
 # heavier than those of a normal distribution.
 CUTOFF = 100.0
+# Estimates of up to so many groups (about 200 bytes each, times the starts) go to every task; more are joined by a shuffle.
+FEW_GROUPS = 50_000
 # Groups with fewer rows are pooled, first with the other such groups of their language, then of all.
 LEAST_ROWS = 100
 # Standard deviation added to each statistic, in its own unit: many texts have no symbol or repeat at all,
@@ -136,24 +140,32 @@ def _wide(quantiles: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians as means, median deviations on the diagonal of the covariance."""
+def _starts(rows: DataFrame) -> DataFrame:
+    """group, start, mean, covariance: medians with median deviations (0), with correlations of squashed values (1), plain moments (2)."""
     half = _wide(_quantiles(_per_statistic(rows, lambda k: F.col(NAMES[k])), ["group", "k"], 0.5, "m"), "m")
     off = rows.join(half, "group")
     spread = _per_statistic(off, lambda k: F.abs(F.col(NAMES[k]) - F.col(f"m{k}")))
     mad = _wide(_quantiles(spread, ["group", "k"], 0.5, "d"), "d")
-    one = lambda a, b: F.pow(1.4826 * F.col(f"d{a}") / SCALE, F.lit(2)) + FLOOR[a] ** 2 if a == b else F.lit(0.0)
-    return half.join(mad, "group").select(
-        "group",
-        *[(F.col(f"m{k}") / SCALE).alias(f"mean{k}") for k in range(len(NAMES))],
-        *[one(a, b).alias(f"cov{a}{b}") for a, b in PAIRS],
+    scale = [F.sqrt(F.pow(1.4826 * F.col(f"d{k}") / SCALE, F.lit(2)) + FLOOR[k] ** 2).alias(f"scale{k}") for k in range(len(NAMES))]
+    centre = saved(half.join(mad, "group").select("group", *[(F.col(f"m{k}") / SCALE).alias(f"m{k}") for k in range(len(NAMES))], *scale))
+    means = [F.col(f"m{k}").alias(f"mean{k}") for k in range(len(NAMES))]
+    square = lambda a, b: F.pow(F.col(f"scale{a}"), F.lit(2)) if a == b else F.lit(0.0)
+    medians = centre.select("group", F.lit(0).alias("start"), *means, *[square(a, b).alias(f"cov{a}{b}") for a, b in PAIRS])
+    tanh = lambda k: F.tanh((F.col(NAMES[k]) / SCALE - F.col(f"m{k}")) / F.col(f"scale{k}"))
+    squashed = rows.join(centre, "group").select(
+        "group", F.lit(1).alias("start"), *[F.round(tanh(k) * SCALE).cast("long").alias(name) for k, name in enumerate(NAMES)]
     )
+    bent = _moments(squashed).join(centre, "group")
+    likeness = lambda a, b: F.col(f"cov{a}{b}") / F.sqrt(F.col(f"cov{a}{a}") * F.col(f"cov{b}{b}"))
+    together = [(likeness(a, b) * F.col(f"scale{a}") * F.col(f"scale{b}")).alias(f"cov{a}{b}") for a, b in PAIRS]
+    plain = _moments(rows.select("group", F.lit(2).alias("start"), *NAMES))
+    return medians.unionByName(bent.select("group", "start", *means, *together)).unionByName(plain)
 
 
 def _moments(core: DataFrame) -> DataFrame:
-    """Mean and covariance of the rows given, from exact sums."""
+    """Mean and covariance of the rows given by group and start, from exact sums."""
     whole = lambda x: F.sum(x.cast("decimal(20,0)")).cast("double")
-    sums = core.groupBy("group").agg(
+    sums = core.groupBy("group", "start").agg(
         F.count("*").cast("double").alias("n"),
         *[(whole(F.col(name)) / SCALE).alias(f"s{k}") for k, name in enumerate(NAMES)],
         *[(whole(F.col(NAMES[a]) * F.col(NAMES[b])) / SCALE**2).alias(f"p{a}{b}") for a, b in PAIRS],
@@ -161,10 +173,10 @@ def _moments(core: DataFrame) -> DataFrame:
     means = sums.select("*", *[(F.col(f"s{k}") / F.col("n")).alias(f"mean{k}") for k in range(len(NAMES))])
     cov = lambda a, b: F.col(f"p{a}{b}") / F.col("n") - F.col(f"mean{a}") * F.col(f"mean{b}")
     return means.select(
-        "group",
+        "group", "start",
         *[f"mean{k}" for k in range(len(NAMES))],
         *[((F.greatest(cov(a, b), F.lit(0.0)) + FLOOR[a] ** 2) if a == b else cov(a, b)).alias(f"cov{a}{b}") for a, b in PAIRS],
-    )
+    )
 
 
 def _factored(estimates: DataFrame) -> DataFrame:
@@ -177,17 +189,26 @@ def _factored(estimates: DataFrame) -> DataFrame:
             known = [F.col(f"l{a}{j}") * F.col(f"l{b}{j}") for j in range(b)]
             below[f"l{a}{b}"] = sum((-x for x in known), F.col(f"cov{a}{b}")) / F.col(f"l{b}{b}")
         estimates = estimates.withColumns(below) if below else estimates
-    return estimates.select("group", *[f"mean{k}" for k in range(len(NAMES))], *[f"l{a}{b}" for a, b in PAIRS])
+    return estimates.select("group", "start", *[f"mean{k}" for k in range(len(NAMES))], *[f"l{a}{b}" for a, b in PAIRS])
+
 
+def _least(estimates: DataFrame) -> DataFrame:
+    """Of each group's estimates that with the least determinant, the smaller start of equal ones."""
+    factors = _factored(estimates)
+    size = sum((F.log(F.col(f"l{k}{k}")) for k in range(1, len(NAMES))), F.log(F.col("l00")))
+    first = factors.groupBy("group").agg(F.min_by("start", F.struct(size.alias("size"), "start")).alias("start"))
+    return estimates.join(first, ["group", "start"])
 
-def _distances(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """Rows with their squared Mahalanobis distance and the bin of its logarithm."""
-    near = rows.join(_factored(estimates), "group")
+
+def _distances(rows: DataFrame, estimates: DataFrame, few: bool) -> DataFrame:
+    """Rows, once for each estimate of their group, with start, the squared Mahalanobis distance and the bin of its logarithm."""
+    factors = _factored(estimates)
+    near = rows.join(F.broadcast(factors) if few else factors, "group")
     for k, name in enumerate(NAMES):
         known = [F.col(f"l{k}{j}") * F.col(f"z{j}") for j in range(k)]
         near = near.withColumn(f"z{k}", sum((-x for x in known), F.col(name) / SCALE - F.col(f"mean{k}")) / F.col(f"l{k}{k}"))
     square = sum((F.pow(F.col(f"z{k}"), F.lit(2)) for k in range(1, len(NAMES))), F.pow(F.col("z0"), F.lit(2)))
-    kept = near.select(*rows.columns, square.alias("square"))
+    kept = near.select(*rows.columns, "start", square.alias("square"))
     return kept.withColumn("bin", F.floor(F.log(F.col("square") + 1e-6) * BINS))
 
 
@@ -215,18 +236,22 @@ def judge(docs: DataFrame) -> DataFrame:
     rows = saved(every.join(sizes, ["lang", "source"], "left").withColumn("group", F.when(~F.col("base_failed"), F.col("group"))))
     fit = rows.where(F.col("group").isNotNull()).select("group", *NAMES)
     sums = fit.groupBy("group").agg(F.count("*").alias("n"))
-    fit = fit.join(sums.where(F.col("n") >= LEAST_ROWS).select("group"), "group", "left_semi")
-    estimates = saved(_start(fit))
+    large = saved(sums.where(F.col("n") >= LEAST_ROWS).select("group"))
+    few = large.count() <= FEW_GROUPS
+    known = lambda table: F.broadcast(table) if few else table
+    fit = fit.join(known(large), "group", "left_semi")
+    estimates, keys = saved(_starts(fit)), ["group", "start"]
     for _ in range(STEPS):
-        away = _distances(fit, estimates)
-        limit = _quantiles(away, ["group"], CORE, "limit")
-        estimates = saved(_moments(away.join(limit, "group").where(F.col("bin") <= F.col("limit"))))
-    limit = _quantiles(_distances(fit, estimates), ["group"], CORE, "limit")
+        away = _distances(fit, estimates, few)
+        limit = _quantiles(away, keys, CORE, "limit")
+        estimates = saved(_moments(away.join(known(limit), keys).where(F.col("bin") <= F.col("limit"))))
+    estimates = saved(_least(estimates))
+    limit = _quantiles(_distances(fit, estimates, few), ["group"], CORE, "limit")
     scaled = _factored(estimates).join(limit, "group").withColumn("unit", F.exp((F.col("limit") + 1) / BINS) / CORE_DISTANCE)
-    near = rows.join(scaled, "group", "left")
+    near = rows.join(known(saved(scaled)), "group", "left")
     for k, name in enumerate(NAMES):
-        known = [F.col(f"l{k}{j}") * F.col(f"z{j}") for j in range(k)]
-        near = near.withColumn(f"z{k}", sum((-x for x in known), F.col(name) / SCALE - F.col(f"mean{k}")) / F.col(f"l{k}{k}"))
+        before = [F.col(f"l{k}{j}") * F.col(f"z{j}") for j in range(k)]
+        near = near.withColumn(f"z{k}", sum((-x for x in before), F.col(name) / SCALE - F.col(f"mean{k}")) / F.col(f"l{k}{k}"))
     square = sum((F.pow(F.col(f"z{k}"), F.lit(2)) for k in range(1, len(NAMES))), F.pow(F.col("z0"), F.lit(2)))
     return near.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
