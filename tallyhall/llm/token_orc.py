@@ -32,6 +32,9 @@ _RUNS = ("  ", "\n\n", " \n", "\n ")
 TOGETHER = 64
 _WORD = re.compile(r"\n?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[!#$%&*,.:;?|]*")
 _memos: dict[str, "PieceMemo"] = {}
+# Characters of a text that range rows of one id; the driver samples them.
+BEGINNING = 64
+
 
 
 def _letters() -> dict[int, str]:
@@ -196,10 +199,11 @@ def write_token_orc(
 
     The texts, not the ids, are ranged by document id: they are the smaller of the two in a
     shuffle. Missing ids come first, missing text is empty, rows of one id are ordered by
-    text. Other columns are ignored. `tokenizer` is a path that every executor sees.
+    text. An id that many rows repeat or lack is split by how its texts begin. Other columns
+    are ignored. `tokenizer` is a path that every executor sees.
     """
     thin = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    ranged = thin.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ranged = thin.repartitionByRange("doc_id", F.substring("text", 1, BEGINNING)).sortWithinPartitions("doc_id", "text")
     ids = ranged.mapInArrow(_encoder(tokenizer, end_id), "doc_id long, seq long, ids array<int>")
     (
         ids.write.option("compression", "lz4")

@@ -42,6 +42,22 @@ def test_edge_cases(spark, documents):
     assert one.count() == 1
 
 
+def test_a_third_of_the_rows_without_id(spark):
+    """They are split over tasks, and the order by id and text holds over all files."""
+    rows = [(None, f"text {n % 40} {'x' * 80} {n}") for n in range(400)] + [(n, f"other {n}") for n in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    out = shared_dir(spark)
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"  # else Spark merges so few rows into one task
+    spark.conf.set(merge, "false")
+    try:
+        token_orc.write_token_orc(df, out, PATH)
+    finally:
+        spark.conf.unset(merge)
+    assert found(token_orc.token_index(spark, out)) == expected(rows)
+    files = token_orc.read_token_orc(spark, out).where("doc_id IS NULL").select(F.input_file_name()).distinct()
+    assert files.count() > 1
+
+
 def test_no_rows(spark, documents):
     out = shared_dir(spark)
     token_orc.write_token_orc(documents.limit(0), out, PATH)
