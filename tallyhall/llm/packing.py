@@ -16,10 +16,39 @@ from collections import Counter
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyhall.llm import simhash
+from tallyhall.llm.common import words
+from tallyhall.session import saved
+
+# Parts that rows of a text are dealt to where they meet the text's cluster.
+SALTS = 16
 # Pieces are packed in shards of about so many: this bounds a task's memory and its search.
 SHARD_PIECES = 8192
 
 
+def clustered(docs: DataFrame, size: int = 5, radius: int = 3) -> DataFrame:
+    """doc_id, source, length (words), cluster: a row per row of docs.
+
+    Texts are of one cluster if the fingerprints of their `size`-word shingles are chained by differences of at
+    most `radius` bits, so copies always are. A text without words has none.
+    """
+    text = F.coalesce(docs["text"], F.lit(""))
+    thin = saved(
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
+            F.size(words(docs["text"])).cast("long").alias("length"), F.xxhash64(text).alias("text_id"),
+            F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"),
+        )
+    )
+    keyed = docs.select(F.xxhash64(text).alias("doc_id"), text.alias("text"))
+    own = simhash.classes(keyed, size, radius).select(F.col("doc_id").alias("text_id"), F.col("component_id").alias("cluster"))
+    # The smallest text of a cluster names it: only the others have to be told.
+    told = saved(own.where("text_id != cluster").distinct())
+    told = told.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    found = thin.join(told, ["text_id", "salt"], "left")
+    return found.select("doc_id", "source", "length", F.when(F.col("length") > 0, F.coalesce("cluster", "text_id")).alias("cluster"))
+
+
 def pieces(docs: DataFrame, length: Column, cluster: Column, capacity: int) -> DataFrame:
     """doc_id, source, cluster, piece, start, size: a row per piece of at most `capacity` units.
 

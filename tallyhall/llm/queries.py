@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyhall.llm import (
     ann, backoff, chat, cotrain, decontam, fim, linededup, outliers, packing, simhash, sql, token_orc, vector_codes, warc,
 )
-from tallyhall.llm.common import ship, table, words
+from tallyhall.llm.common import ship, table
 from tallyhall.session import saved, shared_dir
 
 # Words in a packed sequence.
@@ -53,10 +53,10 @@ def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents in sequences of SEQUENCE_WORDS words; copies of a text are a cluster."""
+    """All documents in sequences of SEQUENCE_WORDS words; copies and near copies of a text are a cluster."""
     ship(spark)
-    docs = table(spark, folder, "documents")
-    parts = packing.pieces(docs, F.size(words(F.col("text"))), F.xxhash64("text"), SEQUENCE_WORDS)
+    docs = packing.clustered(table(spark, folder, "documents"))
+    parts = packing.pieces(docs, F.col("length"), F.col("cluster"), SEQUENCE_WORDS)
     return packing.pack(saved(parts), SEQUENCE_WORDS)
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+from brute import Groups, fingerprint
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 from tallyhall.llm import packing, queries
@@ -25,10 +26,40 @@ def checked(rows, info, capacity):
         assert [a for a, _ in spans] == [n * capacity for n in range(len(spans))] and sum(n for _, n in spans) == info[key][2]
 
 
+def clusters(texts):
+    """Each text's class of five-word fingerprints within three bits, pair by pair; None without words."""
+    prints = {t: fingerprint(t, 5) for t in texts if t and t.strip(" \t\n\x0b\f\r")}
+    groups, distinct = Groups(), sorted(set(prints.values()))
+    for n, a in enumerate(distinct):
+        for b in distinct[n + 1 :]:
+            if (a ^ b).bit_count() <= 3:
+                groups.join(a, b)
+    return {t: groups.find(prints[t]) if t in prints else None for t in texts}
+
+
+def test_clusters_against_brute_force(spark, documents):
+    """Copies, near copies, null and empty texts, repeated rows."""
+    long = " ".join(f"u{n}" for n in range(3000))
+    near = spark.createDataFrame([(900, long), (901, long + " tail"), (902, long), (902, long), (None, long)], "doc_id long, text string")
+    every = documents.unionByName(near, allowMissingColumns=True)
+    rows = every.select("doc_id", "text").collect()
+    wanted = clusters([r["text"] for r in rows])
+    assert wanted[long] == wanted[long + " tail"]
+    got = packing.clustered(every).join(every.select("doc_id", "text"), "doc_id").where("doc_id != 9").collect()
+    name = {}
+    for r in got:
+        assert (r["cluster"] is None) == (wanted[r["text"]] is None)
+        assert name.setdefault(wanted[r["text"]], r["cluster"]) == r["cluster"]
+    assert len(set(name.values())) == len(name)
+    assert packing.clustered(every).count() == len(rows)
+    assert packing.clustered(documents.limit(0)).count() == 0
+
+
 def test_query(spark, folder):
     rows = queries.op6_packing(spark, folder).collect()
     docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
-    info = {r["doc_id"]: (r["source"], r["text"], len(r["text"].split())) for r in docs}
+    cluster = clusters([r["text"] for r in docs])
+    info = {r["doc_id"]: (r["source"], cluster[r["text"]], len(r["text"].split())) for r in docs}
     assert {r["doc_id"] for r in rows} == set(info)
     checked(rows, info, queries.SEQUENCE_WORDS)
 
