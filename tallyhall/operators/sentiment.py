@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyhall.functions.numbers import cut_right
-from tallyhall.functions.text import ASCII_BLANK, BLANK, OTHER_BLANK, tokens
+from tallyhall.functions.text import ASCII_BLANK, BLANK, plain, tokens
 
 # Score bands, right-closed, and the constant that keeps scores within -1..1.
 LABELS = ((-0.05, "负面"), (0.05, "中性"), (1.01, "正面"))
@@ -119,9 +119,7 @@ def _hits(df: DataFrame, keys: list[str], text: str, entries: DataFrame, contras
     spaced = f"if(octet_length({body}) = length({body}), {body}, regexp_replace({body}, r'{_SYMBOL}', ' $1 '))"
     # Capitals count amid words that are not all capitals; only a text without small letters a-z must be looked through.
     mixed = "_text RLIKE '[a-z]' OR exists(split(_text, '\\\\s+'), w -> NOT (w = upper(w) AND w <> lower(w)))"
-    # Most texts hold no other blanks than those of ASCII, by which they are split in half the time.
-    plain = (F.octet_length("_text") == F.length("_text")) | ~F.col("_text").rlike(OTHER_BLANK)
-    split = F.when(plain, F.split("_text", f"{ASCII_BLANK}+")).otherwise(F.split("_text", f"{BLANK}+"))
+    split = F.when(plain(F.col("_text")), F.split("_text", f"{ASCII_BLANK}+")).otherwise(F.split("_text", f"{BLANK}+"))
     ahead = PHRASE_WORDS[-1] - 1 if with_phrases else 0
     words = (
         df.select(*keys, *row, F.expr(spaced).alias("_text"))

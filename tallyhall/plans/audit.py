@@ -89,7 +89,7 @@ def behavior_log(raw: DataFrame, window: tuple[int, int] = cb.WINDOW) -> DataFra
     return _rows(one, "behavior", left, {0: c("raw"), 4: c("times") - c("unique")})
 
 
-def listings_log(raw: DataFrame) -> DataFrame:
+def listings_log(raw: DataFrame, cap: DataFrame | None = None) -> DataFrame:
     priced = F.coalesce(F.col("price") > 0, F.lit(False))
     complete = priced
     for name in ("neighbourhood_cleansed", "room_type", "host_id"):
@@ -97,7 +97,7 @@ def listings_log(raw: DataFrame) -> DataFrame:
     one = cl.typed_listings(raw).agg(
         F.count("*").alias("raw"), _count_if("priced", priced), _count_if("complete", complete)
     )
-    one = one.withColumn("p99", cl.price_cap(raw).scalar())
+    one = one.withColumn("p99", (cl.price_cap(raw) if cap is None else cap).scalar())
     c = F.col
     left = [c("raw"), c("priced"), c("priced"), c("complete")]
     return _rows(one, "listings", left, {0: c("raw"), 2: F.bround("p99").cast("bigint")})
@@ -147,11 +147,13 @@ def comments_log(raw: DataFrame) -> DataFrame:
     return _rows(one, "comments", left, {0: F.col("raw")})
 
 
-def cleaning_report(raw: dict[str, DataFrame], window: tuple[int, int] = cb.WINDOW) -> DataFrame:
-    """All log rows in order; `seq` gives that order."""
+def cleaning_report(
+    raw: dict[str, DataFrame], window: tuple[int, int] = cb.WINDOW, cap: DataFrame | None = None
+) -> DataFrame:
+    """All log rows in order; `seq` gives that order. `cap` is the price cap of the listings, if it is known already."""
     logs = [
         behavior_log(raw["behavior"], window),
-        listings_log(raw["listings"]),
+        listings_log(raw["listings"], cap),
         listing_reviews_log(raw["listing_reviews"]),
         reviews_log(raw["reviews"]),
         comments_log(raw["comments"]),

@@ -10,7 +10,8 @@ from tallyhall.operators.ranking import exact_quantiles
 # Host sizes, right-closed from 0.
 HOST_SCALES = ((2, "个人(1-2)"), (10, "小型(3-10)"), (50, "专业(11-50)"), (10**6, "机构(50+)"))
 CAP_QUANTILE = 0.99
-PRICE_DIGITS = "translate(price, '$,', '')"
+# Whole texts are replaced byte by byte; translate() would look up every character.
+PRICE_DIGITS = "replace(replace(price, '$', ''), ',', '')"
 
 _LONGS = (
     "id", "host_id", "accommodates", "minimum_nights", "number_of_reviews",
@@ -33,20 +34,25 @@ def typed_listings(raw: DataFrame) -> DataFrame:
 
 
 def price_cap(raw: DataFrame) -> DataFrame:
-    """One row: the 99th percentile of price over all priced listings."""
-    prices = raw.select(to_double(PRICE_DIGITS).alias("price")).where("price > 0")
+    """One row: the 99th percentile of price over all priced listings.
+
+    What is exploded is computed once a row, not again by the filter and by each use of the number.
+    """
+    digits = raw.select(F.explode(F.array(F.expr(PRICE_DIGITS))).alias("digits"))
+    prices = digits.select(F.explode(F.array(to_double("digits"))).alias("price")).where("price > 0")
     return exact_quantiles(prices, "price", {"price_p99": CAP_QUANTILE})
 
 
-def clean_listings(raw: DataFrame) -> DataFrame:
+def clean_listings(raw: DataFrame, cap: DataFrame | None = None) -> DataFrame:
     """Priced listings with capped price, occupancy and host size.
 
     The cap is taken before incomplete rows go. It joins as a scalar subquery,
-    which vanishes from plans that do not use price_winsor.
+    which vanishes from plans that do not use price_winsor. `cap` is price_cap(raw), if it is known already.
     """
+    cap = price_cap(raw) if cap is None else cap
     priced = typed_listings(raw).where("price > 0")
     capped = priced.withColumn(
-        "price_winsor", F.least(F.col("price"), price_cap(raw).scalar())
+        "price_winsor", F.least(F.col("price"), cap.scalar())
     )
     return (
         capped.dropna(subset=list(_REQUIRED))

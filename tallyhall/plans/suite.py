@@ -22,6 +22,7 @@ from tallyhall.plans import (
     paths,
     texts as tx,
 )
+from tallyhall.session import saved
 from tallyhall.sources import readers, writers
 
 Tables = Mapping[str, DataFrame]
@@ -103,11 +104,12 @@ FIGURES: dict[str, tuple[str, Figure]] = {
 
 
 def clean_all(
-    raw: Tables, lexicon: DataFrame, settings: Settings, modifiers: DataFrame | None = None, phrases: DataFrame | None = None
+    raw: Tables, lexicon: DataFrame, settings: Settings, modifiers: DataFrame | None = None, phrases: DataFrame | None = None,
+    cap: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     return {
         "behavior": cb.clean_behavior(raw["behavior"], settings.window),
-        "listings": cl.clean_listings(raw["listings"]),
+        "listings": cl.clean_listings(raw["listings"], cap),
         "listing_reviews": cl.clean_listing_reviews(raw["listing_reviews"]),
         "reviews": ct.clean_reviews(raw["reviews"], lexicon, modifiers, settings.contrast, phrases),
         "comments": ct.clean_comments(raw["comments"], lexicon, modifiers, settings.contrast, phrases),
@@ -132,14 +134,18 @@ def run_cleaning(
     raw: Tables, lexicon: DataFrame, out_dir: str, settings: Settings = Settings(), modifiers: DataFrame | None = None,
     phrases: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Clean every dataset once, save tables, log and summary; return the saved tables."""
+    """Clean every dataset once, save tables, log and summary; return the saved tables.
+
+    The price cap, which all three need, is found once.
+    """
     spark = lexicon.sparkSession
     cleaned_dir = f"{out_dir}/cleaned"
-    for name, df in clean_all(raw, lexicon, settings, modifiers, phrases).items():
+    cap = saved(cl.price_cap(raw["listings"]))
+    for name, df in clean_all(raw, lexicon, settings, modifiers, phrases, cap).items():
         writers.write_cleaned(df, cleaned_dir, name)
     cleaned = {name: readers.load_table(spark, cleaned_dir, name) for name in raw}
-    writers.write_log(audit.cleaning_report(dict(raw), settings.window), f"{out_dir}/cleaning_report")
-    writers.write_summary(summary(cleaned, cl.price_cap(raw["listings"])), f"{out_dir}/summary")
+    writers.write_log(audit.cleaning_report(dict(raw), settings.window, cap), f"{out_dir}/cleaning_report")
+    writers.write_summary(summary(cleaned, cap), f"{out_dir}/summary")
     return cleaned
 
 

@@ -15,11 +15,12 @@ from tallyhall.plans import (
     clean_texts as ct,
     listings as ab,
     metrics,
+    suite,
     texts as tx,
 )
 from tallyhall.operators.shares import multi_row_gate
 from tallyhall.schemas import RAW, texts
-from tallyhall.sources import readers
+from tallyhall.sources import readers, testviews as tv
 
 LO, HI = cb.WINDOW
 
@@ -278,3 +279,17 @@ def test_quadrants_and_gate(spark):
     assert got == {1: "明星类目", 2: "流量洼地", 3: "优化详情页", 4: "低效类目"}
     assert multi_row_gate(df).count() == 4
     assert multi_row_gate(df.limit(1)).count() == 0
+
+
+def test_the_price_cap_is_found_once(spark, tmp_path, monkeypatch):
+    """Cleaning, log and summary share it; the digits are computed once a row."""
+    asked, price_cap = [], cl.price_cap
+
+    def counted(raw):
+        asked.append(price_cap(raw)._jdf.queryExecution().optimizedPlan().toString())
+        return price_cap(raw)
+
+    monkeypatch.setattr(cl, "price_cap", counted)
+    raw = tv.raw_inputs(spark, "/root/testdata/sf0.001")
+    suite.run_cleaning(raw, tv.lexicon(spark), str(tmp_path), suite.Settings(window=tv.EVENT_WINDOW))
+    assert len(asked) == 1 and asked[0].count("replace(replace(") == 2  # exact_quantiles reads its input twice

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +142,15 @@ def test_words_around_a_hit(spark, text, valence):
         df = spark.createDataFrame([(7, text)] * copies, "k long, t string")
         rows = context_sums(df, ["k"], "t", lexicon, modifiers).collect()
         assert [(r.k, pytest.approx(r.valence, abs=1e-7)) for r in rows] == [(7, valence)]
+
+
+def test_words_are_counted_by_any_blank(spark):
+    """Odd blanks amid ASCII and other letters, and letters in the same ranges as blanks."""
+    blanks = [*tx.BLANKS, "\u1681", "\u200b", "\u2030", "\u2fff", "\x86", "\xe9"]
+    texts = [f"{a}b{blank}c d{blank}{blank}e{blank}" for blank in blanks for a in ("a", "\xe9", "\u65e5", "\u2014")] + ["", " ", None]
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, t string")
+    found = {r["n"]: r for r in df.select("n", tx.word_count(F.col("t")).alias("words"), tx.plain(F.col("t")).alias("plain")).collect()}
+    for n, t in enumerate(texts):
+        assert found[n]["words"] == (None if t is None else len([w for w in re.split(f"[{re.escape(tx.BLANKS)}]+", t) if w])), (n, t)
+        if t is not None and found[n]["plain"]:
+            assert not set(t) & set(tx.BLANKS[10:])
