@@ -93,8 +93,18 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield flushed(ids, lines)
 
 
-def shingles(line: str) -> set[str]:
-    return {line[n : n + SHINGLE] for n in range(max(1, len(line) - SHINGLE + 1))}
+def shingles(line: str) -> set[int | str]:
+    """The line's runs, each of eight Latin-1 characters as the number that its bytes make, any other as a text."""
+    count = len(line) - SHINGLE + 1
+    if count < 2:
+        line, count = line.ljust(SHINGLE, "\n"), 1  # no line holds this character
+    try:
+        return set(np.ndarray((count,), "<u8", line.encode("latin-1"), strides=(1,)).tolist())
+    except UnicodeEncodeError:
+        numbers = np.ndarray((count,), "<u8", line.encode("latin-1", "replace"), strides=(1,))
+    wide = np.concatenate([[0], np.cumsum(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4") > 0xFF)])
+    wide = wide[SHINGLE:] > wide[:-SHINGLE]
+    return {*numbers[~wide].tolist(), *(line[n : n + SHINGLE] for n in np.flatnonzero(wide).tolist())}
 
 
 def _normal(line: Column) -> Column:
@@ -130,7 +140,8 @@ def removals(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     (then row, then place) stays; a missing doc_id is smaller than any. Documents without any
     line with a word have no row.
     """
-    lines = occurrences(docs)
+    # Written once: texts are cut into lines once for signatures, candidates and places.
+    lines = saved(occurrences(docs))
     classes = few_to_all(saved(line_classes(lines, similarity)))
     thin = lines.select(F.coalesce("doc", F.lit(-(1 << 63))).alias("doc"), "row", "place", "id")
     named = saved(

@@ -145,3 +145,28 @@ def test_band_keys_are_those_of_each_line_alone():
     assert linededup.band_keys(lines).tolist() == [plain_keys(line) for line in lines]
     assert linededup.band_keys(lines[:1]).tolist() == [plain_keys(lines[0])]
     assert linededup.band_keys(lines[9:10]).tolist() == [plain_keys(lines[9])]
+
+
+def test_shingles_are_exact():
+    """As many runs as texts would have, and as many in common, whatever the characters; short lines are one run."""
+    pick = random.Random(12)
+    lines = ["a", "ab", "abcdefgh", "abcdefghi", "é", "?", "日", "日本語日本語日本", "?" * 8, "日" * 8, "\ud800abcdefghi", "a\x00", "a\x00\x00"]
+    lines += ["".join(pick.choice("ab?é日") for _ in range(pick.choice([3, 8, 9, 30, 200]))) for _ in range(60)]
+    plain = {line: {line[n : n + linededup.SHINGLE] for n in range(max(1, len(line) - linededup.SHINGLE + 1))} for line in lines}
+    for a, b in itertools.combinations_with_replacement(lines, 2):
+        one, other = linededup.shingles(a), linededup.shingles(b)
+        assert (len(one), len(other), len(one & other)) == (len(plain[a]), len(plain[b]), len(plain[a] & plain[b])), (a, b)
+
+
+def test_texts_are_cut_into_lines_once(spark, monkeypatch):
+    """Signatures, candidates and places read written lines: no plan after the first cuts texts."""
+    cut, resolve = [], linededup.resolve
+
+    def seen(members, *rest):
+        cut.append("Generate" in members._jdf.queryExecution().optimizedPlan().toString())
+        return resolve(members, *rest)
+
+    monkeypatch.setattr(linededup, "resolve", seen)
+    df = spark.createDataFrame([(1, "a line here\nb line there"), (2, "b line there\nc")], "doc_id long, text string")
+    assert {(r["doc"], tuple(r["removed"])) for r in linededup.removals(df).collect()} == {(1, ()), (2, (0,))}
+    assert cut == [False]
