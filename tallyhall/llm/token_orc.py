@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tallyhall.session import saved
+
 # Texts are encoded together until they have so many characters.
 FLUSH_CHARS = 1 << 20
 # A worker forgets the pieces that it has encoded beyond so many (some 200 MB); they are encoded again when met again.
@@ -236,17 +238,16 @@ def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def token_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32, from the files alone.
 
-    Running sums stay within a file; only the files' totals, one row each, are summed across.
+    Running sums stay within a file; only the files' totals, one row each, are summed across. The ids are
+    read once: lengths and checksums, a few bytes a document, are written for the two that need them.
     """
     rows = read_token_orc(spark, path).select(
         F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("int").alias("file"), "doc_id", "seq", "ids"
     )
-    sums = rows.mapInArrow(_checksums, "file int, doc_id long, seq long, n_tokens long, ids_crc32 long")
+    sums = saved(rows.mapInArrow(_checksums, "file int, doc_id long, seq long, n_tokens long, ids_crc32 long"))
     own = Window.partitionBy("file").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    total = F.sum("n_tokens").over(Window.partitionBy("file"))
-    placed = sums.select("*", F.coalesce(F.sum("n_tokens").over(own), F.lit(0)).alias("own"), total.alias("total"))
-    # Both branches stand on one exchange by file.
-    totals = placed.where("seq = 0").select("file", "total")
+    placed = sums.select("*", F.coalesce(F.sum("n_tokens").over(own), F.lit(0)).alias("own"))
+    totals = sums.groupBy("file").agg(F.sum("n_tokens").alias("total"))
     offsets = totals.select("file", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
     return placed.join(offsets, "file").select("doc_id", (F.col("offset") + F.col("own")).alias("start"), "n_tokens", "ids_crc32")

@@ -90,3 +90,12 @@ def test_added_tokens_are_single_ids(spark):
         wanted.append((n, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     assert found(token_orc.token_index(spark, out)) == wanted
+
+
+def test_ids_are_read_once(spark):
+    """Lengths and checksums are written; starts are found without another look at the ids."""
+    out = shared_dir(spark)
+    token_orc.write_token_orc(spark.createDataFrame([(1, "a b"), (2, "c")], "doc_id long, text string"), out, PATH)
+    index = token_orc.token_index(spark, out)
+    assert found(index) == expected([(1, "a b"), (2, "c")])
+    assert "MapInArrow" not in index._jdf.queryExecution().optimizedPlan().toString()
