@@ -41,7 +41,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are 0.8 alike.
+    """One document of each group whose five-word shingles are 0.8 alike, found by SimHash and covering masks, and by bands beside.
 
     That of the smallest doc_id (a missing one last) stays, then of the smaller hash of the text; rows equal to it in
     both stay as well. All texts without words are one group.

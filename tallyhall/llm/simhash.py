@@ -271,18 +271,37 @@ def _word_runs(size: int):
     return runs
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
+def meetings(keyed: DataFrame, print_size: int = 3, radius: int = 3) -> DataFrame:
+    """bucket, id: texts (text_id, text) that meet by their fingerprints of `print_size`-word shingles, as in classes().
+
+    Any two whose fingerprints differ in at most `radius` bits share a bucket. A bucket is a fingerprint's, and
+    holds its texts and those of the fingerprints that links() finds from it: two within the radius are
+    linked with each other, or in a large bucket of the masks both with one that stands between them.
+    """
+    prints = majority_bits(shingle_rows(keyed.select("text_id", "text"), ["text_id"], print_size), ["text_id"])
+    prints = saved(prints.select("text_id", "fingerprint"))
+    found = links(prints.select("fingerprint").distinct(), radius)
+    homes = prints.select(F.col("fingerprint").alias("home"), "text_id")
+    away = prints.join(found, prints["fingerprint"] == found["b"]).select(F.col("a").alias("home"), "text_id")
+    return homes.unionByName(away).select(F.xxhash64(F.lit("fingerprint"), "home").alias("bucket"), F.col("text_id").alias("id"))
+
+
+def near_duplicates(
+    docs: DataFrame, size: int = 5, similarity: float = 0.8, print_size: int = 3, radius: int = 3
+) -> DataFrame:
     """doc_id, text_id, component_id, stays: a row per distinct doc_id and text; text_id is a hash of the text.
 
-    Documents are compared if they share a band of MinHashes of their `size`-word shingles, whatever
-    the kind of edit that parts them, and linked if the Jaccard similarity of their sets of
-    shingles is at least `similarity`. component_id is
+    Documents are compared if their fingerprints (of runs of `print_size` words) differ in at most `radius` bits,
+    found by covering masks, and, as similar texts may lie beyond, also if they share a band of MinHashes of their
+    `size`-word shingles, whatever the kind of edit that parts them. They are linked if the Jaccard similarity
+    of their sets of shingles is at least `similarity`. component_id is
     the smallest doc_id of the component, and the smallest document (by doc_id, then text_id;
     missing ids last) stays.
     """
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     keyed = read.withColumn("text_id", F.xxhash64("text"))
-    members = keyed.select("text_id", "text").mapInArrow(_banded(size), "bucket long, id long")
+    banded = keyed.select("text_id", "text").mapInArrow(_banded(size), "bucket long, id long")
+    members = banded.unionByName(meetings(keyed, print_size, radius))
 
     def fetch(ids: DataFrame) -> DataFrame:
         texts = keyed.select(F.col("text_id").alias("id"), "text").join(ids, "id", "left_semi")

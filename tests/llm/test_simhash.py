@@ -197,3 +197,31 @@ def test_long_and_repeated_texts(spark, words_each, rows):
     assert {(r.doc_id, r.fingerprint): r["count"] for r in found} == {
         (i, f"{fingerprint(t, 3):016x}"): rows if t == text else 1 for i, t in given_rows
     }
+
+
+@pytest.mark.parametrize("small", [128, 2])
+def test_near_duplicates_meet_by_fingerprint(spark, monkeypatch, small):
+    """Any two texts within three bits share a bucket, in small and in large buckets of the masks, and resolve() is given it."""
+    monkeypatch.setattr(simhash, "SMALL_BUCKET", small)
+    rows = copies(random.Random(5))[:120] + [(900, ""), (901, " "), (902, "a b")]
+    texts = sorted({t for _, t in rows})
+    df = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "text_id long, text string")
+    homes = {}
+    for r in simhash.meetings(df).collect():
+        homes.setdefault(r["id"], set()).add(r["bucket"])
+    prints = [fingerprint(t, 3) for t in texts]
+    near = [(m, n) for m, n in itertools.combinations(range(len(texts)), 2) if (prints[m] ^ prints[n]).bit_count() <= 3]
+    assert len(near) > 3
+    assert [(m, n) for m, n in near if not homes[m] & homes[n]] == []
+
+    given, resolve = [], simhash.resolve
+
+    def seen(members, *rest):
+        given.append(members)
+        return resolve(members, *rest)
+
+    monkeypatch.setattr(simhash, "resolve", seen)
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    assert simhash.near_duplicates(docs).count() == len(texts)
+    buckets = {r["bucket"] for r in given[0].select("bucket").distinct().collect()}
+    assert set().union(*homes.values()) <= buckets
